@@ -227,7 +227,7 @@ MODELS = {
 def with_models(select: str) -> str:
     """Prefix `select` with every raw binding and model as CTEs (DuckDB skips unused ones)."""
     ctes = [f"{name} AS ({sql.strip()})" for name, sql in {**RAW, **MODELS}.items()]
-    return "WITH " + ",\n".join(ctes) + "\n" + select.strip()
+    return "WITH " + ",\n".join(ctes) + "\nSELECT * FROM (\n" + select.strip() + "\n) AS q"
 
 
 def model_sql(name: str) -> str:
