@@ -25,8 +25,8 @@ from .upsert import upsert
 PRIMARY = "primary"
 
 
-def _ts(v: datetime | str) -> Column:
-    return F.lit(str(v)).cast("timestamp_ntz")
+def _ts(v: datetime | str | Column) -> Column:
+    return v if isinstance(v, Column) else F.lit(str(v)).cast("timestamp_ntz")
 
 
 def iso_cursor(ts: Column | str) -> Column:

@@ -79,6 +79,21 @@ RAW = {
                'me@example.com' AS recipients, event_type AS subject, ts AS date,
                props AS snippet, {_TAIL}
         FROM events""",
+    "pipeline_runs": """
+        SELECT md5(source || '|' || CAST(d AS VARCHAR)) AS run_id, source, started_at, finished_at,
+               CASE WHEN failed = fetched THEN 'failed' WHEN failed > 0 THEN 'partial'
+                    ELSE 'success' END AS status,
+               CAST(fetched AS INTEGER) AS records_fetched,
+               CAST(inserted AS INTEGER) AS records_inserted,
+               CAST(fetched - inserted AS INTEGER) AS records_updated,
+               CAST(failed AS INTEGER) AS records_failed,
+               CASE WHEN failed = fetched THEN 'all records failed' END AS error_message
+        FROM (SELECT event_type AS source, CAST(ts AS DATE) AS d, min(ts) AS started_at,
+                     max(ts) AS finished_at, count(*) AS fetched,
+                     count(DISTINCT user_id) AS inserted,
+                     count(CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 95
+                                THEN 1 END) AS failed
+              FROM events GROUP BY 1, 2) g""",
     "raw_spotify_plays": f"""
         SELECT 'spotify' AS source,
                CAST(event_id AS VARCHAR) || ':' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS source_id,

@@ -202,3 +202,26 @@ RAW_BINDINGS = {
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fn(spark, sf_dir) for name, fn in RAW_BINDINGS.items()}
+
+
+def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run log bound to `events`: one sync run per (day, event type); a record with k >= 95
+    counts as failed, a run whose records all failed is aborted."""
+    from ..operators.runs import status_col
+
+    e = _feed(spark, sf_dir)
+    k = F.get_json_object("props", "$.k").cast("int")
+    g = e.groupBy(F.col("event_type").alias("source"), F.to_date("ts").alias("__day")).agg(
+        F.min("ts").alias("started_at"), F.max("ts").alias("finished_at"),
+        F.count(F.lit(1)).alias("fetched"), F.countDistinct("user_id").alias("inserted"),
+        F.count(F.when(k >= 95, 1)).alias("failed"))
+    aborted = F.col("failed") == F.col("fetched")
+    return g.select(
+        F.md5(F.concat_ws("|", "source", F.col("__day").cast("string"))).alias("run_id"),
+        "source", "started_at", "finished_at",
+        status_col(F.col("failed"), aborted).alias("status"),
+        F.col("fetched").cast("int").alias("records_fetched"),
+        F.col("inserted").cast("int").alias("records_inserted"),
+        (F.col("fetched") - F.col("inserted")).cast("int").alias("records_updated"),
+        F.col("failed").cast("int").alias("records_failed"),
+        F.when(aborted, F.lit("all records failed")).alias("error_message"))
