@@ -67,6 +67,8 @@ def upsert(
     """
     keys = list(keys)
     cols = existing.columns
+    keep = [c for c in keep if c in cols]
+    touch = [c for c in touch if c in cols]
     inc = incoming.select(*cols)
     for c in touch:
         inc = inc.withColumn(c, _ts(now))
