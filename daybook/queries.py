@@ -78,7 +78,8 @@ for _name, (_attr, _oracle_name) in _MODEL_QUERIES.items():
 
 def _load_all() -> None:
     """Import the modules that register the remaining queries."""
-    from . import queries_ingest, queries_load, queries_ops, queries_stream  # noqa: F401
+    from . import (queries_analytics, queries_ingest, queries_load, queries_ops,  # noqa: F401
+                   queries_stream)
 
 
 def queries() -> dict[str, QueryFn]:
