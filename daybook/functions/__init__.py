@@ -54,11 +54,12 @@ def is_weekend(d: Column | str) -> Column:
 def minutes_between(start: Column | str, end: Column | str) -> Column:
     """round(seconds(end - start) / 60) as int, half away from zero; null if an end is null.
 
-    The interval is cast to decimal seconds so the rounding is exact, and subtraction works
-    on TIMESTAMP and TIMESTAMP_NTZ alike.
+    Exact integer arithmetic on the microsecond difference (works on TIMESTAMP and
+    TIMESTAMP_NTZ alike): |d| + 30 s, integer-divided by one minute, sign restored.
     """
-    secs = (col_of(end) - col_of(start)).cast("decimal(18,6)")
-    return F.round(secs / F.lit(60)).cast("int")
+    us = F.timestamp_diff("MICROSECOND", col_of(start), col_of(end))
+    whole_minutes = F.call_function("div", F.abs(us) + F.lit(30_000_000), F.lit(60_000_000))
+    return (F.signum(us).cast("long") * whole_minutes).cast("int")
 
 
 def to_ms(ts: Column | str) -> Column:

@@ -5,8 +5,8 @@ text: ISO-8601 for timestamps (Python `isoformat` of a UTC instant), epoch milli
 plays. Cursors are always parsed before comparing, never compared as strings.
 
 The cursor table has one row per entity (e.g. per repository), so it grows with the data:
-it is broadcast only behind a counted size check, otherwise joined by shuffle (AQE splits a
-hot entity on the batch side).
+no broadcast hint; the planner broadcasts it only under its size threshold (static sizes,
+then AQE's measured ones), otherwise a shuffle join where AQE splits a hot entity.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import col_of, from_ms, parse_iso_ts, to_ms
-from ..session import maybe_broadcast
 from ..sources.schemas import SYNC_STATE
 from .upsert import upsert
 
@@ -76,7 +75,6 @@ def select_since(
         return df
     cur = get_cursors(state, connector).select(
         F.col("entity_key").alias("__entity"), cursor_time("last_cursor", kind).alias("__since"))
-    cur = maybe_broadcast(cur)
     j = df.join(cur, df[entity_col] == cur["__entity"], "left")
     bound = F.coalesce(F.col("__since"), _ts(default_since))
     return j.where(F.col(ts_col) >= bound).drop("__entity", "__since")
@@ -145,7 +143,7 @@ def day_query(cursor_ts: Column) -> Column:
 
 def drop_failed(batch: DataFrame, failed: DataFrame, entity_col: str, failed_col: str) -> DataFrame:
     """Rows of entities whose feed failed are dropped (no rows, no cursor change)."""
-    f = maybe_broadcast(failed.select(F.col(failed_col).alias("__failed")).distinct())
+    f = failed.select(F.col(failed_col).alias("__failed")).distinct()
     return batch.join(f, batch[entity_col] == f["__failed"], "left_anti")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -82,44 +82,99 @@ def failing_rows(models: dict[str, DataFrame], c: Check) -> DataFrame:
     raise ValueError(f"unknown check {c.kind}")
 
 
-def _failures_column(c: Check) -> str:
-    """For grouped checks the failure count is the number of failing rows, as dbt counts."""
-    return "n_records" if c.kind in ("unique", "accepted_values") else ""
+_ROW_LEVEL = ("not_null", "no_negative", "plausible_ts")
+_GROUPED = ("unique", "accepted_values")
 
 
-def run_checks(models: dict[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """One row per check with its failure count.
+def _row_condition(c: Check, column: str) -> Column:
+    col = F.col(column)
+    if c.kind == "not_null":
+        return col.isNull()
+    if c.kind == "no_negative":
+        return col < 0
+    if c.kind == "plausible_ts":
+        return ((col > F.lit(str(c.args["as_of"])).cast("timestamp_ntz"))
+                | (col < F.lit(c.args.get("floor", "2000-01-01 00:00:00")).cast("timestamp_ntz")))
+    raise ValueError(c.kind)
+
+
+def _stack(row: DataFrame, cs: list[Check], cols: list[str]) -> DataFrame:
+    """One-row frame of counts -> one report row per check."""
+    parts = ", ".join(f"'{c.kind}', '{c.model}', '{c.column}', {x}" for c, x in zip(cs, cols))
+    return row.selectExpr(f"stack({len(cs)}, {parts}) AS (`check`, model, `column`, failures)")
 
-    dbt counts failing rows of the test query: for `unique` and `accepted_values` that is the
-    number of offending distinct values. Not-null checks of one model are folded into one
-    aggregate pass over that model.
+
+def run_checks(models: dict[str, DataFrame], checks: Iterable[Check],
+               same_rows: dict[str, tuple[str, dict[str, str]]] | None = None) -> DataFrame:
+    """One row per check with its failure count (dbt counts the rows of each test query:
+    failing rows, or offending distinct values for `unique` / `accepted_values`).
+
+    Checks are folded per base model: all row-level checks in one aggregate pass, all
+    `unique` / `accepted_values` checks in one grouped pass over exploded (check, value)
+    pairs (partial aggregation, so a hot value is folded per task). `same_rows` maps a model
+    to `(base model, renamed columns)` when it is a projection of the base (same rows, same
+    values), so e.g. raw-table and staging checks share one scan.
     """
     checks = list(checks)
+    same_rows = same_rows or {}
+    by_base: dict[str, list[tuple[Check, str]]] = {}
     parts: list[DataFrame] = []
-    by_model: dict[str, list[Check]] = {}
-    for c in checks:
-        if c.kind == "not_null":
-            by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        aggs = [F.count(F.when(F.col(c.column).isNull(), 1)).alias(f"c{i}") for i, c in enumerate(cs)]
-        row = models[model].agg(*aggs)
-        stack = ", ".join(f"'{c.column}', c{i}" for i, c in enumerate(cs))
-        parts.append(row.selectExpr(
-            "'not_null' AS check", f"'{model}' AS model",
-            f"stack({len(cs)}, {stack}) AS (`column`, failures)"))
     for c in checks:
-        if c.kind == "not_null":
-            continue
-        fails = failing_rows(models, c)
-        parts.append(fails.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.kind).alias("check"), F.lit(c.model).alias("model"),
-            F.lit(c.column).alias("column"), F.col("failures")))
+        if c.kind == "relationships":
+            fails = failing_rows(models, c)
+            parts.append(fails.agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.kind).alias("check"), F.lit(c.model).alias("model"),
+                F.lit(c.column).alias("column"), F.col("failures")))
+        else:
+            base, renames = same_rows.get(c.model, (c.model, {}))
+            by_base.setdefault(base, []).append((c, renames.get(c.column, c.column)))
+    for base, cs in by_base.items():
+        df = models[base]
+        rows = [(c, col) for c, col in cs if c.kind in _ROW_LEVEL]
+        if rows:
+            aggs = [F.count(F.when(_row_condition(c, col), 1)).alias(f"r{i}")
+                    for i, (c, col) in enumerate(rows)]
+            parts.append(_stack(df.agg(*aggs), [c for c, _ in rows], [f"r{i}" for i in range(len(rows))]))
+        grouped = [(c, col) for c, col in cs if c.kind in _GROUPED]
+        if grouped:
+            items = []
+            for i, (c, name) in enumerate(grouped):
+                col = F.col(name)
+                bad = col.isNotNull()
+                if c.kind == "accepted_values":
+                    bad = bad & ~col.isin(*c.args["values"])
+                items.append(F.when(bad, F.struct(F.lit(i).alias("i"), col.cast("string").alias("v"))))
+            pairs = df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("p"))
+            g = pairs.groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v")).agg(
+                F.count(F.lit(1)).alias("n"))
+            aggs = []
+            for i, (c, _) in enumerate(grouped):
+                fail = (F.col("i") == i) & ((F.col("n") > 1) if c.kind == "unique" else F.lit(True))
+                aggs.append(F.count(F.when(fail, 1)).alias(f"g{i}"))
+            parts.append(_stack(g.agg(*aggs), [c for c, _ in grouped],
+                                [f"g{i}" for i in range(len(grouped))]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("check", "model", "column", F.col("failures").cast("bigint").alias("failures"))
 
 
+# Projections among the declared models: same rows, same values under the same names.
+SAME_ROWS = {
+    "raw_github_repositories": ("stg_github_repositories", {}),
+    "raw_github_commits": ("stg_github_commits", {}),
+    "raw_github_pull_requests": ("stg_github_pull_requests", {}),
+    "raw_github_issues": ("stg_github_issues", {}),
+    "raw_calendar_events": ("stg_calendar_events", {"source_id": "calendar_event_id"}),
+    "raw_gmail_messages": ("stg_gmail_messages", {}),
+    "raw_spotify_plays": ("stg_spotify_plays", {}),
+    "dim_repository": ("stg_github_repositories", {}),
+    "fct_calendar_events": ("stg_calendar_events", {}),
+    "fct_email_messages": ("stg_gmail_messages", {}),
+    "fct_spotify_plays": ("stg_spotify_plays", {}),
+}
+
+
 STATES = ("open", "closed")
 CATEGORY_VALUES = ("work", "personal", "learning", "meeting", "other")
 STATUS_VALUES = ("active", "stale", "inactive")

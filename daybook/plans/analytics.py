@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import month_str
-from ..session import maybe_broadcast
 
 
 def _between(c: str, start: str, end: str):
@@ -76,7 +75,7 @@ def month_over_month(monthly: DataFrame) -> DataFrame:
 def language_mix(fct_commits: DataFrame, dim_repo: DataFrame) -> DataFrame:
     """Commits per repository language and its share of all commits (orphans: null)."""
     per_repo = fct_commits.groupBy("repository_key").agg(F.count(F.lit(1)).alias("n"))
-    d = maybe_broadcast(dim_repo.select(F.col("repository_key").alias("__k"), "language"))
+    d = dim_repo.select(F.col("repository_key").alias("__k"), "language")
     j = per_repo.join(d, per_repo["repository_key"] == d["__k"], "left")
     g = j.groupBy("language").agg(F.sum("n").alias("commits"))
     total = per_repo.agg(F.sum("n")).scalar()

@@ -27,7 +27,7 @@ VIEW_MODELS = (
 
 
 class Warehouse:
-    def __init__(self, raw: dict[str, DataFrame], project_days: int = 14):
+    def __init__(self, raw, project_days: int = 14):
         self.raw = raw
         self.project_days = project_days
 
@@ -98,3 +98,29 @@ class Warehouse:
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+    # Reductions every daily/monthly/project model derives from. Written once to the
+    # shared checkpoint folder, they cut lineage (an executor lost later recomputes from
+    # the small checkpoint, not from the fact tables) and each fact table is scanned once.
+    SHARED = ("commit_pairs", "int_calendar_activity")
+
+    def materialize(self, *names: str) -> "Warehouse":
+        """Replace the named models by Parquet tables written under `spark.checkpoint.dir`
+        (columnar, with real sizes for the planner; lineage ends at the written table)."""
+        from ..session import scratch_path
+
+        for name in names or self.SHARED:
+            df = getattr(self, name)
+            path = scratch_path(df.sparkSession, name)
+            df.write.mode("overwrite").parquet(path)
+            self.__dict__[name] = df.sparkSession.read.parquet(path)
+            for dep in self._DEPENDENTS.get(name, ()):
+                self.__dict__.pop(dep, None)
+        return self
+
+    _DEPENDENTS = {
+        "commit_pairs": ("commits_daily", "int_daily_activity", "int_project_activity", "dim_date",
+                         "mart_daily_activity", "mart_project_activity", "mart_monthly_summary"),
+        "int_calendar_activity": ("meetings_daily", "int_daily_activity", "dim_date",
+                                  "mart_daily_activity", "mart_monthly_summary"),
+    }

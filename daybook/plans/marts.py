@@ -27,11 +27,14 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
                take: str, max_broadcast_rows: int | None = None) -> DataFrame:
     """fact LEFT JOIN dim ON fact.fact_col = dim.dim_col, adding dim.take.
 
-    The dimension grows with the data (one row per repository), so it is broadcast only
-    behind a counted size check; otherwise a shuffle join (AQE splits skewed keys).
+    The dimension grows with the data (one row per repository), so no broadcast hint: the
+    planner broadcasts it only under `autoBroadcastJoinThreshold` (static file sizes, then
+    AQE's measured sizes); beyond that a shuffle join, where AQE splits a hot key's
+    partition on the fact side. `max_broadcast_rows` forces a counted check instead.
     """
     d = dim.select(F.col(dim_col).alias("__fk"), F.col(take).alias("__take"))
-    d = maybe_broadcast(d) if max_broadcast_rows is None else maybe_broadcast(d, max_broadcast_rows)
+    if max_broadcast_rows is not None:
+        d = maybe_broadcast(d, max_broadcast_rows)
     out = fact.join(d, fact[fact_col] == d["__fk"], "left")
     return out.drop("__fk").withColumnRenamed("__take", take)
 

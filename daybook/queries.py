@@ -64,9 +64,17 @@ _MODEL_QUERIES = {
 }
 
 
+# Models built on the shared reductions: those are checkpointed first (one fact scan each).
+_ON_REDUCTIONS = {"int_daily_activity", "int_project_activity", "dim_date", "mart_daily_activity",
+                  "mart_project_activity", "mart_monthly_summary"}
+
+
 def _model_query(attr: str) -> QueryFn:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return wh(spark, sf_dir).model(attr)
+        w = wh(spark, sf_dir)
+        if attr in _ON_REDUCTIONS:
+            w.materialize()
+        return w.model(attr)
 
     q.__name__ = attr
     return q

@@ -16,6 +16,8 @@ it. Projections only: column pruning reaches the Parquet scan, nothing is collec
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -200,8 +202,28 @@ RAW_BINDINGS = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in RAW_BINDINGS.items()}
+class LazyTables(Mapping):
+    """name -> DataFrame, each built on first access (plan construction costs driver round
+    trips; a model touching two tables should not pay for seven)."""
+
+    def __init__(self, loaders: dict[str, Callable[[], DataFrame]]):
+        self._loaders = loaders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._loaders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._loaders)
+
+    def __len__(self) -> int:
+        return len(self._loaders)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    return LazyTables({name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in RAW_BINDINGS.items()})
 
 
 def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
