@@ -91,13 +91,14 @@ def valid_zone(zone: Column | str) -> Column:
     )
 
 
-def local_to_utc(local_ntz: Column | str, zone: Column | str) -> Column:
+def local_to_utc(local_ntz: Column | str, zone: Column | str, validate: bool = True) -> Column:
     """Wall-clock time in `zone` -> UTC wall time (TIMESTAMP_NTZ); unknown zone -> UTC.
 
-    The zone is validated first so that `to_utc_timestamp` never sees an id it would
-    reject. DST gaps move forward, overlaps take the earlier offset.
+    The zone is validated first (skip with `validate=False` when the caller already did) so
+    that `to_utc_timestamp` never sees an id it would reject. DST gaps move forward,
+    overlaps take the earlier offset.
     """
-    z = F.when(valid_zone(zone), col_of(zone)).otherwise(F.lit("UTC"))
+    z = F.when(valid_zone(zone), col_of(zone)).otherwise(F.lit("UTC")) if validate else col_of(zone)
     return F.to_utc_timestamp(col_of(local_ntz).cast("timestamp"), z).cast("timestamp_ntz")
 
 

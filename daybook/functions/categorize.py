@@ -41,8 +41,12 @@ def categorize(
     default: str = DEFAULT_CATEGORY,
 ) -> Column:
     col = F.col(title) if isinstance(title, str) else title
-    t = F.lower(unicode_trim(F.coalesce(col, F.lit(""))))
-    expr = F.when(t == "", F.lit(EMPTY_CATEGORY))
+    text = F.coalesce(col, F.lit(""))
+    # Trimming cannot change whether a keyword (no outer whitespace) is contained, so the
+    # (regex) trim is only needed for the emptiness test; keyword tests use the cheap form,
+    # which stays cheap even where the engine cannot share it across CASE branches.
+    t = F.lower(text)
+    expr = F.when(unicode_trim(text) == "", F.lit(EMPTY_CATEGORY))
     for category, keywords in rules:
         hit = None
         for kw in keywords:

@@ -26,9 +26,18 @@ _J = "__j"
 _K = "__k"
 
 
-def _prep(df: DataFrame, schema: T.StructType, col: str) -> DataFrame:
-    return df.withColumn(_J, F.from_json(F.col(col), schema)).withColumn(
+def _nk(path: str) -> str:
+    return "__k" + path.replace("$", "").replace(".", "_")
+
+
+def _prep(df: DataFrame, schema: T.StructType, col: str, nested: Sequence[str] = ()) -> DataFrame:
+    """One typed parse of the record, its top-level key set, and the key set of each nested
+    object in `nested` (each parsed once, then shared by every presence test on it)."""
+    d = df.withColumn(_J, F.from_json(F.col(col), schema)).withColumn(
         _K, F.json_object_keys(F.col(col)))
+    for path in nested:
+        d = d.withColumn(_nk(path), F.json_object_keys(F.get_json_object(F.col(col), path)))
+    return d
 
 
 def has(key: str) -> Column:
@@ -37,9 +46,8 @@ def has(key: str) -> Column:
 
 
 def has_in(col: str, path: str, key: str) -> Column:
-    """`key` present in the object at JSON path `path` of the record."""
-    keys = F.json_object_keys(F.get_json_object(F.col(col), path))
-    return F.coalesce(F.array_contains(keys, key), F.lit(False))
+    """`key` present in the object at JSON path `path` (declared in `_prep(nested=...)`)."""
+    return F.coalesce(F.array_contains(F.col(_nk(path)), key), F.lit(False))
 
 
 def j(field: str) -> Column:
@@ -63,7 +71,7 @@ def _object() -> tuple[Column, str]:
 
 
 def _finish(df: DataFrame, cols: list[Column], rules: list[tuple[Column, str]], col: str) -> DataFrame:
-    keep = [c for c in df.columns if c not in (col, _J, _K)]
+    keep = [c for c in df.columns if not c.startswith("__") and c != col]
     return df.select(*keep, *cols, F.col(col).alias("raw_payload"), _first_error(rules).alias("_error"))
 
 
@@ -74,7 +82,7 @@ def _ts_ok(text: Column, parsed: Column) -> Column:
 # ------------------------------------------------------------------ B1 repositories
 
 def normalize_repos(df: DataFrame, col: str = REC, source: str = "github") -> DataFrame:
-    d = _prep(df, S.REPO_JSON, col)
+    d = _prep(df, S.REPO_JSON, col, ["$.owner"])
     created = parse_iso_ts(j("created_at"))
     cols = [
         F.lit(source).alias("source"),
@@ -99,7 +107,7 @@ def normalize_repos(df: DataFrame, col: str = REC, source: str = "github") -> Da
 def normalize_commits(df: DataFrame, repo_full_name: str, repo_source_id: str,
                       col: str = REC, source: str = "github") -> DataFrame:
     """Commits of one repository feed; the repository comes from context columns."""
-    d = _prep(df, S.COMMIT_JSON, col)
+    d = _prep(df, S.COMMIT_JSON, col, ["$.commit", "$.commit.author"])
     date = parse_iso_ts(j("commit.author.date"))
     email = j("commit.author.email")
     cols = [
@@ -186,11 +194,10 @@ def normalize_prs(df: DataFrame, repo_source_id: str, col: str = REC, source: st
 _OFFSET = r"T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
-def _timed(value: Column, zone: Column) -> Column:
-    """An explicit offset wins; otherwise local time in `zone` (unknown/absent -> UTC)."""
+def _timed(value: Column, zone_ok: Column) -> Column:
+    """An explicit offset wins; otherwise local time in `zone_ok` (already validated)."""
     local = F.try_to_timestamp(value).cast("timestamp_ntz")
-    z = F.when(valid_zone(zone), zone).otherwise(F.lit("UTC"))
-    return F.when(value.rlike(_OFFSET), parse_iso_ts(value)).otherwise(local_to_utc(local, z))
+    return F.when(value.rlike(_OFFSET), parse_iso_ts(value)).otherwise(local_to_utc(local, zone_ok, False))
 
 
 def normalize_calendar(df: DataFrame, calendar_id: str | Column, col: str = REC,
@@ -198,22 +205,31 @@ def normalize_calendar(df: DataFrame, calendar_id: str | Column, col: str = REC,
     """Three shapes by key presence: `start.dateTime` (timed), `start.date` (all-day, end date
     + 1 day as the source system does, both ends in the start zone), neither (cancelled:
     null times, zone 'UTC')."""
-    d = _prep(df, S.CALENDAR_JSON, col)
+    d = _prep(df, S.CALENDAR_JSON, col, ["$.start", "$.end"])
+    # each zone id is validated once per row (a JVM lookup), then reused
+    d = d.withColumn("__zs", F.when(valid_zone(j("start.timeZone")), j("start.timeZone")).otherwise(F.lit("UTC")))
+    d = d.withColumn("__ze", F.when(valid_zone(j("end.timeZone")), j("end.timeZone")).otherwise(F.lit("UTC")))
     start_has_dt = has_in(col, "$.start", "dateTime")
     start_has_d = has_in(col, "$.start", "date")
     tz_start = j("start.timeZone")
     tz = F.when((tz_start.isNull()) | (tz_start == ""), F.lit("UTC")).otherwise(tz_start)
-    tz_ok = F.when(valid_zone(tz), tz).otherwise(F.lit("UTC"))
+    tz_ok = F.col("__zs")
     sd = F.try_to_date(j("start.date"))
     ed = F.try_to_date(j("end.date"))
-    day_start = local_to_utc(sd.cast("timestamp_ntz"), tz_ok)
-    day_end = local_to_utc(F.date_add(ed, 1).cast("timestamp_ntz"), tz_ok)
-    t_start = _timed(j("start.dateTime"), tz_start)
-    t_end = _timed(j("end.dateTime"), j("end.timeZone"))
-    start_at = F.when(start_has_dt, t_start).when(start_has_d, day_start)
-    end_at = F.when(start_has_dt, t_end).when(start_has_d, day_end)
+    day_start = local_to_utc(sd.cast("timestamp_ntz"), tz_ok, False)
+    day_end = local_to_utc(F.date_add(ed, 1).cast("timestamp_ntz"), tz_ok, False)
+    t_start = _timed(j("start.dateTime"), tz_ok)
+    t_end = _timed(j("end.dateTime"), F.col("__ze"))
+    # the converted times are computed once in their own projection: rules and outputs read
+    # the columns (conditional branches would otherwise re-evaluate the conversions)
+    d = (d.withColumn("__ks", start_has_dt).withColumn("__kd", start_has_d)
+          .withColumn("__zs_s", F.when(start_has_dt, t_start).when(start_has_d, day_start))
+          .withColumn("__zs_e", F.when(start_has_dt, t_end).when(start_has_d, day_end)))
+    start_has_dt, start_has_d = F.col("__ks"), F.col("__kd")
+    start_at, end_at = F.col("__zs_s"), F.col("__zs_e")
     summary = j("summary")
-    title = F.when(summary.isNull() | (summary == ""), F.lit("")).otherwise(summary)
+    d = d.withColumn("__title", F.when(summary.isNull() | (summary == ""), F.lit("")).otherwise(summary))
+    title = F.col("__title")
     cal = calendar_id if isinstance(calendar_id, Column) else F.lit(calendar_id)
     cols = [
         F.lit(source).alias("source"),
@@ -225,11 +241,11 @@ def normalize_calendar(df: DataFrame, calendar_id: str | Column, col: str = REC,
         F.when(start_has_dt | start_has_d, tz).otherwise(F.lit("UTC")).alias("timezone"),
         F.when(j("attendees").isNull(), F.lit(0)).otherwise(F.size(j("attendees"))).alias("attendees_count"),
         F.when(has("status"), j("status")).otherwise(F.lit("confirmed")).alias("status"),
-        F.when(title == "", F.lit("other")).otherwise(categorize(title)).alias("category"),
+        categorize(title).alias("category"),
     ]
     rules = [_object(), *_required(S.REQUIRED["calendar"]),
              (~start_has_dt | has_in(col, "$.end", "dateTime"), "missing end.dateTime"),
-             (~start_has_dt | (t_start.isNotNull() & t_end.isNotNull()), "bad dateTime"),
+             (~start_has_dt | (start_at.isNotNull() & end_at.isNotNull()), "bad dateTime"),
              (start_has_dt | ~start_has_d | has_in(col, "$.end", "date"), "missing end.date"),
              (start_has_dt | ~start_has_d | (sd.isNotNull() & ed.isNotNull()), "bad date")]
     return _finish(d, cols, rules, col)
@@ -269,7 +285,7 @@ def normalize_emails(df: DataFrame, col: str = REC, source: str = "gmail") -> Da
 # ------------------------------------------------------------------ B8 plays
 
 def normalize_plays(df: DataFrame, col: str = REC, source: str = "spotify") -> DataFrame:
-    d = _prep(df, S.PLAY_JSON, col)
+    d = _prep(df, S.PLAY_JSON, col, ["$.track"])
     played = parse_iso_ts(j("played_at"))
     artists = F.array_join(F.transform(F.coalesce(j("track.artists"), F.array()), lambda a: a["name"]), ", ")
     cols = [

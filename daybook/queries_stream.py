@@ -21,21 +21,23 @@ from .sources.schemas import KEYS, RAW
 from .streaming import ingest as S
 
 RUN_NOW = "2024-02-01 00:00:00"
-FILES_PER_TRIGGER = 2
+FILES_PER_TRIGGER = 8
 WATERMARK_DELAY = "40 days"   # > the disorder between landed files (one month of events)
 
 
 def _land_pages(spark, sf, landing: str, copies: int = 2) -> None:
     """Play pages (JSON lines, one page per line), landed `copies` times."""
     pages = L.build_pages(J.play_records(spark, sf), "record", F.floor(F.col("ref") / 100), "items")
+    pages = pages.select("payload").persist()
     for i in range(copies):
-        pages.select("payload").repartition(4).write.text(f"{landing}/copy={i}")
+        pages.write.text(f"{landing}/copy={i}")
+    pages.unpersist()
 
 
 def _land_events(spark, sf, landing: str, copies: int) -> T.StructType:
     ev = B.table(spark, sf, "events")
     for i in range(copies):
-        ev.repartition(4).write.parquet(f"{landing}/copy={i}")
+        ev.write.parquet(f"{landing}/copy={i}")
     return ev.schema
 
 

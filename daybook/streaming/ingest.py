@@ -13,7 +13,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,18 +34,20 @@ def _empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def upsert_batch(batch: DataFrame, root: str, table: str, schema: T.StructType,
-                 keys: Sequence[str], order: Sequence[str], now: str) -> DataFrame:
-    """Apply one batch of raw-shaped rows to `table` under `root`; returns the one-row counts
-    `(inserted, updated)` computed before the write."""
+                 keys: Sequence[str], order: Sequence[str], now: str,
+                 existing: DataFrame | None = None) -> tuple[Row, str]:
+    """Apply one batch of raw-shaped rows to `table` under `root`. Returns the counts
+    `(inserted, updated)` (computed before the write) and the new snapshot name."""
     spark = batch.sparkSession
-    try:
-        existing = L.read_table(spark, root, table, schema)
-    except FileNotFoundError:
-        existing = _empty_like(spark, schema)
+    if existing is None:
+        try:
+            existing = L.read_table(spark, root, table, schema)
+        except FileNotFoundError:
+            existing = _empty_like(spark, schema)
     inc = U.dedup_last(batch, keys, order) if order else batch
     counts = U.upsert_counts(existing, batch, keys).first()
-    L.write_table(U.upsert(existing, inc, keys, now), root, table)
-    return counts
+    snap = L.write_table(U.upsert(existing, inc, keys, now), root, table)
+    return counts, snap
 
 
 def stream_upsert(
@@ -60,20 +63,30 @@ def stream_upsert(
 ) -> None:
     """M1 (+ M4): landing stream -> normalise -> upsert per micro-batch; one audit row per
     batch appended to `audit_root` (deduplicated on batch id by readers). Runs until the
-    landed files are drained."""
+    landed files are drained.
+
+    Each micro-batch is parsed once (persisted for the batch's few jobs, then released);
+    the current snapshot is tracked between batches instead of re-resolving the pointer.
+    """
     order = [c for c in schema.fieldNames() if c not in keys]
+    current: dict[str, str] = {}
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        normal = normalize(df)
-        good, bad = split_malformed(normal)
-        raw = to_raw(good, table, now)
-        n_rows = normal.count()
-        n_bad = bad.count()
-        c = upsert_batch(raw, target_root, table, schema, keys, order, now)
+        normal = normalize(df).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stats = normal.agg(F.count(F.lit(1)).alias("n"), F.count("_error").alias("bad")).first()
+            good, _ = split_malformed(normal)
+            existing = None
+            if "snap" in current:
+                existing = spark.read.schema(schema).parquet(f"{target_root.rstrip('/')}/{table}/{current['snap']}")
+            c, current["snap"] = upsert_batch(to_raw(good, table, now), target_root, table, schema,
+                                              keys, order, now, existing)
+        finally:
+            normal.unpersist()
         if audit_root is not None:
             row = spark.createDataFrame(
-                [(batch_id, n_rows, int(c["inserted"]), int(c["updated"]), n_bad)],
+                [(batch_id, int(stats["n"]), int(c["inserted"]), int(c["updated"]), int(stats["bad"]))],
                 "batch_id long, records_fetched long, records_inserted long, "
                 "records_updated long, records_failed long")
             row = row.withColumn("status", status_col(F.col("records_failed")))
@@ -119,7 +132,7 @@ def run_update_upsert(df: DataFrame, keys: Sequence[str], root: str, table: str,
                       schema: T.StructType, checkpoint: str, now: str) -> None:
     """Update-mode sink: each batch's changed rows replace their keys in `table`."""
     def per_batch(b: DataFrame, _batch_id: int) -> None:
-        upsert_batch(b, root, table, schema, keys, [], now)
+        upsert_batch(b, root, table, schema, keys, [], now)[0]
 
     q = (df.writeStream.outputMode("update").foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
