@@ -130,15 +130,29 @@ def run_checks(models: dict[str, DataFrame], checks: Iterable[Check],
             by_base.setdefault(base, []).append((c, renames.get(c.column, c.column)))
     for base, cs in by_base.items():
         df = models[base]
-        rows = [(c, col) for c, col in cs if c.kind in _ROW_LEVEL]
+        # identical checks declared on several projections of one base are computed once
+        # and reported under each declaring model
+        def slots(kinds):
+            uniq: dict[tuple, int] = {}
+            mapping = []
+            for c, col in cs:
+                if c.kind in kinds:
+                    sig = (c.kind, col, tuple(sorted((k, str(v)) for k, v in c.args.items())))
+                    mapping.append((c, uniq.setdefault(sig, len(uniq)), col))
+            firsts = {}
+            for c, i, col in mapping:
+                firsts.setdefault(i, (c, col))
+            return mapping, [firsts[i] for i in range(len(uniq))]
+
+        rows, row_slots = slots(_ROW_LEVEL)
         if rows:
             aggs = [F.count(F.when(_row_condition(c, col), 1)).alias(f"r{i}")
-                    for i, (c, col) in enumerate(rows)]
-            parts.append(_stack(df.agg(*aggs), [c for c, _ in rows], [f"r{i}" for i in range(len(rows))]))
-        grouped = [(c, col) for c, col in cs if c.kind in _GROUPED]
+                    for i, (c, col) in enumerate(row_slots)]
+            parts.append(_stack(df.agg(*aggs), [c for c, _, _ in rows], [f"r{i}" for _, i, _ in rows]))
+        grouped, group_slots = slots(_GROUPED)
         if grouped:
             items = []
-            for i, (c, name) in enumerate(grouped):
+            for i, (c, name) in enumerate(group_slots):
                 col = F.col(name)
                 bad = col.isNotNull()
                 if c.kind == "accepted_values":
@@ -148,17 +162,23 @@ def run_checks(models: dict[str, DataFrame], checks: Iterable[Check],
             g = pairs.groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v")).agg(
                 F.count(F.lit(1)).alias("n"))
             aggs = []
-            for i, (c, _) in enumerate(grouped):
+            for i, (c, _) in enumerate(group_slots):
                 fail = (F.col("i") == i) & ((F.col("n") > 1) if c.kind == "unique" else F.lit(True))
                 aggs.append(F.count(F.when(fail, 1)).alias(f"g{i}"))
-            parts.append(_stack(g.agg(*aggs), [c for c, _ in grouped],
-                                [f"g{i}" for i in range(len(grouped))]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            parts.append(_stack(g.agg(*aggs), [c for c, _, _ in grouped], [f"g{i}" for _, i, _ in grouped]))
+    out = union_all(parts)
     return out.select("check", "model", "column", F.col("failures").cast("bigint").alias("failures"))
 
 
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    """Union many frames as a balanced tree (each union re-analyses its inputs, so a chain
+    costs quadratic planning time); the optimizer flattens it into one Union."""
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+                 for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 # Projections among the declared models: same rows, same values under the same names.
 SAME_ROWS = {
     "raw_github_repositories": ("stg_github_repositories", {}),

@@ -21,14 +21,15 @@ from .sources.schemas import KEYS, RAW
 from .streaming import ingest as S
 
 RUN_NOW = "2024-02-01 00:00:00"
-FILES_PER_TRIGGER = 8
+LANDING_FILES = 4            # files per landed copy (a fixture choice)
+FILES_PER_TRIGGER = 4        # one landed copy per micro-batch here; thousands on a cluster
 WATERMARK_DELAY = "40 days"   # > the disorder between landed files (one month of events)
 
 
 def _land_pages(spark, sf, landing: str, copies: int = 2) -> None:
     """Play pages (JSON lines, one page per line), landed `copies` times."""
     pages = L.build_pages(J.play_records(spark, sf), "record", F.floor(F.col("ref") / 100), "items")
-    pages = pages.select("payload").persist()
+    pages = pages.select("payload").coalesce(LANDING_FILES).persist()
     for i in range(copies):
         pages.write.text(f"{landing}/copy={i}")
     pages.unpersist()
@@ -37,7 +38,7 @@ def _land_pages(spark, sf, landing: str, copies: int = 2) -> None:
 def _land_events(spark, sf, landing: str, copies: int) -> T.StructType:
     ev = B.table(spark, sf, "events")
     for i in range(copies):
-        ev.write.parquet(f"{landing}/copy={i}")
+        ev.coalesce(LANDING_FILES).write.parquet(f"{landing}/copy={i}")
     return ev.schema
 
 
