@@ -75,3 +75,27 @@ def test_purge(spark):
     df = spark.createDataFrame([("gmail", "1"), ("spotify", "2")], "source string, source_id string")
     assert [r["source"] for r in U.purge(df, "gmail").collect()] == ["spotify"]
     assert U.purge(df).count() == 0
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    import os
+
+    k = ["source", "source_id"]
+    path, stage = str(tmp_path / "t"), str(tmp_path / "s1")
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    base = frame(spark, [("g", "a", "x", 1, jan, jan), ("g", "b", "y", 2, feb, feb)])
+    U.upsert_partitioned(base, path, stage, k, "2024-02-10 00:00:00", keep=("ingested_at",), touch=())
+
+    def listing(part):
+        d = os.path.join(path, f"ingest_month={part}")
+        return sorted((f, os.path.getmtime(os.path.join(d, f))) for f in os.listdir(d))
+
+    feb_before = listing("2024-02")
+    inc = frame(spark, [("g", "a", "x2", 10, None, None), ("g", "c", "z", 3, None, None)])
+    U.upsert_partitioned(inc, path, str(tmp_path / "s2"), k, "2024-06-01 00:00:00")
+    out = {r["source_id"]: r for r in spark.read.parquet(path).collect()}
+    assert out["a"]["v"] == "x2" and out["a"]["ingest_month"] == "2024-01"     # stays in its partition
+    assert out["a"]["ingested_at"] == jan and out["a"]["updated_at"] == dt.datetime(2024, 6, 1)
+    assert out["c"]["ingest_month"] == "2024-06" and out["b"]["v"] == "y"
+    assert len(out) == 3
+    assert listing("2024-02") == feb_before                                      # untouched
