@@ -110,18 +110,29 @@ def upsert(
     return j.select(*out)
 
 
-def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row `(inserted, updated)`: inserted = new distinct keys, updated = rows - inserted.
 
-    The batch is folded per key first; only its distinct keys meet the existing table.
+    The batch is folded per key first. When its keys pass the broadcast size check, the
+    existing table's key columns stream once against a broadcast of them (semi-join, no
+    shuffle of the big side) and only the matched keys are deduplicated. Beyond the bound,
+    the folded batch is anti-joined against the existing keys with a shuffle on both sides.
     """
     keys = list(keys)
     g = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows")).scalar()
-    new = g.join(existing.select(*keys), keys, "left_anti")
-    return new.agg(F.count(F.lit(1)).alias("inserted")).select(
-        F.col("inserted").cast("bigint").alias("inserted"),
-        (total - F.col("inserted")).cast("bigint").alias("updated"))
+    tot = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+                F.count(F.lit(1)).alias("nkeys"))
+    bkeys = g.select(*keys)
+    if fits_broadcast(bkeys, max_broadcast_rows):
+        matched = (existing.select(*keys).join(F.broadcast(bkeys), keys, "left_semi")
+                   .distinct().agg(F.count(F.lit(1)).alias("m")).scalar())
+        inserted = F.col("nkeys") - F.lit(matched)
+    else:
+        new = g.join(existing.select(*keys), keys, "left_anti")
+        inserted = F.lit(new.agg(F.count(F.lit(1))).scalar())
+    return tot.select(inserted.cast("bigint").alias("inserted"),
+                      (F.col("rows") - inserted).cast("bigint").alias("updated"))
 
 
 def purge(df: DataFrame, source: str | None = None) -> DataFrame:
@@ -142,37 +153,59 @@ def upsert_partitioned(
     now: datetime | str,
     keep: Sequence[str] = ("ingested_at",),
     touch: Sequence[str] = ("updated_at",),
+    order: Sequence[str | Column] | None = None,
     part_col: str = PART_COL,
-) -> None:
-    """C1 for large raw tables: rewrite only the partitions the batch touches.
-
-    The table at `path` is Parquet partitioned by `part_col` = month of `ingested_at`, which
-    the upsert keeps from a key's first insert, so a key never moves partition. The
-    partitions holding batch keys are found with a key-only semi-join (dynamic partition
-    pruning then limits the full read to them); those partitions plus the current month are
-    upserted, staged under `staging`, and swapped in with dynamic partition overwrite.
-    Untouched partitions are neither read in full nor rewritten. Re-running a batch after a
-    crash is idempotent.
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+) -> tuple[int, int]:
+    """C1 (+ C3) for large raw tables: rewrite only the partitions the batch touches.
+
+    The table at `path` is Parquet partitioned by `part_col` = month of `ingested_at`. The
+    upsert keeps `ingested_at` from a key's first insert, so a key never changes partition
+    and new keys land in the run's month. One scan of the existing key columns, against a
+    size-checked broadcast of the batch keys, yields the touched partitions and the number
+    of matched keys (at most one row per month comes back to the driver). Only the touched
+    partitions and the run's month are read, upserted, staged under `staging` and swapped in
+    by dynamic partition overwrite; the rest is neither read in full nor rewritten.
+
+    Rows with duplicate keys in `incoming` are folded by `order` (last wins) when given.
+    Re-running a batch after a crash is idempotent. Returns `(inserted, updated)` as C3.
     """
+    from pyspark.errors import AnalysisException
+
     spark = incoming.sparkSession
+    keys = list(keys)
     month = F.date_format(F.col("ingested_at"), "yyyy-MM")
+    g = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    tot = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+                F.count(F.lit(1)).alias("nkeys")).first()
+    rows, nkeys = int(tot["rows"]), int(tot["nkeys"])
+    inc = dedup_last(incoming, keys, order) if order else incoming
     try:
         existing = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first load: the table does not exist yet
-        existing = None
-    if existing is None:
-        first = upsert(incoming.where(F.lit(False)), incoming, keys, now, keep, touch)
+    except AnalysisException:  # first load: the table does not exist yet
+        first = upsert(inc.where(F.lit(False)), inc, keys, now, keep, touch,
+                       max_broadcast_rows=max_broadcast_rows)
         first.withColumn(part_col, month).write.mode("errorifexists").partitionBy(part_col).parquet(path)
-        return
+        return nkeys, rows - nkeys
     cols = [c for c in existing.columns if c != part_col]
-    batch_keys = incoming.select(*keys).distinct()
-    current = F.date_format(F.lit(str(now)).cast("timestamp_ntz"), "yyyy-MM")
-    # partitions holding batch keys: one row per month, so bounded by the calendar
-    touched = (existing.select(*keys, part_col).join(batch_keys, list(keys), "left_semi")
-               .select(part_col).distinct().where(F.col(part_col) != current))
-    old = (existing.join(F.broadcast(touched), part_col, "left_semi")
-           .unionByName(existing.where(F.col(part_col) == current)).select(*cols))
-    merged = upsert(old, incoming.select(*cols), keys, now, keep, touch).withColumn(part_col, month)
+
+    bkeys = g.select(*keys)
+    if fits_broadcast(bkeys, max_broadcast_rows):
+        bkeys = F.broadcast(bkeys)
+    # existing keys are unique (the table is only written by this upsert): matched rows = keys
+    hit = (existing.select(*keys, part_col).join(bkeys, keys, "left_semi")
+           .groupBy(part_col).agg(F.count(F.lit(1)).alias("n")).collect())
+    matched = sum(int(r["n"]) for r in hit)
+    months = {r[part_col] for r in hit}
+    if "ingested_at" in keep:
+        months.add(spark.range(1).select(F.date_format(_ts(now), "yyyy-MM")).first()[0])
+    else:  # new rows keep their own ingestion time: their months, one row per month
+        months |= {r[0] for r in inc.select(month).distinct().collect()}
+    old = existing.where(F.col(part_col).isin(sorted(months))).select(*cols)
+    merged = upsert(old, inc.select(*cols), keys, now, keep, touch,
+                    max_broadcast_rows=max_broadcast_rows).withColumn(part_col, month)
     merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
     (spark.read.parquet(staging).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    inserted = nkeys - matched
+    return inserted, rows - inserted

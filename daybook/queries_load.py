@@ -16,6 +16,7 @@ from .operators import runs as E
 from .operators import upsert as U
 from .plans import marts as M
 from .queries import register, wh
+from .session import scratch_path
 from .sources import bindings as B
 from .sources.schemas import KEYS
 
@@ -126,6 +127,19 @@ def upsert(spark, sf):
     return U.upsert(commits_existing(spark, sf), commits_incoming(spark, sf), COMMIT_KEYS, RUN_NOW)
 
 
+@register("upsert_partitioned", WS(_upsert_sql("ex_commits", "inc_commits", COMMIT_KEYS, COMMIT_COLS)))
+def upsert_partitioned(spark, sf):
+    """C1 on a raw table partitioned by ingest month: the previous run's rows are loaded
+    as they are, then the batch is applied; only the partitions holding batch keys and the
+    run's month are read and rewritten."""
+    path = f"{scratch_path(spark, 'raw_github_commits')}/table"
+    U.upsert_partitioned(commits_existing(spark, sf), path, scratch_path(spark, "stage"),
+                         COMMIT_KEYS, RUN_NOW, keep=(), touch=())
+    U.upsert_partitioned(commits_incoming(spark, sf), path, scratch_path(spark, "stage"),
+                         COMMIT_KEYS, RUN_NOW)
+    return spark.read.parquet(path).select(*COMMIT_COLS)
+
+
 @register("upsert_composite", W(f"WITH {_CAL_SCEN} " + _upsert_sql("ex_cal", "inc_cal", CAL_KEYS, CAL_COLS)))
 def upsert_composite(spark, sf):
     return U.upsert(cal_existing(spark, sf), cal_incoming(spark, sf), CAL_KEYS, RUN_NOW)

@@ -42,7 +42,7 @@ def _land_events(spark, sf, landing: str, copies: int) -> T.StructType:
     return ev.schema
 
 
-def _play_stream_run(spark, sf):
+def _play_stream_run(spark, sf, partitioned: bool = True):
     landing = scratch_path(spark, "landing-plays")
     _land_pages(spark, sf, landing)
     stream = (spark.readStream.schema("value string").option("recursiveFileLookup", "true")
@@ -55,7 +55,7 @@ def _play_stream_run(spark, sf):
     audit = scratch_path(spark, "audit")
     S.stream_upsert(stream, normalize, "raw_spotify_plays", RAW["raw_spotify_plays"],
                     KEYS["raw_spotify_plays"], target, scratch_path(spark, "ckpt"), RUN_NOW,
-                    audit_root=audit)
+                    audit_root=audit, partitioned=partitioned)
     return target, audit
 
 
@@ -65,6 +65,15 @@ def _play_stream_run(spark, sf):
 def stream_upsert(spark, sf):
     """M1: landed play pages (each delivered twice) -> normalise -> upsert per micro-batch."""
     target, _ = _play_stream_run(spark, sf)
+    return S.read_partitioned(spark, target, "raw_spotify_plays", RAW["raw_spotify_plays"]).drop("raw_payload")
+
+
+@register("stream_upsert_snapshots", f"""
+    SELECT p.*, TIMESTAMP '{RUN_NOW}' AS ingested_at, TIMESTAMP '{RUN_NOW}' AS updated_at
+    FROM ({_PLAY_SQL}) p""")
+def stream_upsert_snapshots(spark, sf):
+    """M1 with the snapshot sink: each micro-batch publishes a new snapshot (pointer move)."""
+    target, _ = _play_stream_run(spark, sf, partitioned=False)
     return L.read_table(spark, target, "raw_spotify_plays").drop("raw_payload")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..operators import upsert as U
 from ..operators.normalize import split_malformed, to_raw
 from ..operators.runs import status_col
+from ..session import scratch_path
 from ..sources import landing as L
 
 AUDIT_SCHEMA = T.StructType([
@@ -60,16 +61,24 @@ def stream_upsert(
     checkpoint: str,
     now: str,
     audit_root: str | None = None,
+    partitioned: bool = False,
 ) -> None:
     """M1 (+ M4): landing stream -> normalise -> upsert per micro-batch; one audit row per
     batch appended to `audit_root` (deduplicated on batch id by readers). Runs until the
     landed files are drained.
 
-    Each micro-batch is parsed once (persisted for the batch's few jobs, then released);
-    the current snapshot is tracked between batches instead of re-resolving the pointer.
+    Each micro-batch is parsed once (persisted for the batch's few jobs, then released).
+    Two sink layouts:
+    * snapshots (default): each batch writes a new snapshot of `table` and moves its
+      pointer; the current snapshot is tracked between batches.
+    * `partitioned=True`: `target_root/table` is one Parquet table partitioned by ingest
+      month; each batch rewrites only the partitions holding its keys plus the run's month
+      (`upsert_partitioned`), so a batch costs a key-column scan plus its own partitions,
+      not a rewrite of the table. This is the layout for very large raw tables.
     """
     order = [c for c in schema.fieldNames() if c not in keys]
     current: dict[str, str] = {}
+    path = f"{target_root.rstrip('/')}/{table}"
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -77,11 +86,16 @@ def stream_upsert(
         try:
             stats = normal.agg(F.count(F.lit(1)).alias("n"), F.count("_error").alias("bad")).first()
             good, _ = split_malformed(normal)
-            existing = None
-            if "snap" in current:
-                existing = spark.read.schema(schema).parquet(f"{target_root.rstrip('/')}/{table}/{current['snap']}")
-            c, current["snap"] = upsert_batch(to_raw(good, table, now), target_root, table, schema,
-                                              keys, order, now, existing)
+            raw = to_raw(good, table, now)
+            if partitioned:
+                c = dict(zip(("inserted", "updated"), U.upsert_partitioned(
+                    raw, path, scratch_path(spark, f"stage-{table}"), keys, now, order=order)))
+            else:
+                existing = None
+                if "snap" in current:
+                    existing = spark.read.schema(schema).parquet(f"{path}/{current['snap']}")
+                c, current["snap"] = upsert_batch(raw, target_root, table, schema,
+                                                  keys, order, now, existing)
         finally:
             normal.unpersist()
         if audit_root is not None:
@@ -98,6 +112,12 @@ def stream_upsert(
     q.awaitTermination()
 
 
+def read_partitioned(spark: SparkSession, target_root: str, table: str,
+                     schema: T.StructType) -> DataFrame:
+    """The table written by a `partitioned=True` sink, in its declared schema."""
+    return spark.read.parquet(f"{target_root.rstrip('/')}/{table}").select(*schema.fieldNames())
+
+
 def read_audit(spark: SparkSession, audit_root: str) -> DataFrame:
     """Audit rows, one per batch id (a re-run batch keeps its latest row)."""
     a = spark.read.schema(AUDIT_SCHEMA).parquet(audit_root)

@@ -48,6 +48,8 @@ def test_counts_replay_and_in_batch_duplicates(spark):
     inc = frame(spark, [("g", "a", "y", 1, None, None), ("g", "b", "y", 1, None, None)])
     c = U.upsert_counts(ex, inc, k).first()
     assert (c["inserted"], c["updated"]) == (1, 1)
+    c = U.upsert_counts(ex, inc, k, max_broadcast_rows=0).first()      # shuffle form
+    assert (c["inserted"], c["updated"]) == (1, 1)
     dup = frame(spark, [("g", "z", "first", 1, None, None), ("g", "z", "second", 2, None, None)])
     c = U.upsert_counts(ex, dup, k).first()
     assert (c["inserted"], c["updated"]) == (1, 1)
@@ -93,10 +95,22 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
 
     feb_before = listing("2024-02")
     inc = frame(spark, [("g", "a", "x2", 10, None, None), ("g", "c", "z", 3, None, None)])
-    U.upsert_partitioned(inc, path, str(tmp_path / "s2"), k, "2024-06-01 00:00:00")
+    assert U.upsert_partitioned(inc, path, str(tmp_path / "s2"), k, "2024-06-01 00:00:00") == (1, 1)
     out = {r["source_id"]: r for r in spark.read.parquet(path).collect()}
     assert out["a"]["v"] == "x2" and out["a"]["ingest_month"] == "2024-01"     # stays in its partition
     assert out["a"]["ingested_at"] == jan and out["a"]["updated_at"] == dt.datetime(2024, 6, 1)
     assert out["c"]["ingest_month"] == "2024-06" and out["b"]["v"] == "y"
     assert len(out) == 3
     assert listing("2024-02") == feb_before                                      # untouched
+
+
+def test_partitioned_upsert_folds_duplicates_and_replays(spark, tmp_path):
+    k = ["source", "source_id"]
+    path = str(tmp_path / "t")
+    batch = frame(spark, [("g", "a", "first", 1, None, None), ("g", "a", "second", 2, None, None),
+                          ("g", "b", "y", 1, None, None)])
+    assert U.upsert_partitioned(batch, path, str(tmp_path / "s1"), k, NOW, order=["n"]) == (2, 1)
+    once = table(spark.read.parquet(path))
+    assert U.upsert_partitioned(batch, path, str(tmp_path / "s2"), k, NOW, order=["n"]) == (0, 3)
+    assert table(spark.read.parquet(path)) == once                              # idempotent
+    assert {r["v"] for r in spark.read.parquet(path).collect()} == {"second", "y"}
