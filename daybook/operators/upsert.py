@@ -143,6 +143,54 @@ def purge(df: DataFrame, source: str | None = None) -> DataFrame:
 
 
 PART_COL = "ingest_month"
+SWAP_MARK = "_swap_pending"   # under the table path; Parquet readers skip names starting with "_"
+
+
+def _fs_path(spark, path: str):
+    """Hadoop FileSystem and Path for `path` (works on any Hadoop-compatible store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _mark_swap(spark, path: str, staging: str | None) -> None:
+    """Write the swap intent (the staging folder) before a swap; remove it after.
+    Two file-system calls, no Spark job."""
+    fs, mark = _fs_path(spark, f"{path.rstrip('/')}/{SWAP_MARK}")
+    if staging is None:
+        fs.delete(mark, False)
+        return
+    out = fs.create(mark, True)
+    out.write(bytearray(staging.encode("utf-8")))
+    out.close()
+
+
+def _pending_swap(spark, path: str) -> str | None:
+    """The staging folder of a swap that began but never finished (read only after a crash)."""
+    fs, mark = _fs_path(spark, f"{path.rstrip('/')}/{SWAP_MARK}")
+    if not fs.exists(mark):
+        return None
+    ins = fs.open(mark)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(ins, "UTF-8")
+    finally:
+        ins.close()
+    return text.strip() or None      # empty: cut before the intent was written, nothing began
+
+
+def _swap(spark, staging: str, path: str, part_col: str) -> None:
+    """Replace the partitions present in `staging` (a complete, committed write) in `path`.
+    The intent is marked first: a swap cut short (driver lost between the partition
+    deletes and renames of the commit) is redone from `staging` by the next call."""
+    _mark_swap(spark, path, staging)
+    (spark.read.parquet(staging).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    _mark_swap(spark, path, None)
+
+
+def _month_of(now: datetime | str) -> str:
+    d = now if isinstance(now, datetime) else datetime.fromisoformat(str(now))
+    return d.strftime("%Y-%m")
 
 
 def upsert_partitioned(
@@ -162,35 +210,44 @@ def upsert_partitioned(
     The table at `path` is Parquet partitioned by `part_col` = month of `ingested_at`. The
     upsert keeps `ingested_at` from a key's first insert, so a key never changes partition
     and new keys land in the run's month. One scan of the existing key columns, against a
-    size-checked broadcast of the batch keys, yields the touched partitions and the number
-    of matched keys (at most one row per month comes back to the driver). Only the touched
-    partitions and the run's month are read, upserted, staged under `staging` and swapped in
-    by dynamic partition overwrite; the rest is neither read in full nor rewritten.
+    broadcast of the batch keys (when their count passes the bound), yields the touched
+    partitions and the number of matched keys (at most one row per month comes back to the
+    driver). Only the touched partitions and the run's month are read, upserted, staged
+    under `staging` and swapped in by dynamic partition overwrite; the rest is neither read
+    in full nor rewritten.
 
     Rows with duplicate keys in `incoming` are folded by `order` (last wins) when given.
-    Re-running a batch after a crash is idempotent. Returns `(inserted, updated)` as C3.
+    Re-running a batch after a crash is idempotent, and an unfinished swap is completed
+    first. Returns `(inserted, updated)` as C3.
     """
     from pyspark.errors import AnalysisException
 
     spark = incoming.sparkSession
     keys = list(keys)
+    pending = _pending_swap(spark, path)
+    if pending is not None:
+        _swap(spark, pending, path, part_col)
     month = F.date_format(F.col("ingested_at"), "yyyy-MM")
     g = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     tot = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
                 F.count(F.lit(1)).alias("nkeys")).first()
     rows, nkeys = int(tot["rows"]), int(tot["nkeys"])
+    small = nkeys <= max_broadcast_rows            # the batch's distinct keys, counted above
+    strategy = "broadcast" if small else "shuffle"
     inc = dedup_last(incoming, keys, order) if order else incoming
     try:
         existing = spark.read.parquet(path)
     except AnalysisException:  # first load: the table does not exist yet
-        first = upsert(inc.where(F.lit(False)), inc, keys, now, keep, touch,
-                       max_broadcast_rows=max_broadcast_rows)
-        first.withColumn(part_col, month).write.mode("errorifexists").partitionBy(part_col).parquet(path)
+        existing = None
+    if existing is None:
+        first = upsert(inc.where(F.lit(False)), inc, keys, now, keep, touch, strategy=strategy)
+        first.withColumn(part_col, month).write.mode("overwrite").partitionBy(part_col).parquet(staging)
+        _swap(spark, staging, path, part_col)
         return nkeys, rows - nkeys
     cols = [c for c in existing.columns if c != part_col]
 
     bkeys = g.select(*keys)
-    if fits_broadcast(bkeys, max_broadcast_rows):
+    if small:
         bkeys = F.broadcast(bkeys)
     # existing keys are unique (the table is only written by this upsert): matched rows = keys
     hit = (existing.select(*keys, part_col).join(bkeys, keys, "left_semi")
@@ -198,14 +255,13 @@ def upsert_partitioned(
     matched = sum(int(r["n"]) for r in hit)
     months = {r[part_col] for r in hit}
     if "ingested_at" in keep:
-        months.add(spark.range(1).select(F.date_format(_ts(now), "yyyy-MM")).first()[0])
+        months.add(_month_of(now))
     else:  # new rows keep their own ingestion time: their months, one row per month
         months |= {r[0] for r in inc.select(month).distinct().collect()}
     old = existing.where(F.col(part_col).isin(sorted(months))).select(*cols)
     merged = upsert(old, inc.select(*cols), keys, now, keep, touch,
-                    max_broadcast_rows=max_broadcast_rows).withColumn(part_col, month)
+                    strategy=strategy).withColumn(part_col, month)
     merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    _swap(spark, staging, path, part_col)
     inserted = nkeys - matched
     return inserted, rows - inserted

@@ -114,3 +114,26 @@ def test_partitioned_upsert_folds_duplicates_and_replays(spark, tmp_path):
     assert U.upsert_partitioned(batch, path, str(tmp_path / "s2"), k, NOW, order=["n"]) == (0, 3)
     assert table(spark.read.parquet(path)) == once                              # idempotent
     assert {r["v"] for r in spark.read.parquet(path).collect()} == {"second", "y"}
+
+
+def test_partitioned_upsert_completes_an_interrupted_swap(spark, tmp_path):
+    """A swap cut short after deleting a partition is redone from its staging by the next call."""
+    import shutil
+
+    k = ["source", "source_id"]
+    path = str(tmp_path / "t")
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    U.upsert_partitioned(frame(spark, [("g", "a", "x", 1, jan, jan), ("g", "b", "y", 2, feb, feb)]),
+                         path, str(tmp_path / "s1"), k, "2024-02-10 00:00:00", keep=(), touch=())
+    stage = str(tmp_path / "s2")
+    U.upsert_partitioned(frame(spark, [("g", "a", "x2", 10, None, None)]), path, stage, k, NOW)
+    want = table(spark.read.parquet(path))
+    # the driver died inside the commit of that swap: intent logged, jan partition deleted
+    U._mark_swap(spark, path, stage)
+    shutil.rmtree(f"{path}/ingest_month=2024-01")
+    assert U._pending_swap(spark, path) == stage
+    # the stream re-runs the interrupted batch
+    assert U.upsert_partitioned(frame(spark, [("g", "a", "x2", 10, None, None)]), path,
+                                str(tmp_path / "s3"), k, NOW) == (0, 1)
+    assert U._pending_swap(spark, path) is None
+    assert table(spark.read.parquet(path)) == want
