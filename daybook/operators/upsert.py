@@ -186,6 +186,14 @@ def _swap(spark, staging: str, path: str, part_col: str) -> None:
     (spark.read.parquet(staging).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
     _mark_swap(spark, path, None)
+    _drop_staging(spark, staging)
+
+
+def _drop_staging(spark, staging: str) -> None:
+    """Remove a staging copy once its swap is committed and unmarked (a crash keeps it for
+    the redo), so the shared folder does not grow with every batch."""
+    fs, p = _fs_path(spark, staging)
+    fs.delete(p, True)
 
 
 def _month_of(now: datetime | str) -> str:

@@ -116,8 +116,9 @@ def test_partitioned_upsert_folds_duplicates_and_replays(spark, tmp_path):
     assert {r["v"] for r in spark.read.parquet(path).collect()} == {"second", "y"}
 
 
-def test_partitioned_upsert_completes_an_interrupted_swap(spark, tmp_path):
+def test_partitioned_upsert_completes_an_interrupted_swap(spark, tmp_path, monkeypatch):
     """A swap cut short after deleting a partition is redone from its staging by the next call."""
+    import os
     import shutil
 
     k = ["source", "source_id"]
@@ -125,8 +126,11 @@ def test_partitioned_upsert_completes_an_interrupted_swap(spark, tmp_path):
     jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
     U.upsert_partitioned(frame(spark, [("g", "a", "x", 1, jan, jan), ("g", "b", "y", 2, feb, feb)]),
                          path, str(tmp_path / "s1"), k, "2024-02-10 00:00:00", keep=(), touch=())
+    assert not os.path.exists(tmp_path / "s1")                     # staging dropped after the swap
     stage = str(tmp_path / "s2")
-    U.upsert_partitioned(frame(spark, [("g", "a", "x2", 10, None, None)]), path, stage, k, NOW)
+    with monkeypatch.context() as m:                               # the run dies before cleanup
+        m.setattr(U, "_drop_staging", lambda *_: None)
+        U.upsert_partitioned(frame(spark, [("g", "a", "x2", 10, None, None)]), path, stage, k, NOW)
     want = table(spark.read.parquet(path))
     # the driver died inside the commit of that swap: intent logged, jan partition deleted
     U._mark_swap(spark, path, stage)
