@@ -196,6 +196,19 @@ def _drop_staging(spark, staging: str) -> None:
     fs.delete(p, True)
 
 
+def touched_partitions(existing: DataFrame, batch_keys: DataFrame, keys: Sequence[str],
+                       part_col: str = PART_COL, broadcast: bool = True) -> DataFrame:
+    """Per partition of `existing`, the number of its keys present in `batch_keys` (only
+    partitions with a hit). Reads the key columns alone; with `broadcast` (the caller has
+    counted the batch keys under the bound) the existing side streams without a shuffle.
+    Existing keys are unique (the table is only written by the upsert): hits = matched keys.
+    """
+    keys = list(keys)
+    b = F.broadcast(batch_keys) if broadcast else batch_keys
+    return (existing.select(*keys, part_col).join(b, keys, "left_semi")
+            .groupBy(part_col).agg(F.count(F.lit(1)).alias("n")))
+
+
 def _month_of(now: datetime | str) -> str:
     d = now if isinstance(now, datetime) else datetime.fromisoformat(str(now))
     return d.strftime("%Y-%m")
@@ -254,12 +267,7 @@ def upsert_partitioned(
         return nkeys, rows - nkeys
     cols = [c for c in existing.columns if c != part_col]
 
-    bkeys = g.select(*keys)
-    if small:
-        bkeys = F.broadcast(bkeys)
-    # existing keys are unique (the table is only written by this upsert): matched rows = keys
-    hit = (existing.select(*keys, part_col).join(bkeys, keys, "left_semi")
-           .groupBy(part_col).agg(F.count(F.lit(1)).alias("n")).collect())
+    hit = touched_partitions(existing, g.select(*keys), keys, part_col, small).collect()
     matched = sum(int(r["n"]) for r in hit)
     months = {r[part_col] for r in hit}
     if "ingested_at" in keep:

@@ -51,3 +51,23 @@ def test_models_have_no_python_udfs(spark, sf):
     for name in _MODEL_QUERIES:
         p = plan(E.queries()[name](spark, sf))
         assert "PythonUDF" not in p and "EvalPython" not in p, name
+
+
+def test_partitioned_upsert_key_scan_streams_existing_keys(spark, tmp_path):
+    """The per-batch scan of a partitioned raw table reads only the key columns and meets
+    the broadcast batch keys without shuffling the existing side."""
+    import datetime as dt
+
+    jan = dt.datetime(2024, 1, 5)
+    rows = [("g", str(i), "v", i, jan, jan) for i in range(20)]
+    schema = "source string, source_id string, v string, n int, ingested_at timestamp_ntz, updated_at timestamp_ntz"
+    path = str(tmp_path / "t")
+    U.upsert_partitioned(spark.createDataFrame(rows, schema), path, str(tmp_path / "s"),
+                         ["source", "source_id"], "2024-01-10 00:00:00", keep=(), touch=())
+    batch = spark.createDataFrame([("g", "3")], "source string, source_id string")
+    t = U.touched_partitions(spark.read.parquet(path), batch, ["source", "source_id"])
+    p = plan(t)
+    assert "BroadcastHashJoin LeftSemi BuildRight" in p, p
+    scans = [line for line in p.splitlines() if line.startswith("ReadSchema")]
+    assert "ReadSchema: struct<source:string,source_id:string>" in scans, scans
+    assert [tuple(r) for r in t.collect()] == [("2024-01", 1)]
