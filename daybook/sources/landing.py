@@ -94,6 +94,24 @@ def write_table(df: DataFrame, root: str, table: str, partition_by: list[str] |
     return snap
 
 
+def vacuum(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest `keep` snapshots of `table` (names are time-ordered); the
+    current one and the one before it stay for readers still on it. Returns what was removed.
+    File-system calls only (list + delete), no Spark job."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    snaps = sorted(st.getPath().getName() for st in fs.listStatus(base)
+                   if st.isDirectory() and st.getPath().getName().startswith("snap-"))
+    current = current_snapshot(spark, root, table)
+    drop = [n for n in snaps[:max(len(snaps) - max(keep, 1), 0)] if n != current]
+    for n in drop:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(base, n), True)
+    return drop
+
+
 def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None) -> DataFrame:
     """A2: the current snapshot of `table`; raw tables are read with their declared schema."""
     snap = current_snapshot(spark, root, table)

@@ -96,6 +96,7 @@ def stream_upsert(
                     existing = spark.read.schema(schema).parquet(f"{path}/{current['snap']}")
                 c, current["snap"] = upsert_batch(raw, target_root, table, schema,
                                                   keys, order, now, existing)
+                L.vacuum(spark, target_root, table, keep=2)
         finally:
             normal.unpersist()
         if audit_root is not None:

@@ -141,3 +141,15 @@ def test_partitioned_upsert_completes_an_interrupted_swap(spark, tmp_path, monke
                                 str(tmp_path / "s3"), k, NOW) == (0, 1)
     assert U._pending_swap(spark, path) is None
     assert table(spark.read.parquet(path)) == want
+
+
+def test_vacuum_keeps_the_newest_snapshots(spark, tmp_path):
+    from daybook.sources import landing as L
+
+    root = str(tmp_path)
+    df = frame(spark, [("g", "a", "x", 1, T0, T0)])
+    snaps = [L.write_table(df, root, "t") for _ in range(4)]
+    assert L.vacuum(spark, root, "t", keep=2) == snaps[:2]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("snap-")) == snaps[2:]
+    assert table(L.read_table(spark, root, "t", df.schema)) == table(df)     # current still readable
+    assert L.vacuum(spark, root, "t", keep=2) == []
