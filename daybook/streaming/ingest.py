@@ -153,7 +153,8 @@ def run_update_upsert(df: DataFrame, keys: Sequence[str], root: str, table: str,
                       schema: T.StructType, checkpoint: str, now: str) -> None:
     """Update-mode sink: each batch's changed rows replace their keys in `table`."""
     def per_batch(b: DataFrame, _batch_id: int) -> None:
-        upsert_batch(b, root, table, schema, keys, [], now)[0]
+        upsert_batch(b, root, table, schema, keys, [], now)
+        L.vacuum(b.sparkSession, root, table, keep=2)
 
     q = (df.writeStream.outputMode("update").foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
