@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,27 +50,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     The cluster names it in `spark.checkpoint.dir`; only when unset (local tests) a fresh
     scratch directory is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="daybook-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="daybook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique directory under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        import uuid
-
-        return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(root, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=root)
+    """A new, unique path under the shared checkpoint root. Nothing is made here: the writer
+    makes it, through the filesystem that the root's scheme names."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
