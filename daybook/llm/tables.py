@@ -25,6 +25,15 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that `docs` doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    name = f"_{name}"
+    while any(c.startswith(name) for c in taken):
+        name = f"_{name}"
+    return name
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet in the shared folder and read back: computed once, lineage cut."""
     spark = df.sparkSession

@@ -53,7 +53,7 @@ class Words:
         buf = self.chunk.buf
         at = np.ndarray(shape=(len(buf) - 7,), dtype="<u8", buffer=buf, strides=(1,))
         left = self.ends - self.starts
-        h = mix(left.astype(np.uint64) + np.uint64(seed * 2 + 1) * np.uint64(BASE))
+        h = mix(left.astype(np.uint64) + np.uint64((2 * seed + 1) * BASE % (1 << 64)))
         first = at[self.starts] & _LOW[np.minimum(left, 8)]
         h = mix(h ^ first)
         more = np.flatnonzero(left > 8)
