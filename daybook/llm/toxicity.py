@@ -15,10 +15,10 @@ in; words that match nothing score nothing. A document's features are its best c
 total over its clauses; a logistic curve over both gives the score.
 
 Insults are a short list and what the labels teach: words, and word beginnings (stems), whose
-share of toxic documents is far above that of clean ones. Words are learned from training rows of
-folds `LEXICON_FOLDS`, the curve is fitted on the other training rows, so that a chance word can't
-vouch for itself. Both take bounded samples (`SAMPLE_ROWS` rows, by a hash of the id;
-`LEXICON_SIZE` entries).
+share of toxic documents is far above that of clean ones (log odds less their standard error).
+The curve is fitted with the words learned from folds `LEXICON_FOLDS` on the other training rows,
+so that a chance word can't vouch for itself; then words are learned from all training rows. Both
+take bounded samples (`SAMPLE_ROWS` rows, by a hash of the id; `LEXICON_SIZE` entries).
 
 Nulls: a null text is empty and gets the curve's value for no match; rows with a null id or label
 aren't learned from, a null id is carried along. With no toxic or no clean training row the
@@ -39,11 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import fold_of
-from .tables import chunks, id_text
+from .tables import chunks, id_text, written
 
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 4096
-MIN_DOCS = 4
+MIN_DOCS = 3
 MIN_WEIGHT = 2.0
 STEMS = range(4, 8)
 LEXICON_FOLDS = (1, 2, 3)
@@ -196,6 +196,7 @@ def learn_lexicon(rows: DataFrame, *, size: int = LEXICON_SIZE, min_docs: int =
          .groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
          .where(F.col("toxic") >= min_docs))
     odds = F.log((F.col("toxic") + 0.5) / (totals[1] + 1.0)) - F.log((F.col("clean") + 0.5) / (totals[0] + 1.0))
+    odds -= F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))  # its standard error
     best = n.withColumn("weight", odds).where(F.col("weight") >= min_weight).orderBy(
         F.desc(F.col("weight") * F.log1p("toxic")), "entry").limit(size)
     return Lexicon({r["entry"]: min(r["weight"], 8.0) for r in best.select("entry", "weight").collect()})
@@ -264,11 +265,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int = 0
     y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
          .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold != held_out)))
     rows = id_text(docs).join(sampled(y, sample_rows), "doc_id").withColumn("text", F.coalesce("text", F.lit("")))
+    rows = written(rows, "toxic-sample")  # bounded; read several times
     own = fold_of(F.col("doc_id"), folds).isin(*LEXICON_FOLDS)
     lexicon = learn_lexicon(rows.where(own), size=lexicon_size)
     rest = rows.where(~own)
     f = _read(rest, lexicon, cache_size).join(rest.select("doc_id", "toxic").distinct(), "doc_id")
     data = np.array([tuple(r) for r in f.select("best", "total", "toxic").collect()], float).reshape(-1, 3)
+    lexicon = learn_lexicon(rows, size=lexicon_size)
     if len(set(data[:, 2].tolist())) < 2:
         return Model(lexicon)
     return Model(lexicon, fit_curve(data[:, :2], data[:, 2]))
