@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import zoneinfo
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from .categorize import CATEGORIES, DEFAULT_RULES, categorize, categorize_sql, u
 __all__ = [
     "CATEGORIES", "DEFAULT_RULES", "categorize", "categorize_sql", "unicode_trim",
     "surrogate_key", "iso_week", "month_str", "day_name", "is_weekend", "minutes_between",
-    "to_ms", "from_ms", "parse_iso_ts", "local_to_utc", "valid_zone", "floor_day", "trunc_second", "col_of",
+    "to_ms", "from_ms", "parse_iso_ts", "parse_iso_date", "local_to_utc", "valid_zone", "floor_day", "trunc_second", "col_of",
 ]
 
 
@@ -73,22 +76,36 @@ def from_ms(ms: Column | str) -> Column:
     return F.timestamp_millis(col_of(ms).cast("long")).cast("timestamp_ntz")
 
 
+#: ISO-8601 date or date-time, with or without an offset.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+
+
 def parse_iso_ts(s: Column | str) -> Column:
-    """ISO-8601 text with 'Z' or an offset -> TIMESTAMP_NTZ (UTC); null when unparseable.
+    """ISO-8601 text with 'Z' or an offset -> TIMESTAMP_NTZ (UTC); null when it is anything else
+    (a bare time or a bare month is no instant).
 
     Text without an offset is read as UTC. Requires the UTC session zone (ensure_session).
     """
-    return F.try_to_timestamp(col_of(s)).cast("timestamp_ntz")
+    c = col_of(s)
+    return F.when(c.rlike(ISO_TIME), F.try_to_timestamp(c)).cast("timestamp_ntz")
+
+
+def parse_iso_date(s: Column | str) -> Column:
+    """ISO-8601 calendar date -> DATE; null when it is anything else."""
+    c = col_of(s)
+    return F.when(c.rlike(ISO_DATE), F.try_to_date(c))
+
+
+@cache
+def zone_ids() -> tuple[str, ...]:
+    """The zone database's region ids (those that name a file of the system aside)."""
+    return tuple(sorted(zoneinfo.available_timezones() - {"localtime", "posixrules", "Factory"}))
 
 
 def valid_zone(zone: Column | str) -> Column:
-    """True when `zone` is a region id the JVM knows (never throws; null zone -> false)."""
-    z = col_of(zone)
-    return (
-        z.isNotNull()
-        & z.rlike("^[A-Za-z]")
-        & F.try_reflect(F.lit("java.time.ZoneId"), F.lit("of"), z).isNotNull()
-    )
+    """True when `zone` is an id of the zone database (a literal set; null zone -> false)."""
+    return F.coalesce(col_of(zone).isin(*zone_ids()), F.lit(False))
 
 
 def local_to_utc(local_ntz: Column | str, zone: Column | str, validate: bool = True) -> Column:
@@ -99,6 +116,7 @@ def local_to_utc(local_ntz: Column | str, zone: Column | str, validate: bool = T
     overlaps take the earlier offset.
     """
     z = F.when(valid_zone(zone), col_of(zone)).otherwise(F.lit("UTC")) if validate else col_of(zone)
+    z = F.when(z == "ROC", F.lit("Asia/Taipei")).otherwise(z)  # the one id that Java calls otherwise
     return F.to_utc_timestamp(col_of(local_ntz).cast("timestamp"), z).cast("timestamp_ntz")
 
 

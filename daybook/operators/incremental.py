@@ -11,7 +11,6 @@ then AQE's measured ones), otherwise a shuffle join where AQE splits a hot entit
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -69,13 +68,16 @@ def select_since(
 ) -> DataFrame:
     """Rows at or after the entity's cursor, else at or after `default_since`.
 
-    `full` drops the bound (per-entity sources re-read everything).
+    The least of all bounds is a scalar subquery that filters the table itself, so files and row
+    groups before it aren't read; the entity's own bound is applied after the join. `full` drops
+    the bound (per-entity sources re-read everything).
     """
     if full:
         return df
     cur = get_cursors(state, connector).select(
         F.col("entity_key").alias("__entity"), cursor_time("last_cursor", kind).alias("__since"))
-    j = df.join(cur, df[entity_col] == cur["__entity"], "left")
+    least = cur.agg(F.least(F.min("__since"), _ts(default_since)).alias("s")).scalar()
+    j = df.where(F.col(ts_col) >= least).join(cur, df[entity_col] == cur["__entity"], "left")
     bound = F.coalesce(F.col("__since"), _ts(default_since))
     return j.where(F.col(ts_col) >= bound).drop("__entity", "__since")
 
@@ -145,11 +147,3 @@ def drop_failed(batch: DataFrame, failed: DataFrame, entity_col: str, failed_col
     """Rows of entities whose feed failed are dropped (no rows, no cursor change)."""
     f = failed.select(F.col(failed_col).alias("__failed")).distinct()
     return batch.join(f, batch[entity_col] == f["__failed"], "left_anti")
-
-
-def lookback(now: datetime | str, days: int = 90) -> Column:
-    return _ts(now) - F.expr(f"INTERVAL {int(days)} DAYS")
-
-
-def keys_of(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*cols)

@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import categorize, local_to_utc, parse_iso_ts, valid_zone
+from ..functions import ISO_TIME, categorize, local_to_utc, parse_iso_date, parse_iso_ts, valid_zone
 from ..sources import schemas as S
+from ..sources.landing import SEQUENCE
 
 REC = "record"
 _J = "__j"
@@ -71,7 +72,7 @@ def _object() -> tuple[Column, str]:
 
 
 def _finish(df: DataFrame, cols: list[Column], rules: list[tuple[Column, str]], col: str) -> DataFrame:
-    keep = [c for c in df.columns if not c.startswith("__") and c != col]
+    keep = [c for c in df.columns if (c == SEQUENCE or not c.startswith("__")) and c != col]
     return df.select(*keep, *cols, F.col(col).alias("raw_payload"), _first_error(rules).alias("_error"))
 
 
@@ -112,7 +113,8 @@ def normalize_commits(df: DataFrame, repo_full_name: str, repo_source_id: str,
     email = j("commit.author.email")
     cols = [
         F.lit(source).alias("source"),
-        F.concat_ws(":", F.col(repo_full_name), j("sha")).alias("source_id"),
+        # a null part makes the key null, and the row is rejected before any upsert
+        F.concat(F.col(repo_full_name), F.lit(":"), j("sha")).alias("source_id"),
         F.col(repo_source_id).alias("repository_source_id"),
         j("sha").alias("commit_sha"),
         j("commit.author.name").alias("author_name"),
@@ -196,7 +198,7 @@ _OFFSET = r"T\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}(:?\d{2})?)$"
 
 def _timed(value: Column, zone_ok: Column) -> Column:
     """An explicit offset wins; otherwise local time in `zone_ok` (already validated)."""
-    local = F.try_to_timestamp(value).cast("timestamp_ntz")
+    local = F.when(value.rlike(ISO_TIME), F.try_to_timestamp(value)).cast("timestamp_ntz")
     return F.when(value.rlike(_OFFSET), parse_iso_ts(value)).otherwise(local_to_utc(local, zone_ok, False))
 
 
@@ -206,7 +208,7 @@ def normalize_calendar(df: DataFrame, calendar_id: str | Column, col: str = REC,
     + 1 day as the source system does, both ends in the start zone), neither (cancelled:
     null times, zone 'UTC')."""
     d = _prep(df, S.CALENDAR_JSON, col, ["$.start", "$.end"])
-    # each zone id is validated once per row (a JVM lookup), then reused
+    # each zone id is looked up once per row, then reused
     d = d.withColumn("__zs", F.when(valid_zone(j("start.timeZone")), j("start.timeZone")).otherwise(F.lit("UTC")))
     d = d.withColumn("__ze", F.when(valid_zone(j("end.timeZone")), j("end.timeZone")).otherwise(F.lit("UTC")))
     start_has_dt = has_in(col, "$.start", "dateTime")
@@ -214,8 +216,8 @@ def normalize_calendar(df: DataFrame, calendar_id: str | Column, col: str = REC,
     tz_start = j("start.timeZone")
     tz = F.when((tz_start.isNull()) | (tz_start == ""), F.lit("UTC")).otherwise(tz_start)
     tz_ok = F.col("__zs")
-    sd = F.try_to_date(j("start.date"))
-    ed = F.try_to_date(j("end.date"))
+    sd = parse_iso_date(j("start.date"))
+    ed = parse_iso_date(j("end.date"))
     day_start = local_to_utc(sd.cast("timestamp_ntz"), tz_ok, False)
     day_end = local_to_utc(F.date_add(ed, 1).cast("timestamp_ntz"), tz_ok, False)
     t_start = _timed(j("start.dateTime"), tz_ok)
@@ -274,11 +276,13 @@ def normalize_emails(df: DataFrame, col: str = REC, source: str = "gmail") -> Da
         F.timestamp_millis(ms).cast("timestamp_ntz").alias("date"),
         F.when(has("snippet"), j("snippet")).otherwise(F.lit("")).alias("snippet"),
     ]
-    hdr_names_ok = F.coalesce(F.forall(F.coalesce(j("payload.headers"), F.array()),
-                                       lambda h: h["name"].isNotNull()), F.lit(True))
+    headers = F.coalesce(j("payload.headers"), F.array())
+    hdr_names_ok = F.coalesce(F.forall(headers, lambda h: h["name"].isNotNull()), F.lit(True))
+    hdr_values_ok = F.coalesce(F.forall(headers, lambda h: h["value"].isNotNull()), F.lit(True))
     rules = [_object(), *_required(S.REQUIRED["email"]),
              (ms.isNotNull(), "bad internalDate"),
-             (hdr_names_ok, "header without name")]
+             (hdr_names_ok, "header without name"),
+             (hdr_values_ok, "header without value")]
     return _finish(d, cols, rules, col)
 
 
@@ -290,7 +294,7 @@ def normalize_plays(df: DataFrame, col: str = REC, source: str = "spotify") -> D
     artists = F.array_join(F.transform(F.coalesce(j("track.artists"), F.array()), lambda a: a["name"]), ", ")
     cols = [
         F.lit(source).alias("source"),
-        F.concat_ws(":", j("track.id"), j("played_at")).alias("source_id"),
+        F.concat(j("track.id"), F.lit(":"), j("played_at")).alias("source_id"),
         played.alias("played_at"),
         j("track.id").alias("track_id"),
         F.when(has_in(col, "$.track", "name"), j("track.name")).otherwise(F.lit("")).alias("track_name"),
@@ -311,7 +315,8 @@ def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def to_raw(df: DataFrame, table: str, now) -> DataFrame:
     """Normalised rows -> raw table shape; `ingested_at`/`updated_at` stamped with the run
-    time (the upsert keeps the first `ingested_at`). PR/issue `updated_at` is the source's."""
+    time (the upsert keeps the first `ingested_at`). PR/issue `updated_at` is the source's.
+    A record's sequence stays as a last column for the fold."""
     n = F.lit(str(now)).cast("timestamp_ntz")
     schema = S.RAW[table]
     out = []
@@ -322,4 +327,4 @@ def to_raw(df: DataFrame, table: str, now) -> DataFrame:
             out.append(n.alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    return df.select(*out, *([SEQUENCE] if SEQUENCE in df.columns else []))

@@ -83,7 +83,6 @@ def failing_rows(models: dict[str, DataFrame], c: Check) -> DataFrame:
 
 
 _ROW_LEVEL = ("not_null", "no_negative", "plausible_ts")
-_GROUPED = ("unique", "accepted_values")
 
 
 def _row_condition(c: Check, column: str) -> Column:
@@ -106,14 +105,15 @@ def _stack(row: DataFrame, cs: list[Check], cols: list[str]) -> DataFrame:
 
 def run_checks(models: dict[str, DataFrame], checks: Iterable[Check],
                same_rows: dict[str, tuple[str, dict[str, str]]] | None = None) -> DataFrame:
-    """One row per check with its failure count (dbt counts the rows of each test query:
-    failing rows, or offending distinct values for `unique` / `accepted_values`).
-
-    Checks are folded per base model: all row-level checks in one aggregate pass, all
-    `unique` / `accepted_values` checks in one grouped pass over exploded (check, value)
-    pairs (partial aggregation, so a hot value is folded per task). `same_rows` maps a model
-    to `(base model, renamed columns)` when it is a projection of the base (same rows, same
-    values), so e.g. raw-table and staging checks share one scan.
+    """One row per check with its failure count (the rows of each test: failing rows, or
+    offending distinct values for `unique` / `accepted_values`).
+
+    One pass per base model for all of its row-level and grouped checks: a row emits, for each check
+    that it bears on, the check's number and 128 bits of its value (none for row-level checks); they
+    are counted by (check, value) with a map-side fold, so a hot value is folded in the tasks and no
+    text is shuffled. `same_rows` maps a model to `(base model, renamed columns)` when it is a
+    projection of the base (same rows, same values), so e.g. raw-table and staging checks share one
+    scan. Relationship checks fold the child's keys before they meet the parent's.
     """
     checks = list(checks)
     same_rows = same_rows or {}
@@ -121,51 +121,37 @@ def run_checks(models: dict[str, DataFrame], checks: Iterable[Check],
     parts: list[DataFrame] = []
     for c in checks:
         if c.kind == "relationships":
-            fails = failing_rows(models, c)
-            parts.append(fails.agg(F.count(F.lit(1)).alias("failures")).select(
+            keys = models[c.model].where(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("n"))
+            lost = relationships(keys, c.column, models[c.args["to"]], c.args["field"])
+            parts.append(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")).select(
                 F.lit(c.kind).alias("check"), F.lit(c.model).alias("model"),
                 F.lit(c.column).alias("column"), F.col("failures")))
         else:
             base, renames = same_rows.get(c.model, (c.model, {}))
             by_base.setdefault(base, []).append((c, renames.get(c.column, c.column)))
     for base, cs in by_base.items():
-        df = models[base]
         # identical checks declared on several projections of one base are computed once
         # and reported under each declaring model
-        def slots(kinds):
-            uniq: dict[tuple, int] = {}
-            mapping = []
-            for c, col in cs:
-                if c.kind in kinds:
-                    sig = (c.kind, col, tuple(sorted((k, str(v)) for k, v in c.args.items())))
-                    mapping.append((c, uniq.setdefault(sig, len(uniq)), col))
-            firsts = {}
-            for c, i, col in mapping:
-                firsts.setdefault(i, (c, col))
-            return mapping, [firsts[i] for i in range(len(uniq))]
-
-        rows, row_slots = slots(_ROW_LEVEL)
-        if rows:
-            aggs = [F.count(F.when(_row_condition(c, col), 1)).alias(f"r{i}")
-                    for i, (c, col) in enumerate(row_slots)]
-            parts.append(_stack(df.agg(*aggs), [c for c, _, _ in rows], [f"r{i}" for _, i, _ in rows]))
-        grouped, group_slots = slots(_GROUPED)
-        if grouped:
-            items = []
-            for i, (c, name) in enumerate(group_slots):
-                col = F.col(name)
-                bad = col.isNotNull()
+        number: dict[tuple, int] = {}
+        slot = [number.setdefault((c.kind, col, str(sorted(c.args.items()))), len(number)) for c, col in cs]
+        first = {i: x for x, i in reversed(list(zip(cs, slot, strict=True)))}
+        items, failing = [], []
+        for i in range(len(number)):
+            c, name = first[i]
+            col = F.col(name)
+            if c.kind in _ROW_LEVEL:
+                bears, a, b = _row_condition(c, name), F.lit(0).cast("long"), F.lit(0).cast("long")
+                count = F.col("n")
+            else:
+                bears, a, b = col.isNotNull(), F.xxhash64(col), F.xxhash64(F.lit(i), col)
                 if c.kind == "accepted_values":
-                    bad = bad & ~col.isin(*c.args["values"])
-                items.append(F.when(bad, F.struct(F.lit(i).alias("i"), col.cast("string").alias("v"))))
-            pairs = df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("p"))
-            g = pairs.groupBy(F.col("p.i").alias("i"), F.col("p.v").alias("v")).agg(
-                F.count(F.lit(1)).alias("n"))
-            aggs = []
-            for i, (c, _) in enumerate(group_slots):
-                fail = (F.col("i") == i) & ((F.col("n") > 1) if c.kind == "unique" else F.lit(True))
-                aggs.append(F.count(F.when(fail, 1)).alias(f"g{i}"))
-            parts.append(_stack(g.agg(*aggs), [c for c, _, _ in grouped], [f"g{i}" for _, i, _ in grouped]))
+                    bears = bears & ~col.isin(*c.args["values"])
+                count = F.when(F.col("n") > 1, 1) if c.kind == "unique" else F.lit(1)
+            items.append(F.when(bears, F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"))))
+            failing.append(F.coalesce(F.sum(F.when(F.col("i") == i, count)), F.lit(0)).alias(f"c{i}"))
+        hits = models[base].select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("p"))
+        counted = hits.groupBy("p.i", "p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+        parts.append(_stack(counted.agg(*failing), [c for c, _ in cs], [f"c{i}" for i in slot]))
     out = union_all(parts)
     return out.select("check", "model", "column", F.col("failures").cast("bigint").alias("failures"))
 

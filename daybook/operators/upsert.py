@@ -5,21 +5,23 @@ row with the same natural key, column values taken from the incoming row *even w
 (row-level choice, never a per-column coalesce). `ingested_at` survives from the first
 insert; `updated_at` is set to the run time, except for tables where it is the source's value.
 
-Plan choice (`strategy='auto'`): the batch keys are counted (bounded `limit+1` job); when
-they fit the broadcast bound, the existing table is streamed once against a broadcast hash
-of the batch keys (no shuffle of the big side). Otherwise a full outer join on the keys,
-which shuffles both sides; keys are unique per side after dedup, so no key can be hot.
+Plan choice (`strategy='auto'`): the bytes of the batch keys are summed in the tasks (one row a
+task comes back); when they fit the bound, the existing table is streamed once against a broadcast
+hash of the batch keys (no shuffle of the big side). Otherwise a full outer join on the keys,
+which shuffles both sides; keys are unique per side after dedup, so no key can be hot. A caller
+that has measured the batch passes the strategy in.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from ..session import BROADCAST_BYTES, fits_broadcast, size_of
+from ..sources import storage
 
 _MARK = "__incoming"
 
@@ -37,11 +39,13 @@ def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
     An aggregate (`max_by` over a struct), not a window: partial aggregation folds each
     task's rows before the shuffle, so a key holding a third of the batch never reaches a
-    single task whole. `order` should be total (append all columns) for a deterministic pick.
+    single task whole. `order` is the arrival order (a few small columns, unique in the batch); a
+    single column is compared as it is.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order])
+    by = [F.col(o) if isinstance(o, str) else o for o in order]
+    ordering = by[0] if len(by) == 1 else F.struct(*by)
     g = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), ordering).alias("__row"))
     return g.select(*keys, *[F.col("__row")[c].alias(c) for c in rest]).select(*df.columns)
 
@@ -58,7 +62,7 @@ def upsert(
     keep: Sequence[str] = ("ingested_at",),
     touch: Sequence[str] = ("updated_at",),
     strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The table after applying `incoming` (already deduplicated, non-null keys).
 
@@ -73,16 +77,17 @@ def upsert(
     for c in touch:
         inc = inc.withColumn(c, _ts(now))
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(inc.select(*keys), max_broadcast_rows) else "shuffle"
+        strategy = "broadcast" if fits_broadcast(inc.select(*keys), max_bytes) else "shuffle"
 
     if strategy == "broadcast":
         bkeys = F.broadcast(inc.select(*keys))
         untouched = existing.join(bkeys, keys, "left_anti")
         if keep:
-            # existing values of the kept columns, only for the (few) matched keys
+            # existing values of the kept columns for the matched keys; the planner sees that this
+            # side is one row a key of the batch at most and chooses the join
             kept = existing.join(bkeys, keys, "left_semi").select(
                 *keys, *[F.col(c).alias(f"__old_{c}") for c in keep])
-            applied = inc.join(F.broadcast(kept), keys, "left")
+            applied = inc.join(kept, keys, "left")
             for c in keep:
                 applied = applied.withColumn(c, F.coalesce(F.col(f"__old_{c}"), _ts(now)))
             applied = applied.select(*cols)
@@ -111,7 +116,7 @@ def upsert(
 
 
 def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row `(inserted, updated)`: inserted = new distinct keys, updated = rows - inserted.
 
     The batch is folded per key first. When its keys pass the broadcast size check, the
@@ -124,7 +129,7 @@ def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     tot = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
                 F.count(F.lit(1)).alias("nkeys"))
     bkeys = g.select(*keys)
-    if fits_broadcast(bkeys, max_broadcast_rows):
+    if fits_broadcast(bkeys, max_bytes):
         matched = (existing.select(*keys).join(F.broadcast(bkeys), keys, "left_semi")
                    .distinct().agg(F.count(F.lit(1)).alias("m")).scalar())
         inserted = F.col("nkeys") - F.lit(matched)
@@ -142,76 +147,56 @@ def purge(df: DataFrame, source: str | None = None) -> DataFrame:
     return df.where(F.col("source").isNull() | (F.col("source") != source))
 
 
-PART_COL = "ingest_month"
-SWAP_MARK = "_swap_pending"   # under the table path; Parquet readers skip names starting with "_"
-
+# ------------------------------------------------------------------ large raw tables
 
-def _fs_path(spark, path: str):
-    """Hadoop FileSystem and Path for `path` (works on any Hadoop-compatible store)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+BUCKET = "key_bucket"
+BUCKETS = 64
+SWAP_MARK = "_swap_pending"   # under the table path; Parquet readers skip names starting with "_"
 
 
-def _mark_swap(spark, path: str, staging: str | None) -> None:
-    """Write the swap intent (the staging folder) before a swap; remove it after.
-    Two file-system calls, no Spark job."""
-    fs, mark = _fs_path(spark, f"{path.rstrip('/')}/{SWAP_MARK}")
-    if staging is None:
-        fs.delete(mark, False)
-        return
-    out = fs.create(mark, True)
-    out.write(bytearray(staging.encode("utf-8")))
-    out.close()
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 def _pending_swap(spark, path: str) -> str | None:
-    """The staging folder of a swap that began but never finished (read only after a crash)."""
-    fs, mark = _fs_path(spark, f"{path.rstrip('/')}/{SWAP_MARK}")
-    if not fs.exists(mark):
-        return None
-    ins = fs.open(mark)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(ins, "UTF-8")
-    finally:
-        ins.close()
-    return text.strip() or None      # empty: cut before the intent was written, nothing began
-
-
-def _swap(spark, staging: str, path: str, part_col: str) -> None:
-    """Replace the partitions present in `staging` (a complete, committed write) in `path`.
-    The intent is marked first: a swap cut short (driver lost between the partition
-    deletes and renames of the commit) is redone from `staging` by the next call."""
-    _mark_swap(spark, path, staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
-    _mark_swap(spark, path, None)
-    _drop_staging(spark, staging)
-
-
-def _drop_staging(spark, staging: str) -> None:
-    """Remove a staging copy once its swap is committed and unmarked (a crash keeps it for
-    the redo), so the shared folder does not grow with every batch."""
-    fs, p = _fs_path(spark, staging)
-    fs.delete(p, True)
-
-
-def touched_partitions(existing: DataFrame, batch_keys: DataFrame, keys: Sequence[str],
-                       part_col: str = PART_COL, broadcast: bool = True) -> DataFrame:
-    """Per partition of `existing`, the number of its keys present in `batch_keys` (only
-    partitions with a hit). Reads the key columns alone; with `broadcast` (the caller has
-    counted the batch keys under the bound) the existing side streams without a shuffle.
-    Existing keys are unique (the table is only written by the upsert): hits = matched keys.
-    """
+    """The staging folder of a swap that began but never finished (left only by a crash)."""
+    text = storage.read_text(spark, f"{path.rstrip('/')}/{SWAP_MARK}")
+    return (text.strip() or None) if text else None
+
+
+def _finish_swap(spark, staging: str, path: str) -> None:
+    """Move staged buckets into the table: `rewrite` replaces a bucket, `append` adds files to it.
+    Every step can be repeated: what has been moved is gone from the staging folder."""
+    for b in storage.entries(spark, f"{staging}/rewrite"):
+        if b.is_dir and b.name.startswith(f"{BUCKET}="):
+            storage.delete(spark, f"{path}/{b.name}")
+            storage.move(spark, f"{staging}/rewrite/{b.name}", f"{path}/{b.name}")
+    for b in storage.entries(spark, f"{staging}/append"):
+        if b.is_dir and b.name.startswith(f"{BUCKET}="):
+            for f in storage.entries(spark, f"{staging}/append/{b.name}"):
+                if f.name.startswith("part-"):  # unique names: every write has its own
+                    storage.move(spark, f"{staging}/append/{b.name}/{f.name}", f"{path}/{b.name}/{f.name}")
+
+
+def _swap(spark, staging: str, path: str) -> None:
+    """Put a complete, committed staging folder into the table. The intent is marked first, so a
+    swap cut short (driver lost) is redone by the next call."""
+    mark = f"{path.rstrip('/')}/{SWAP_MARK}"
+    storage.write_text(spark, mark, staging)
+    _finish_swap(spark, staging, path)
+    storage.delete(spark, mark)
+    storage.delete(spark, staging)
+
+
+def matched_by_bucket(existing: DataFrame, batch_keys: DataFrame, keys: Sequence[str],
+                      broadcast: bool = True) -> DataFrame:
+    """Per bucket of `existing`, the number of its keys present in `batch_keys` (buckets with a hit
+    only). Reads the key columns alone; with `broadcast` (the batch keys' bytes were counted) the
+    existing side streams without a shuffle. Existing keys are unique: hits = matched keys."""
     keys = list(keys)
     b = F.broadcast(batch_keys) if broadcast else batch_keys
-    return (existing.select(*keys, part_col).join(b, keys, "left_semi")
-            .groupBy(part_col).agg(F.count(F.lit(1)).alias("n")))
-
-
-def _month_of(now: datetime | str) -> str:
-    d = now if isinstance(now, datetime) else datetime.fromisoformat(str(now))
-    return d.strftime("%Y-%m")
+    return (existing.select(*keys, BUCKET).join(b, keys, "left_semi")
+            .groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")))
 
 
 def upsert_partitioned(
@@ -223,61 +208,59 @@ def upsert_partitioned(
     keep: Sequence[str] = ("ingested_at",),
     touch: Sequence[str] = ("updated_at",),
     order: Sequence[str | Column] | None = None,
-    part_col: str = PART_COL,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    buckets: int = BUCKETS,
+    max_bytes: int = BROADCAST_BYTES,
+    on_counts: Callable[[int, int], None] | None = None,
 ) -> tuple[int, int]:
-    """C1 (+ C3) for large raw tables: rewrite only the partitions the batch touches.
+    """C1 (+ C3) for large raw tables: a batch reads and writes only the buckets of its keys.
 
-    The table at `path` is Parquet partitioned by `part_col` = month of `ingested_at`. The
-    upsert keeps `ingested_at` from a key's first insert, so a key never changes partition
-    and new keys land in the run's month. One scan of the existing key columns, against a
-    broadcast of the batch keys (when their count passes the bound), yields the touched
-    partitions and the number of matched keys (at most one row per month comes back to the
-    driver). Only the touched partitions and the run's month are read, upserted, staged
-    under `staging` and swapped in by dynamic partition overwrite; the rest is neither read
-    in full nor rewritten.
+    The table at `path` is Parquet partitioned by a hash bucket of its natural key, so a key never
+    moves, whatever its times; `buckets` is fixed when the table is made (a cluster takes
+    thousands, so that one is a task's worth). The batch's buckets are listed (`buckets` rows at
+    most); of these the key columns are read and meet the batch keys. Buckets with a matched key
+    are read, upserted and replaced; into the others the new rows are appended as new files. What
+    is written is written once: staged, then moved.
 
     Rows with duplicate keys in `incoming` are folded by `order` (last wins) when given.
-    Re-running a batch after a crash is idempotent, and an unfinished swap is completed
-    first. Returns `(inserted, updated)` as C3.
+    `on_counts` is called with the counts before the table changes. Re-running a batch after a
+    crash is idempotent, and an unfinished swap is completed first. Returns `(inserted, updated)`
+    as C3.
     """
-    from pyspark.errors import AnalysisException
-
     spark = incoming.sparkSession
     keys = list(keys)
+    path = path.rstrip("/")
     pending = _pending_swap(spark, path)
     if pending is not None:
-        _swap(spark, pending, path, part_col)
-    month = F.date_format(F.col("ingested_at"), "yyyy-MM")
-    g = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    tot = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-                F.count(F.lit(1)).alias("nkeys")).first()
-    rows, nkeys = int(tot["rows"]), int(tot["nkeys"])
-    small = nkeys <= max_broadcast_rows            # the batch's distinct keys, counted above
+        _swap(spark, pending, path)
+    inc = incoming.withColumn(BUCKET, bucket_of(keys, buckets))
+    folded = inc.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
+    per = {r[BUCKET]: r for r in folded.groupBy(BUCKET).agg(
+        F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("nkeys")).collect()}
+    rows, nkeys = sum(r["rows"] for r in per.values()), sum(r["nkeys"] for r in per.values())
+    small = size_of(folded.select(*keys))[1] <= max_bytes
     strategy = "broadcast" if small else "shuffle"
-    inc = dedup_last(incoming, keys, order) if order else incoming
-    try:
+    cols = [c for c in incoming.columns if c not in (order or ()) or not c.startswith("__")]
+    inc = (dedup_last(incoming, keys, order) if order else incoming).select(*cols)
+
+    there = {int(e.name.split("=", 1)[1]) for e in storage.entries(spark, path) if e.name.startswith(f"{BUCKET}=")}
+    touched = sorted(there & set(per))
+    hit: dict[int, int] = {}
+    if touched:
         existing = spark.read.parquet(path)
-    except AnalysisException:  # first load: the table does not exist yet
-        existing = None
-    if existing is None:
-        first = upsert(inc.where(F.lit(False)), inc, keys, now, keep, touch, strategy=strategy)
-        first.withColumn(part_col, month).write.mode("overwrite").partitionBy(part_col).parquet(staging)
-        _swap(spark, staging, path, part_col)
-        return nkeys, rows - nkeys
-    cols = [c for c in existing.columns if c != part_col]
-
-    hit = touched_partitions(existing, g.select(*keys), keys, part_col, small).collect()
-    matched = sum(int(r["n"]) for r in hit)
-    months = {r[part_col] for r in hit}
-    if "ingested_at" in keep:
-        months.add(_month_of(now))
-    else:  # new rows keep their own ingestion time: their months, one row per month
-        months |= {r[0] for r in inc.select(month).distinct().collect()}
-    old = existing.where(F.col(part_col).isin(sorted(months))).select(*cols)
-    merged = upsert(old, inc.select(*cols), keys, now, keep, touch,
-                    strategy=strategy).withColumn(part_col, month)
-    merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    _swap(spark, staging, path, part_col)
-    inserted = nkeys - matched
-    return inserted, rows - inserted
+        old = existing.where(F.col(BUCKET).isin(touched))
+        hit = {r[BUCKET]: r["n"] for r in matched_by_bucket(old, folded.select(*keys), keys, small).collect()}
+    inserted = nkeys - sum(hit.values())
+    if on_counts is not None:
+        on_counts(int(inserted), int(rows - inserted))
+    none = inc.where(F.lit(False))
+    fresh = inc.where(~bucket_of(keys, buckets).isin(sorted(hit))) if hit else inc
+    fresh = upsert(none, fresh, keys, now, keep, touch, strategy=strategy)
+    fresh = fresh.withColumn(BUCKET, bucket_of(keys, buckets))
+    fresh.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{staging}/append")
+    if hit:
+        old = existing.where(F.col(BUCKET).isin(sorted(hit))).select(*cols)
+        merged = upsert(old, inc.where(bucket_of(keys, buckets).isin(sorted(hit))), keys, now, keep, touch, strategy=strategy)
+        merged = merged.withColumn(BUCKET, bucket_of(keys, buckets))
+        merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{staging}/rewrite")
+    _swap(spark, staging, path)
+    return int(inserted), int(rows - inserted)

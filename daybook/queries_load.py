@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import incremental as D
 from .operators import runs as E
+from .operators import sync as SY
 from .operators import upsert as U
 from .plans import marts as M
 from .queries import register, wh
@@ -161,6 +162,21 @@ def last_wins_dedup(spark, sf):
     return U.dedup_last(B.raw_calendar_events(spark, sf), CAL_KEYS, CAL_ORDER)
 
 
+@register("last_wins_sequence", W("""
+    SELECT source_id, CASE WHEN bool_or(category = 'meeting') THEN 'cancelled' ELSE 'confirmed' END AS status,
+           CASE WHEN bool_or(category = 'meeting') THEN 'none' ELSE CAST(max(start_at) AS VARCHAR) END AS start_at
+    FROM raw_calendar_events GROUP BY source_id"""))
+def last_wins_sequence(spark, sf):
+    """C4 by arrival: each event is delivered, and meetings once more as cancelled, without times.
+    The later delivery wins though all its values are the smaller ones."""
+    ev = B.raw_calendar_events(spark, sf).select(
+        "source_id", "status", F.date_format("start_at", "yyyy-MM-dd HH:mm:ss").alias("start_at"), "category")
+    gone = ev.where(F.col("category") == "meeting").select("source_id", F.lit("cancelled").alias("status"), F.lit(None).cast("string").alias("start_at"))
+    both = ev.drop("category").withColumn("seq", F.lit(0)).unionByName(gone.withColumn("seq", F.lit(1)))
+    last = U.dedup_last(both, ["source_id"], ["seq", "start_at"])  # some ids are in the data twice
+    return last.select("source_id", "status", F.coalesce("start_at", F.lit("none")).alias("start_at"))
+
+
 ISSUE_COLS = ["source", "source_id", "repository_source_id", "number", "title", "state",
               "state_reason", "author", "created_at", "updated_at", "closed_at",
               "comments_count", "ingested_at", "raw_payload"]
@@ -195,16 +211,12 @@ def audit_columns(spark, sf):
 
 
 @register("not_null_keys", W("""
-    SELECT c.commit_key, c.commit_id FROM stg_github_commits c
-    LEFT JOIN (SELECT * FROM stg_github_repositories WHERE NOT archived) r
-      ON c.repository_source_id = r.source_id
-    WHERE r.repository_key IS NULL OR c.commit_id IS NULL"""))
+    SELECT commit_key, commit_id FROM fct_commits WHERE repository_key IS NULL OR commit_id IS NULL"""))
 def not_null_keys(spark, sf):
-    """Commits keyed by (repository_key, commit_id) against active repositories; rows
-    whose key part is null are rejected."""
+    """Commits keyed by (repository_key, commit_id); rows whose key part is null are rejected
+    (orphans, and commits without an id)."""
     w = wh(spark, sf)
-    active = w.stg_repositories.where(~F.col("archived"))
-    keyed = M.resolve_fk(w.stg_commits, active, "repository_source_id", "source_id", "repository_key")
+    keyed = M.resolve_fk(w.stg_commits, w.stg_repositories, "repository_source_id", "source_id", "repository_key")
     _, bad = U.split_null_keys(keyed, ["repository_key", "commit_id"])
     return bad.select("commit_key", "commit_id")
 
@@ -377,35 +389,36 @@ def cursor_epoch_ms(spark, sf):
 # ================================================================== E run audit
 
 @register("record_run", WS(f"""
-    , g AS (SELECT source, source_id, count(*) AS n FROM inc_commits GROUP BY 1, 2),
-    ins AS (SELECT count(*) AS inserted FROM g WHERE NOT EXISTS (SELECT 1 FROM ex_commits e
-            WHERE e.source = g.source AND e.source_id = g.source_id)),
-    failed AS (SELECT count(DISTINCT i.repository_source_id) AS failed FROM inc_commits i
-               JOIN raw_github_repositories r ON r.source_id = i.repository_source_id AND r.archived)
+    , failed AS (SELECT DISTINCT r.source_id FROM raw_github_repositories r
+                 JOIN inc_commits i ON i.repository_source_id = r.source_id WHERE r.archived),
+    loaded AS (SELECT i.* FROM inc_commits i
+               WHERE i.repository_source_id NOT IN (SELECT source_id FROM failed)),
+    fresh AS (SELECT count(DISTINCT (l.source, l.source_id)) AS n FROM loaded l
+              LEFT JOIN ex_commits e ON e.source = l.source AND e.source_id = l.source_id WHERE e.source_id IS NULL),
+    repos AS (SELECT count(*) AS n, count(*) FILTER (WHERE CAST(source_id AS BIGINT) % 3 = 0) AS fresh
+              FROM raw_github_repositories)
     SELECT md5('github|{RUN_NOW}') AS run_id, 'github' AS source,
            {_ts(RUN_NOW)} AS started_at, {_ts(RUN_NOW)} + INTERVAL 5 MINUTE AS finished_at,
-           CASE WHEN failed.failed > 0 THEN 'partial' ELSE 'success' END AS status,
-           CAST((SELECT count(*) FROM inc_commits) + (SELECT count(*) FROM raw_github_repositories)
-                AS INTEGER) AS records_fetched,
-           CAST(ins.inserted AS INTEGER) AS records_inserted,
-           CAST((SELECT count(*) FROM inc_commits) - ins.inserted AS INTEGER) AS records_updated,
-           CAST(failed.failed AS INTEGER) AS records_failed,
+           CASE WHEN (SELECT count(*) FROM failed) > 0 THEN 'partial' ELSE 'success' END AS status,
+           CAST(repos.n + (SELECT count(*) FROM loaded) AS INTEGER) AS records_fetched,
+           CAST(repos.fresh + fresh.n AS INTEGER) AS records_inserted,
+           CAST(repos.n - repos.fresh + (SELECT count(*) FROM loaded) - fresh.n AS INTEGER) AS records_updated,
+           CAST((SELECT count(*) FROM failed) AS INTEGER) AS records_failed,
            CAST(NULL AS VARCHAR) AS error_message
-    FROM ins, failed""".replace("\n    , g AS", ", g AS", 1)))
+    FROM fresh, repos""".replace("\n    , failed AS", ", failed AS", 1)))
 def record_run(spark, sf):
-    """The audit row of the commit run; counts are Spark aggregates, the failure count
-    is the number of failed entities (archived repositories with rows in the batch)."""
-    inc = commits_incoming(spark, sf)
+    """The audit row of the commit run. Repositories count like commits; rows of failed entities
+    (archived repositories with rows in the batch) are in no count but `records_failed`, which is
+    the number of entities. A third of the repositories is new."""
     repos = B.raw_repositories(spark, sf)
-    counts = U.upsert_counts(commits_existing(spark, sf), inc, COMMIT_KEYS)
-    fetched = inc.agg(F.count(F.lit(1))).scalar() + repos.agg(F.count(F.lit(1))).scalar()
-    arch = repos.where(F.col("archived")).select(F.col("source_id").alias("__r"))
-    failed = inc.join(arch, inc["repository_source_id"] == arch["__r"], "left_semi").agg(
-        F.countDistinct("repository_source_id")).scalar()
-    metrics = counts.select(fetched.alias("fetched"), "inserted", "updated", failed.alias("failed"))
-    finished = F.lit(RUN_NOW).cast("timestamp_ntz") + F.expr("INTERVAL 5 MINUTES")
-    row = E.run_row(metrics, "github", RUN_NOW, RUN_NOW, run_id=F.md5(F.lit(f"github|{RUN_NOW}")))
-    return row.withColumn("finished_at", finished)
+    before = repos.where(F.col("source_id").cast("long") % 3 != 0)
+    inc = commits_incoming(spark, sf)
+    archived = repos.where(F.col("archived")).select(F.col("source_id").alias("__r"))
+    failed = inc.join(archived, inc["repository_source_id"] == archived["__r"], "left_semi").select(
+        F.col("repository_source_id").alias("entity")).distinct()
+    row = SY.github_run(repos, before, inc, commits_existing(spark, sf), failed, RUN_NOW,
+                        run_id=F.md5(F.lit(f"github|{RUN_NOW}")))
+    return row.withColumn("finished_at", F.lit(RUN_NOW).cast("timestamp_ntz") + F.expr("INTERVAL 5 MINUTES"))
 
 
 @register("run_status_rule", W("""

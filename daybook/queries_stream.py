@@ -11,51 +11,44 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators import normalize as N
+from .operators.load import Feed, read_rejected
 from .queries import register
 from .queries_ingest import _PLAY_SQL
 from .session import scratch_path
 from .sources import bindings as B
 from .sources import landing as L
 from .sources import service_json as J
-from .sources.schemas import KEYS, RAW
+from .sources.schemas import RAW
 from .streaming import ingest as S
 
 RUN_NOW = "2024-02-01 00:00:00"
-LANDING_FILES = 4            # files per landed copy (a fixture choice)
-FILES_PER_TRIGGER = 4        # one landed copy per micro-batch here; thousands on a cluster
+FILES_PER_TRIGGER = 64
 WATERMARK_DELAY = "40 days"   # > the disorder between landed files (one month of events)
 
 
 def _land_pages(spark, sf, landing: str, copies: int = 2) -> None:
     """Play pages (JSON lines, one page per line), landed `copies` times."""
     pages = L.build_pages(J.play_records(spark, sf), "record", F.floor(F.col("ref") / 100), "items")
-    pages = pages.select("payload").coalesce(LANDING_FILES).persist()
     for i in range(copies):
-        pages.write.text(f"{landing}/copy={i}")
-    pages.unpersist()
+        pages.select("payload").write.text(f"{landing}/copy={i}")
 
 
 def _land_events(spark, sf, landing: str, copies: int) -> T.StructType:
     ev = B.table(spark, sf, "events")
     for i in range(copies):
-        ev.coalesce(LANDING_FILES).write.parquet(f"{landing}/copy={i}")
+        ev.write.parquet(f"{landing}/copy={i}")
     return ev.schema
 
 
+PLAYS = Feed("raw_spotify_plays", N.normalize_plays, "items")
+
+
 def _play_stream_run(spark, sf, partitioned: bool = True):
     landing = scratch_path(spark, "landing-plays")
     _land_pages(spark, sf, landing)
-    stream = (spark.readStream.schema("value string").option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", FILES_PER_TRIGGER).text(landing))
-
-    def normalize(df):
-        return N.normalize_plays(L.flatten_pages(df, "value", "items"))
-
-    target = scratch_path(spark, "raw")
-    audit = scratch_path(spark, "audit")
-    S.stream_upsert(stream, normalize, "raw_spotify_plays", RAW["raw_spotify_plays"],
-                    KEYS["raw_spotify_plays"], target, scratch_path(spark, "ckpt"), RUN_NOW,
-                    audit_root=audit, partitioned=partitioned)
+    target, audit = scratch_path(spark, "raw"), scratch_path(spark, "audit")
+    S.stream_upsert(S.page_stream(spark, landing, FILES_PER_TRIGGER), PLAYS, target, scratch_path(spark, "ckpt"),
+                    RUN_NOW, audit_root=audit, partitioned=partitioned)
     return target, audit
 
 
@@ -128,3 +121,98 @@ def stream_daily_activity(spark, sf):
     S.run_update_upsert(daily, ["activity_date"], root, "stream_daily", DAILY_SCHEMA,
                         scratch_path(spark, "ckpt"), RUN_NOW)
     return L.read_table(spark, root, "stream_daily", DAILY_SCHEMA)
+
+
+# ================================================================== versions within one batch
+
+def _land_versions(spark, landing: str, old, new, list_key: str | None) -> None:
+    """Every record twice on one page: the older version first, then the newer."""
+    both = old.select("ref", F.lit(0).alias("v"), "record").unionByName(new.select("ref", F.lit(1).alias("v"), "record"))
+    page = both.groupBy(F.floor(F.col("ref") / 100).alias("page")).agg(F.sort_array(F.collect_list(F.struct("v", "ref", "record"))).alias("r"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("r", lambda x: x["record"]), ","), F.lit("]"))
+    if list_key is not None:
+        body = F.concat(F.lit(f'{{"{list_key}":'), body, F.lit("}"))
+    page.select(body.alias("payload")).write.text(landing)
+
+
+@register("stream_upsert_calendar", """
+    SELECT 'calendar' AS source, CAST(event_id AS VARCHAR) AS source_id, 'primary' AS calendar_id, '' AS title,
+           CAST(NULL AS TIMESTAMP) AS start_at, 'cancelled' AS status
+    FROM events""")
+def stream_upsert_calendar(spark, sf):
+    """M1: every event arrives confirmed and, later on the same page, cancelled (without times, so
+    the older version is the greater in value). The cancellation must win."""
+    e = B.table(spark, sf, "events")
+    when_ = F.struct(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("dateTime"))
+    eid = F.col("event_id").cast("string").alias("id")
+    old = e.select(F.col("event_id").alias("ref"), F.to_json(F.struct(
+        eid, F.lit("confirmed").alias("status"), F.lit("Zebra walk").alias("summary"),
+        when_.alias("start"), when_.alias("end"))).alias("record"))
+    new = e.select(F.col("event_id").alias("ref"), F.to_json(F.struct(eid, F.lit("cancelled").alias("status"))).alias("record"))
+    landing, target = scratch_path(spark, "landing-calendar"), scratch_path(spark, "raw")
+    _land_versions(spark, landing, old, new, "items")
+    feed = Feed("raw_calendar_events", lambda d: N.normalize_calendar(d, "primary"), "items")
+    S.stream_upsert(S.page_stream(spark, landing, FILES_PER_TRIGGER), feed, target, scratch_path(spark, "ckpt"), RUN_NOW)
+    return S.read_partitioned(spark, target, feed.table, RAW[feed.table]).select(
+        "source", "source_id", "calendar_id", "title", "start_at", "status")
+
+
+@register("stream_upsert_issues", f"""
+    SELECT 'N_' || CAST(event_id AS VARCHAR) AS source_id, 'closed' AS state,
+           CASE WHEN event_id % 2 = 0 THEN ts + INTERVAL 3 HOUR ELSE ts END AS updated_at,
+           TIMESTAMP '{RUN_NOW}' AS ingested_at
+    FROM events""")
+def stream_upsert_issues(spark, sf):
+    """M1: every issue arrives open and, later on the same page, closed (smaller in value; for odd
+    ids even with an earlier source time). The later one wins and its own updated_at stays."""
+    e = B.table(spark, sf, "events")
+
+    def iso(c):
+        return F.concat(F.date_format(c, J.ISO_US), F.lit("Z"))
+
+    def version(state, updated):
+        return e.select(F.col("event_id").alias("ref"), F.to_json(F.struct(
+            F.concat(F.lit("N_"), F.col("event_id").cast("string")).alias("node_id"),
+            F.col("event_id").cast("int").alias("number"), F.col("event_type").alias("title"), F.lit(state).alias("state"),
+            iso(F.col("ts")).alias("created_at"), iso(updated).alias("updated_at"))).alias("record"))
+
+    later = F.when(F.col("event_id") % 2 == 0, F.col("ts") + F.expr("INTERVAL 3 HOURS")).otherwise(F.col("ts"))
+    landing, target = scratch_path(spark, "landing-issues"), scratch_path(spark, "raw")
+    _land_versions(spark, landing, version("open", F.col("ts") + F.expr("INTERVAL 1 HOURS")), version("closed", later), None)
+    feed = Feed("raw_github_issues", lambda d: N.normalize_issues(d.withColumn("repo", F.lit("o/r")), "repo"))
+    S.stream_upsert(S.page_stream(spark, landing, FILES_PER_TRIGGER), feed, target, scratch_path(spark, "ckpt"), RUN_NOW)
+    return S.read_partitioned(spark, target, feed.table, RAW[feed.table]).select("source_id", "state", "updated_at", "ingested_at")
+
+
+_PAGE = "event_id // 100"
+
+
+@register("page_quarantine", f"""
+    WITH page AS (SELECT {_PAGE} AS p, count(*) AS n FROM events GROUP BY 1)
+    SELECT kind, reason, count(*) AS rejects FROM (
+        SELECT 'page' AS kind, CASE p % 5 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'not JSON' ELSE 'items is not a list' END AS reason
+        FROM page WHERE p % 5 IN (1, 2, 3)
+        UNION ALL
+        SELECT CASE WHEN event_id % 10 = 7 THEN 'key' ELSE 'record' END,
+               CASE WHEN event_id % 10 = 7 THEN 'null key' ELSE 'bad played_at' END
+        FROM events WHERE {_PAGE} % 5 IN (0, 4) AND event_id % 10 IN (7, 8)) x
+    GROUP BY 1, 2""")
+def page_quarantine(spark, sf):
+    """A1 + B10 + C6: of the landed pages some are cut, some are HTML error pages, some have an error
+    object for their list; on the others some records have a bad time or a null id. All of them are
+    stored with a reason, and the rest of the batch loads."""
+    e = B.table(spark, sf, "events")
+    k = F.col("event_id") % 10
+    when_ = F.when(k == 8, F.lit("10:30:00")).otherwise(F.concat(F.date_format("ts", J.ISO_MS), F.lit("Z")))
+    track = F.when(k == 7, F.lit('{"id":null}')).otherwise(F.concat(F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('"}')))
+    rec = F.concat(F.lit('{"played_at":"'), when_, F.lit('","track":'), track, F.lit("}"))
+    pages = L.build_pages(e.select(F.col("event_id").alias("ref"), rec.alias("record")), "record", F.floor(F.col("ref") / 100), "items")
+    p = F.col("page") % 5
+    broken = (F.when(p == 1, F.expr("substring(payload, 1, length(payload) - 9)"))
+              .when(p == 2, F.lit("<html><body>502 Bad Gateway</body></html>"))
+              .when(p == 3, F.lit('{"items": {"error": "rate limit"}}')).otherwise(F.col("payload")))
+    landing, target, rejects = (scratch_path(spark, x) for x in ("landing-broken", "raw", "quarantine"))
+    pages.select(broken.alias("payload")).write.text(landing)
+    S.stream_upsert(S.page_stream(spark, landing, FILES_PER_TRIGGER), PLAYS, target, scratch_path(spark, "ckpt"), RUN_NOW,
+                    quarantine_root=rejects)
+    return read_rejected(spark, rejects).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("rejects"))

@@ -8,9 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for a data-dependent side that may be broadcast. A side is only
-# hinted for broadcast after `fits_broadcast` has counted it (bounded: limit+1) below this.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Upper bound (bytes, as counted by `size_of`) of a data-dependent side that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[*]", partitions: int = 8, app: str = "daybook") -> SparkSession:
@@ -63,11 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows. Costs one bounded job (limit + count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of `df`: one aggregate, summed in the tasks. Bytes are those of the text
+    columns, 8 for each other one, and 16 a row."""
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    fixed = 16 + 8 * (len(df.columns) - len(wide))
+    each = sum(wide, F.lit(fixed)).cast("long")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["b"])
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a counted size check; otherwise leave the choice to AQE."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when `df` takes at most `max_bytes`."""
+    return size_of(df)[1] <= max_bytes

@@ -16,31 +16,81 @@ from __future__ import annotations
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import storage
 from .schemas import RAW
 
 POINTER = "_pointers"
 
 
+#: Where a landed line stands: file time, file, block in the file, line in the block.
+ARRIVAL = "__arrival"
+#: Where a record stands: its page's arrival and its position on the page. Unique, and later
+#: delivered records are greater.
+SEQUENCE = "__sequence"
+
+
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Rows of a file source (batch or stream, with its `_metadata`) with their arrival. Row
+    numbers of a task follow the file's order within a block."""
+    m = F.col("_metadata")
+    return df.select("*", F.struct(
+        m["file_modification_time"].alias("time"), m["file_path"].alias("file"),
+        m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("line")).alias(ARRIVAL))
+
+
+def _list_of(payload: str, list_key: str | None):
+    """The page's list as JSON text; the whole page if it is a bare list."""
+    return F.col(payload) if list_key is None else F.get_json_object(payload, f"$.{list_key}")
+
+
+def page_error(payload: str = "payload", list_key: str | None = None):
+    """Why a page can't be read; null if it can. A page is its list, or an object whose list may be
+    missing or null (no records). Cut text, an HTML error page or an error object in place of a
+    list are errors, never an empty page."""
+    text = F.trim(F.col(payload))
+    if list_key is None:
+        broken = F.json_array_length(payload).isNull()
+        message = F.when(F.json_object_keys(payload).isNotNull(), "not a list").otherwise("not JSON")
+    else:
+        found = _list_of(payload, list_key)
+        whole = F.json_object_keys(payload).isNotNull() & F.try_parse_json(payload).isNotNull()
+        broken = ~whole | (found.isNotNull() & (found != "null") & F.json_array_length(found).isNull())
+        message = F.when(whole, f"{list_key} is not a list").when(
+            F.json_array_length(payload).isNotNull(), "not an object").otherwise("not JSON")
+    return F.when(F.col(payload).isNotNull() & ((text == "") | broken), F.when(text == "", "empty page").otherwise(message))
+
+
+def split_pages(df: DataFrame, payload_col: str = "payload", list_key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(readable pages, pages that can't be read with their `_error`)."""
+    e = df.withColumn("_error", page_error(payload_col, list_key))
+    return e.where(F.col("_error").isNull()).drop("_error"), e.where(F.col("_error").isNotNull())
+
+
 def flatten_pages(df: DataFrame, payload_col: str = "payload", list_key: str | None = None,
                   record_col: str = "record") -> DataFrame:
-    """A1: one row per record (JSON text). Missing list, null page or `[]` -> no rows."""
+    """A1: one row per record (JSON text) of readable pages (see `split_pages`). Missing list, null
+    page or `[]` -> no rows. Pages with an arrival give their records a sequence."""
     if list_key is None:
         arr = F.from_json(F.col(payload_col), T.ArrayType(T.StringType()))
     else:
         env = T.StructType([T.StructField(list_key, T.ArrayType(T.StringType()))])
         arr = F.from_json(F.col(payload_col), env)[list_key]
-    keep = [c for c in df.columns if c != payload_col]
-    return df.select(*keep, F.explode(arr).alias(record_col))
+    keep = [c for c in df.columns if c not in (payload_col, ARRIVAL)]
+    if ARRIVAL not in df.columns:
+        return df.select(*keep, F.explode(arr).alias(record_col))
+    out = df.select(*keep, ARRIVAL, F.posexplode(arr).alias("__pos", record_col))
+    return out.select(*keep, record_col, F.struct(f"{ARRIVAL}.*", F.col("__pos").alias("position")).alias(SEQUENCE))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landing files -> (file, payload): one row per page file."""
-    return (spark.read.option("wholetext", "true").text(path)
-            .select(F.input_file_name().alias("file"), F.col("value").alias("payload")))
+def read_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Landed pages -> (payload, arrival): one page per line, or one per file."""
+    r = spark.read.option("wholetext", str(whole_files).lower()).option("recursiveFileLookup", "true").text(path)
+    return with_arrival(r.withColumnRenamed("value", "payload")).select("payload", ARRIVAL)
 
 
 def build_pages(records: DataFrame, record_col: str, page_key, list_key: str | None = None) -> DataFrame:
@@ -70,11 +120,15 @@ def _write_pointer(spark: SparkSession, root: str, table: str, snapshot: str) ->
 
 
 def current_snapshot(spark: SparkSession, root: str, table: str) -> str | None:
-    """The snapshot named by the newest pointer record (one tiny job; None if never written)."""
+    """The snapshot named by the newest pointer record (one tiny job; None if never written). Any
+    other failure to read the pointers is an error: taking it for "never written" would make the
+    next batch start from an empty table."""
     try:
         p = spark.read.text(_pointer_dir(root, table))
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
+    except AnalysisException as e:
+        if storage.is_missing_path(e):
+            return None
+        raise
     v = p.agg(F.max("value")).first()[0]
     return v.split("\t", 1)[1] if v else None
 
@@ -94,21 +148,28 @@ def write_table(df: DataFrame, root: str, table: str, partition_by: list[str] |
     return snap
 
 
-def vacuum(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest `keep` snapshots of `table` (names are time-ordered); the
-    current one and the one before it stay for readers still on it. Returns what was removed.
-    File-system calls only (list + delete), no Spark job."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}")
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(base):
-        return []
-    snaps = sorted(st.getPath().getName() for st in fs.listStatus(base)
-                   if st.isDirectory() and st.getPath().getName().startswith("snap-"))
+#: Superseded snapshots stay this long for readers that still use them.
+KEEP_SECONDS = 24 * 3600
+
+
+def vacuum(spark: SparkSession, root: str, table: str, older_than: float = KEEP_SECONDS) -> list[str]:
+    """Delete snapshots of `table` that were superseded at least `older_than` seconds ago (the next
+    snapshot's name tells when; the current one always stays), and pointer files of that age except
+    the newest. A reader has that long to finish. Returns the removed snapshots. File-system calls
+    and one pointer read, no other Spark job."""
+    base = f"{root.rstrip('/')}/{table}"
+    snaps = [e.name for e in storage.entries(spark, base) if e.is_dir and e.name.startswith("snap-")]
     current = current_snapshot(spark, root, table)
-    drop = [n for n in snaps[:max(len(snaps) - max(keep, 1), 0)] if n != current]
+    limit = time.time_ns() - int(older_than * 1e9)
+    superseded = {a: int(b.split("-")[1]) for a, b in zip(snaps, snaps[1:], strict=False)}
+    drop = [n for n in snaps if n != current and n in superseded and superseded[n] <= limit]
     for n in drop:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(base, n), True)
+        storage.delete(spark, f"{base}/{n}")
+    pointers = [e for e in storage.entries(spark, _pointer_dir(root, table)) if e.name.startswith("part-")]
+    newest = max((e.modified_ms for e in pointers), default=0)
+    for e in pointers:
+        if e.modified_ms < newest and e.modified_ms * 1_000_000 <= limit:
+            storage.delete(spark, f"{_pointer_dir(root, table)}/{e.name}")
     return drop
 
 

@@ -1,28 +1,28 @@
 """The ingest as Structured Streaming (M1-M4).
 
 Landed files are the stream source; the checkpoint replaces the cursor table (a file is read
-once per checkpoint). Each micro-batch is normalised and upserted into the target raw
-table's snapshot chain (`foreachBatch`): re-delivery of a batch after a failure, or of a file
-landed twice, is absorbed by the keyed upsert, so the sink is effectively exactly-once.
-`trigger(availableNow=True)` drains what has landed and stops (the nightly-sync shape).
+once per checkpoint). Each micro-batch goes through the load path of `operators.load` inside
+`foreachBatch`: re-delivery of a batch after a failure, or of a file landed twice, is absorbed by
+the keyed upsert, so the sink is effectively exactly-once. `trigger(availableNow=True)` drains what
+has landed and stops (the nightly-sync shape).
 
 Checkpoints and outputs live under the shared folder named by `spark.checkpoint.dir`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import load
 from ..operators import upsert as U
-from ..operators.normalize import split_malformed, to_raw
 from ..operators.runs import status_col
 from ..session import scratch_path
 from ..sources import landing as L
+from ..sources import storage
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()), T.StructField("records_fetched", T.LongType()),
@@ -30,82 +30,52 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("records_failed", T.LongType()), T.StructField("status", T.StringType())])
 
 
-def _empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def page_stream(spark: SparkSession, path: str, files_per_trigger: int) -> DataFrame:
+    """Landed text files (one page a line) as a stream of (payload, arrival)."""
+    s = (spark.readStream.schema("value string").option("recursiveFileLookup", "true")
+         .option("maxFilesPerTrigger", files_per_trigger).text(path))
+    return s.select(F.col("value").alias("payload"), F.col("_metadata"))
 
 
-def upsert_batch(batch: DataFrame, root: str, table: str, schema: T.StructType,
-                 keys: Sequence[str], order: Sequence[str], now: str,
-                 existing: DataFrame | None = None) -> tuple[Row, str]:
-    """Apply one batch of raw-shaped rows to `table` under `root`. Returns the counts
-    `(inserted, updated)` (computed before the write) and the new snapshot name."""
-    spark = batch.sparkSession
-    if existing is None:
-        try:
-            existing = L.read_table(spark, root, table, schema)
-        except FileNotFoundError:
-            existing = _empty_like(spark, schema)
-    inc = U.dedup_last(batch, keys, order) if order else batch
-    counts = U.upsert_counts(existing, batch, keys).first()
-    snap = L.write_table(U.upsert(existing, inc, keys, now), root, table)
-    return counts, snap
+def write_audit(spark: SparkSession, audit_root: str, batch_id: int, c: load.Counts) -> None:
+    """One audit row per batch, once: a replay finds the row of the first attempt and leaves it
+    (its own counts would call every row an update)."""
+    path = f"{audit_root.rstrip('/')}/batch={batch_id}"
+    if storage.exists(spark, f"{path}/_SUCCESS"):
+        return
+    row = spark.createDataFrame([(batch_id, c.fetched, c.inserted, c.updated, c.failed)],
+                                "batch_id long, records_fetched long, records_inserted long, "
+                                "records_updated long, records_failed long")
+    row.withColumn("status", status_col(F.col("records_failed"))).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def stream_upsert(
     stream: DataFrame,
-    normalize: Callable[[DataFrame], DataFrame],
-    table: str,
-    schema: T.StructType,
-    keys: Sequence[str],
+    feed: load.Feed,
     target_root: str,
     checkpoint: str,
     now: str,
     audit_root: str | None = None,
-    partitioned: bool = False,
+    quarantine_root: str | None = None,
+    partitioned: bool = True,
 ) -> None:
-    """M1 (+ M4): landing stream -> normalise -> upsert per micro-batch; one audit row per
-    batch appended to `audit_root` (deduplicated on batch id by readers). Runs until the
-    landed files are drained.
-
-    Each micro-batch is parsed once (persisted for the batch's few jobs, then released).
-    Two sink layouts:
-    * snapshots (default): each batch writes a new snapshot of `table` and moves its
-      pointer; the current snapshot is tracked between batches.
-    * `partitioned=True`: `target_root/table` is one Parquet table partitioned by ingest
-      month; each batch rewrites only the partitions holding its keys plus the run's month
-      (`upsert_partitioned`), so a batch costs a key-column scan plus its own partitions,
-      not a rewrite of the table. This is the layout for very large raw tables.
-    """
-    order = [c for c in schema.fieldNames() if c not in keys]
-    current: dict[str, str] = {}
-    path = f"{target_root.rstrip('/')}/{table}"
+    """M1 (+ M4): stream of pages (`page_stream`) -> load path per micro-batch, one audit row and the
+    rejects of each batch. Runs until the landed files are drained.
 
+    `partitioned`: one Parquet table in key buckets, of which a batch reads and rewrites only its
+    own; otherwise a snapshot chain (each batch publishes the whole table atomically).
+    """
     def per_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        normal = normalize(df).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            stats = normal.agg(F.count(F.lit(1)).alias("n"), F.count("_error").alias("bad")).first()
-            good, _ = split_malformed(normal)
-            raw = to_raw(good, table, now)
-            if partitioned:
-                c = dict(zip(("inserted", "updated"), U.upsert_partitioned(
-                    raw, path, scratch_path(spark, f"stage-{table}"), keys, now, order=order)))
-            else:
-                existing = None
-                if "snap" in current:
-                    existing = spark.read.schema(schema).parquet(f"{path}/{current['snap']}")
-                c, current["snap"] = upsert_batch(raw, target_root, table, schema,
-                                                  keys, order, now, existing)
-                L.vacuum(spark, target_root, table, keep=2)
-        finally:
-            normal.unpersist()
-        if audit_root is not None:
-            row = spark.createDataFrame(
-                [(batch_id, int(stats["n"]), int(c["inserted"]), int(c["updated"]), int(stats["bad"]))],
-                "batch_id long, records_fetched long, records_inserted long, "
-                "records_updated long, records_failed long")
-            row = row.withColumn("status", status_col(F.col("records_failed")))
-            row.write.mode("append").parquet(audit_root)
+        pages = L.with_arrival(df).drop("_metadata")
+
+        def audit(c: load.Counts) -> None:
+            if audit_root is not None:
+                write_audit(spark, audit_root, batch_id, c)
+
+        load.apply_batch(pages, feed, target_root, now, batch_id=batch_id, quarantine=quarantine_root,
+                         scratch=scratch_path(spark, f"stage-{feed.table}"), partitioned=partitioned,
+                         on_counts=audit)
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
@@ -120,9 +90,8 @@ def read_partitioned(spark: SparkSession, target_root: str, table: str,
 
 
 def read_audit(spark: SparkSession, audit_root: str) -> DataFrame:
-    """Audit rows, one per batch id (a re-run batch keeps its latest row)."""
-    a = spark.read.schema(AUDIT_SCHEMA).parquet(audit_root)
-    return U.dedup_last(a, ["batch_id"], [c for c in AUDIT_SCHEMA.fieldNames() if c != "batch_id"])
+    """Audit rows, one per batch id."""
+    return spark.read.schema(AUDIT_SCHEMA).option("recursiveFileLookup", "true").parquet(audit_root)
 
 
 def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
@@ -151,10 +120,15 @@ def run_to_parquet(df: DataFrame, out: str, checkpoint: str) -> None:
 
 def run_update_upsert(df: DataFrame, keys: Sequence[str], root: str, table: str,
                       schema: T.StructType, checkpoint: str, now: str) -> None:
-    """Update-mode sink: each batch's changed rows replace their keys in `table`."""
+    """Update-mode sink: each batch's changed rows (one a key) replace their keys in `table`."""
     def per_batch(b: DataFrame, _batch_id: int) -> None:
-        upsert_batch(b, root, table, schema, keys, [], now)
-        L.vacuum(b.sparkSession, root, table, keep=2)
+        spark = b.sparkSession
+        try:
+            existing = L.read_table(spark, root, table, schema)
+        except FileNotFoundError:
+            existing = spark.createDataFrame([], schema)
+        L.write_table(U.upsert(existing, b, keys, now), root, table)
+        L.vacuum(spark, root, table)
 
     q = (df.writeStream.outputMode("update").foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

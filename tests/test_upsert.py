@@ -48,7 +48,7 @@ def test_counts_replay_and_in_batch_duplicates(spark):
     inc = frame(spark, [("g", "a", "y", 1, None, None), ("g", "b", "y", 1, None, None)])
     c = U.upsert_counts(ex, inc, k).first()
     assert (c["inserted"], c["updated"]) == (1, 1)
-    c = U.upsert_counts(ex, inc, k, max_broadcast_rows=0).first()      # shuffle form
+    c = U.upsert_counts(ex, inc, k, max_bytes=0).first()      # shuffle form
     assert (c["inserted"], c["updated"]) == (1, 1)
     dup = frame(spark, [("g", "z", "first", 1, None, None), ("g", "z", "second", 2, None, None)])
     c = U.upsert_counts(ex, dup, k).first()
@@ -79,77 +79,120 @@ def test_purge(spark):
     assert U.purge(df).count() == 0
 
 
-def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+def bucket_files(path):
+    """Bucket -> its data files (name, modification time)."""
     import os
 
-    k = ["source", "source_id"]
-    path, stage = str(tmp_path / "t"), str(tmp_path / "s1")
-    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
-    base = frame(spark, [("g", "a", "x", 1, jan, jan), ("g", "b", "y", 2, feb, feb)])
-    # seed: rows keep their own ingestion times (jan / feb), so they land in two partitions
-    U.upsert_partitioned(base, path, stage, k, "2024-02-10 00:00:00", keep=(), touch=())
-
-    def listing(part):
-        d = os.path.join(path, f"ingest_month={part}")
-        return sorted((f, os.path.getmtime(os.path.join(d, f))) for f in os.listdir(d))
-
-    feb_before = listing("2024-02")
-    inc = frame(spark, [("g", "a", "x2", 10, None, None), ("g", "c", "z", 3, None, None)])
-    assert U.upsert_partitioned(inc, path, str(tmp_path / "s2"), k, "2024-06-01 00:00:00") == (1, 1)
+    return {d: sorted((f, os.path.getmtime(f"{path}/{d}/{f}")) for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet"))
+            for d in os.listdir(path) if d.startswith(f"{U.BUCKET}=")}
+
+
+K = ["source", "source_id"]
+
+
+def seeded(spark, tmp_path, n=40, buckets=16):
+    path = str(tmp_path / "t")
+    base = frame(spark, [("g", f"k{i}", f"v{i}", i, T0, T0) for i in range(n)])
+    assert U.upsert_partitioned(base, path, str(tmp_path / "s0"), K, NOW, keep=(), touch=(), buckets=buckets) == (n, 0)
+    return path, {r["source_id"]: f"{U.BUCKET}={r[U.BUCKET]}" for r in spark.read.parquet(path).collect()}
+
+
+def test_batch_rewrites_only_its_buckets_and_appends_pure_inserts(spark, tmp_path):
+    path, bucket = seeded(spark, tmp_path)
+    before = bucket_files(path)
+    new = next(f"n{i}" for i in range(500) if bucket["k3"] != (
+        b := f"{U.BUCKET}={spark.range(1).select(U.bucket_of([F.lit('g'), F.lit(f'n{i}')], 16)).first()[0]}") and b in before)
+    inc = frame(spark, [("g", "k3", "w", -3, None, None), ("g", new, "z", 3, None, None)])
+    assert U.upsert_partitioned(inc, path, str(tmp_path / "s1"), K, NOW, buckets=16) == (1, 1)
     out = {r["source_id"]: r for r in spark.read.parquet(path).collect()}
-    assert out["a"]["v"] == "x2" and out["a"]["ingest_month"] == "2024-01"     # stays in its partition
-    assert out["a"]["ingested_at"] == jan and out["a"]["updated_at"] == dt.datetime(2024, 6, 1)
-    assert out["c"]["ingest_month"] == "2024-06" and out["b"]["v"] == "y"
-    assert len(out) == 3
-    assert listing("2024-02") == feb_before                                      # untouched
+    assert len(out) == 41 and out["k3"]["v"] == "w" and out["k3"]["ingested_at"] == T0
+    assert out[new]["ingested_at"] == dt.datetime(2024, 6, 1)
+    after, home = bucket_files(path), f"{U.BUCKET}={out[new][U.BUCKET]}"
+    assert not set(before[bucket["k3"]]) & set(after[bucket["k3"]])             # replaced
+    assert set(before[home]) < set(after[home])                                  # appended to
+    assert all(after[b] == before[b] for b in before if b not in (bucket["k3"], home))
+
+
+def test_partitioned_agrees_with_the_plain_upsert(spark, tmp_path):
+    path, _ = seeded(spark, tmp_path)
+    inc = frame(spark, [("g", f"k{i}", None, -i, None, None) for i in range(30, 60)])
+    plain = U.upsert(frame(spark, [("g", f"k{i}", f"v{i}", i, T0, T0) for i in range(40)]), inc, K, NOW)
+    assert U.upsert_partitioned(inc, path, str(tmp_path / "s1"), K, NOW, buckets=16, max_bytes=0) == (20, 10)
+    assert table(spark.read.parquet(path).drop(U.BUCKET)) == table(plain)
 
 
 def test_partitioned_upsert_folds_duplicates_and_replays(spark, tmp_path):
-    k = ["source", "source_id"]
     path = str(tmp_path / "t")
     batch = frame(spark, [("g", "a", "first", 1, None, None), ("g", "a", "second", 2, None, None),
                           ("g", "b", "y", 1, None, None)])
-    assert U.upsert_partitioned(batch, path, str(tmp_path / "s1"), k, NOW, order=["n"]) == (2, 1)
+    told = []
+    assert U.upsert_partitioned(batch, path, str(tmp_path / "s1"), K, NOW, order=["n"],
+                                on_counts=lambda *c: told.append(c)) == (2, 1)
     once = table(spark.read.parquet(path))
-    assert U.upsert_partitioned(batch, path, str(tmp_path / "s2"), k, NOW, order=["n"]) == (0, 3)
-    assert table(spark.read.parquet(path)) == once                              # idempotent
+    assert U.upsert_partitioned(batch, path, str(tmp_path / "s2"), K, NOW, order=["n"]) == (0, 3)
+    assert table(spark.read.parquet(path)) == once and told == [(2, 1)]         # idempotent
     assert {r["v"] for r in spark.read.parquet(path).collect()} == {"second", "y"}
 
 
-def test_partitioned_upsert_completes_an_interrupted_swap(spark, tmp_path, monkeypatch):
-    """A swap cut short after deleting a partition is redone from its staging by the next call."""
+@pytest.mark.parametrize("moved", [0, 1])
+def test_interrupted_swap_is_finished_by_the_next_call(spark, tmp_path, monkeypatch, moved):
+    """The driver is lost before any, or after one of the staged buckets was moved."""
     import os
-    import shutil
 
-    k = ["source", "source_id"]
-    path = str(tmp_path / "t")
-    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
-    U.upsert_partitioned(frame(spark, [("g", "a", "x", 1, jan, jan), ("g", "b", "y", 2, feb, feb)]),
-                         path, str(tmp_path / "s1"), k, "2024-02-10 00:00:00", keep=(), touch=())
-    assert not os.path.exists(tmp_path / "s1")                     # staging dropped after the swap
-    stage = str(tmp_path / "s2")
-    with monkeypatch.context() as m:                               # the run dies before cleanup
-        m.setattr(U, "_drop_staging", lambda *_: None)
-        U.upsert_partitioned(frame(spark, [("g", "a", "x2", 10, None, None)]), path, stage, k, NOW)
-    want = table(spark.read.parquet(path))
-    # the driver died inside the commit of that swap: intent logged, jan partition deleted
-    U._mark_swap(spark, path, stage)
-    shutil.rmtree(f"{path}/ingest_month=2024-01")
+    path, _ = seeded(spark, tmp_path)
+    stage = str(tmp_path / "s1")
+    inc = frame(spark, [("g", f"k{i}", "w", -i, None, None) for i in range(10)])
+    done, real = [], U.storage.move
+
+    def cut(*a):
+        if len(done) == moved:
+            raise RuntimeError("driver lost")
+        done.append(real(*a))
+
+    with monkeypatch.context() as m:
+        m.setattr(U.storage, "move", cut)
+        with pytest.raises(RuntimeError):
+            U.upsert_partitioned(inc, path, stage, K, NOW, buckets=16)
     assert U._pending_swap(spark, path) == stage
-    # the stream re-runs the interrupted batch
-    assert U.upsert_partitioned(frame(spark, [("g", "a", "x2", 10, None, None)]), path,
-                                str(tmp_path / "s3"), k, NOW) == (0, 1)
-    assert U._pending_swap(spark, path) is None
-    assert table(spark.read.parquet(path)) == want
+    assert U.upsert_partitioned(inc, path, str(tmp_path / "s2"), K, NOW, buckets=16) == (0, 10)
+    assert U._pending_swap(spark, path) is None and not os.path.exists(stage)
+    out = {r["source_id"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert out == {f"k{i}": "w" if i < 10 else f"v{i}" for i in range(40)}
 
 
-def test_vacuum_keeps_the_newest_snapshots(spark, tmp_path):
+def test_vacuum_goes_by_age(spark, tmp_path):
     from daybook.sources import landing as L
 
     root = str(tmp_path)
     df = frame(spark, [("g", "a", "x", 1, T0, T0)])
     snaps = [L.write_table(df, root, "t") for _ in range(4)]
-    assert L.vacuum(spark, root, "t", keep=2) == snaps[:2]
-    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("snap-")) == snaps[2:]
+    assert L.vacuum(spark, root, "t") == []                                      # a reader may still be on them
+    assert L.vacuum(spark, root, "t", older_than=0) == snaps[:3]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("snap-")) == snaps[3:]
     assert table(L.read_table(spark, root, "t", df.schema)) == table(df)     # current still readable
-    assert L.vacuum(spark, root, "t", keep=2) == []
+    assert L.vacuum(spark, root, "t", older_than=0) == []
+
+
+def test_unreadable_pointer_is_an_error(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from daybook.sources import landing as L
+
+    assert L.current_snapshot(spark, str(tmp_path), "never") is None
+    df = frame(spark, [("g", "a", "x", 1, T0, T0)])
+    L.write_table(df, str(tmp_path), "t")
+
+    class Denied(AnalysisException):
+        def __init__(self):
+            pass
+
+        def getCondition(self):
+            return "FAILED_READ_FILE"
+
+    def refuse(*_):
+        raise Denied()
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(spark.read), "text", refuse)
+        with pytest.raises(AnalysisException):
+            L.current_snapshot(spark, str(tmp_path), "t")
