@@ -1,7 +1,9 @@
 """Oracle SQL for DuckDB: the warehouse models written as straightforward SQL.
 
-These are independent of the Spark plans (which pre-aggregate and restructure); the
-driver runs both and compares. The driver tables are pre-registered as DuckDB views.
+Written from the models' output contracts in another form than the Spark plans, which fold and
+join: here outer joins are unions that are grouped, lookups are scalar subqueries, per-group
+results are windows. The driver runs both and compares. The driver tables are pre-registered as
+DuckDB views.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ _CLOSED = "event_type IN ('purchase', 'error')"
 RAW = {
     "raw_github_repositories": f"""
         SELECT 'github' AS source, CAST(c_custkey AS VARCHAR) AS source_id,
-               CAST(c_custkey AS BIGINT) AS github_repository_id, c_name AS name,
+               CASE WHEN c_custkey % 50 <> 0 THEN CAST(c_custkey AS BIGINT) END AS github_repository_id, c_name AS name,
                CAST(c_nationkey AS VARCHAR) AS owner,
                CAST(c_nationkey AS VARCHAR) || '/' || c_name AS full_name,
                c_mktsegment AS language, TIMESTAMP '{REPO_CREATED_TS}' AS created_at,
@@ -29,8 +31,8 @@ RAW = {
         FROM customer""",
     "raw_github_commits": f"""
         SELECT 'github' AS source, CAST(o_orderkey AS VARCHAR) AS source_id,
-               CAST(o_custkey AS VARCHAR) AS repository_source_id,
-               CAST(o_orderkey AS VARCHAR) AS commit_sha, o_orderpriority AS author_name,
+               CAST(o_custkey * 2 AS VARCHAR) AS repository_source_id,
+               CASE WHEN o_orderkey % 40 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS commit_sha, o_orderpriority AS author_name,
                '' AS author_email, o_orderdate AS committed_at,
                CAST(NULL AS INTEGER) AS additions, CAST(NULL AS INTEGER) AS deletions,
                o_orderstatus AS message, {_TAIL}
@@ -42,7 +44,7 @@ RAW = {
                CASE l_returnflag WHEN 'R' THEN 'Weekly sync' WHEN 'A' THEN 'Write design doc'
                     ELSE 'Focus block' END AS title,
                l_shipdate AS start_at,
-               l_shipdate + to_minutes(CAST(l_quantity AS INTEGER)) AS end_at,
+               l_shipdate + to_minutes(CAST(l_quantity AS INTEGER) - CASE WHEN l_linenumber = 7 THEN 60 ELSE 0 END) AS end_at,
                'UTC' AS timezone, l_linenumber AS attendees_count, 'confirmed' AS status,
                CASE l_returnflag WHEN 'R' THEN 'meeting' WHEN 'A' THEN 'work'
                     ELSE 'other' END AS category, {_TAIL}
@@ -63,7 +65,8 @@ RAW = {
         SELECT 'github' AS source, CAST(event_id AS VARCHAR) AS source_id,
                CAST(user_id AS VARCHAR) AS repository_source_id,
                CAST(event_id AS INTEGER) AS number, event_type AS title,
-               CASE WHEN {_CLOSED} THEN 'closed' ELSE 'open' END AS state,
+               CASE WHEN event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 90 THEN 'merged'
+                    WHEN {_CLOSED} THEN 'closed' ELSE 'open' END AS state,
                'user' || CAST(user_id AS VARCHAR) AS author,
                ts AS created_at, ts AS updated_at,
                CASE WHEN {_CLOSED} THEN ts END AS closed_at,
@@ -81,13 +84,13 @@ RAW = {
         FROM events""",
     "pipeline_runs": """
         SELECT md5(source || '|' || CAST(d AS VARCHAR)) AS run_id, source, started_at, finished_at,
-               CASE WHEN failed = fetched THEN 'failed' WHEN failed > 0 THEN 'partial'
+               CASE WHEN fetched % 7 = 0 THEN 'failed' WHEN failed > 0 THEN 'partial'
                     ELSE 'success' END AS status,
                CAST(fetched AS INTEGER) AS records_fetched,
                CAST(inserted AS INTEGER) AS records_inserted,
                CAST(fetched - inserted AS INTEGER) AS records_updated,
                CAST(failed AS INTEGER) AS records_failed,
-               CASE WHEN failed = fetched THEN 'all records failed' END AS error_message
+               CASE WHEN fetched % 7 = 0 THEN 'rate limit' END AS error_message
         FROM (SELECT event_type AS source, CAST(ts AS DATE) AS d, min(ts) AS started_at,
                      max(ts) AS finished_at, count(*) AS fetched,
                      count(DISTINCT user_id) AS inserted,
@@ -138,104 +141,88 @@ MODELS = {
                track_id, track_name, artists
         FROM raw_spotify_plays""",
     "int_daily_activity": """
-        WITH commits AS (
-            SELECT CAST(committed_at AS DATE) AS activity_date, count(*) AS commit_count,
-                   count(DISTINCT repository_source_id) AS active_repositories
-            FROM stg_github_commits GROUP BY 1),
-        meetings AS (
-            SELECT CAST(start_at AS DATE) AS activity_date,
-                   CAST(sum(duration_minutes) AS BIGINT) AS meeting_minutes,
-                   count(*) AS meeting_count
-            FROM stg_calendar_events WHERE category = 'meeting' GROUP BY 1)
-        SELECT coalesce(com.activity_date, mtg.activity_date) AS activity_date,
-               coalesce(com.commit_count, 0) AS commit_count,
-               coalesce(com.active_repositories, 0) AS active_repositories,
-               coalesce(mtg.meeting_minutes, 0) AS meeting_minutes,
-               coalesce(mtg.meeting_count, 0) AS meeting_count
-        FROM commits com FULL OUTER JOIN meetings mtg ON com.activity_date = mtg.activity_date""",
+        SELECT day AS activity_date, CAST(sum(is_commit) AS BIGINT) AS commit_count,
+               count(DISTINCT repo) AS active_repositories, CAST(sum(minutes) AS BIGINT) AS meeting_minutes,
+               CAST(sum(1 - is_commit) AS BIGINT) AS meeting_count
+        FROM (SELECT committed_at::DATE AS day, 1 AS is_commit, repository_source_id AS repo, 0 AS minutes
+              FROM stg_github_commits
+              UNION ALL
+              SELECT start_at::DATE, 0, NULL, coalesce(duration_minutes, 0) FROM stg_calendar_events
+              WHERE category = 'meeting') happened
+        GROUP BY day""",
     "int_calendar_activity": """
-        SELECT CAST(start_at AS DATE) AS activity_date, category,
-               CAST(sum(duration_minutes) AS BIGINT) AS minutes, count(*) AS event_count
-        FROM stg_calendar_events GROUP BY 1, 2""",
+        SELECT DISTINCT start_at::DATE AS activity_date, category,
+               CAST(sum(duration_minutes) OVER per AS BIGINT) AS minutes, count(*) OVER per AS event_count
+        FROM stg_calendar_events WINDOW per AS (PARTITION BY start_at::DATE, category)""",
     "int_project_activity": """
-        SELECT r.repository_key, r.name, max(c.committed_at) AS last_active,
-               count(c.commit_id) AS commit_count,
-               CASE WHEN max(c.committed_at) IS NULL THEN 'inactive'
-                    WHEN max(c.committed_at) >= (SELECT max(committed_at) FROM stg_github_commits)
-                         - INTERVAL 14 DAY THEN 'active'
-                    ELSE 'stale' END AS status
-        FROM stg_github_repositories r
-        LEFT JOIN stg_github_commits c ON c.repository_source_id = r.source_id
-        GROUP BY 1, 2""",
+        WITH ranked AS (
+            SELECT repository_source_id AS sid, committed_at, count(commit_id) OVER all_of AS n,
+                   row_number() OVER (PARTITION BY repository_source_id ORDER BY committed_at DESC) AS place
+            FROM stg_github_commits WINDOW all_of AS (PARTITION BY repository_source_id)),
+        newest AS (SELECT sid, committed_at, n FROM ranked WHERE place = 1),
+        known AS (SELECT repository_key, name, (SELECT committed_at FROM newest WHERE sid = source_id) AS last_active,
+                         (SELECT n FROM newest WHERE sid = source_id) AS n
+                  FROM stg_github_repositories)
+        SELECT repository_key, name, last_active, coalesce(n, 0) AS commit_count,
+               CASE WHEN last_active IS NULL THEN 'inactive'
+                    WHEN date_diff('microsecond', last_active, (SELECT max(committed_at) FROM newest))
+                         <= 14 * 86400000000 THEN 'active' ELSE 'stale' END AS status
+        FROM known""",
     "dim_date": """
-        WITH bounds AS (
-            SELECT min(activity_date) AS min_date, max(activity_date) AS max_date FROM (
-                SELECT CAST(committed_at AS DATE) AS activity_date FROM stg_github_commits
-                UNION ALL
-                SELECT CAST(start_at AS DATE) AS activity_date FROM stg_calendar_events) x),
-        spine AS (
-            SELECT CAST(unnest(generate_series(CAST(min_date AS TIMESTAMP),
-                   CAST(max_date AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM bounds)
-        SELECT date, dayname(date) AS day_of_week, strftime(date, '%G-%V') AS week,
-               strftime(date, '%Y-%m') AS month, CAST(quarter(date) AS INTEGER) AS quarter,
-               CAST(year(date) AS INTEGER) AS year, dayofweek(date) IN (0, 6) AS is_weekend
-        FROM spine""",
+        WITH days AS (SELECT committed_at::DATE AS d FROM stg_github_commits
+                      UNION SELECT start_at::DATE FROM stg_calendar_events),
+        ends AS (SELECT min(d) AS a, max(d) AS z FROM days),
+        every AS (SELECT a + CAST(k AS INTEGER) AS date FROM ends, range(0, 100000) t(k) WHERE k <= z - a)
+        SELECT date, strftime(date, '%A') AS day_of_week,
+               CAST(isoyear(date) AS VARCHAR) || '-' || lpad(CAST(weekofyear(date) AS VARCHAR), 2, '0') AS week,
+               left(CAST(date AS VARCHAR), 7) AS month, CAST((month(date) + 2) // 3 AS INTEGER) AS quarter,
+               CAST(year(date) AS INTEGER) AS year, isodow(date) > 5 AS is_weekend
+        FROM every""",
     "dim_repository": """
         SELECT repository_key, github_repository_id, name, owner, language, created_at, archived
         FROM stg_github_repositories""",
     "fct_commits": """
-        SELECT c.commit_key, r.repository_key, c.commit_id, c.author, c.committed_at,
-               c.additions, c.deletions
-        FROM stg_github_commits c
-        LEFT JOIN stg_github_repositories r ON c.repository_source_id = r.source_id""",
+        SELECT commit_key, (SELECT r.repository_key FROM stg_github_repositories r WHERE r.source_id = repository_source_id)
+               AS repository_key, commit_id, author, committed_at, additions, deletions
+        FROM stg_github_commits""",
     "fct_calendar_events": """
         SELECT event_key, calendar_event_id, start_at, end_at, duration_minutes, category
         FROM stg_calendar_events""",
     "fct_pull_requests": """
-        SELECT p.pr_key, r.repository_key, p.number, p.title, p.state, p.author, p.created_at,
-               p.updated_at, p.closed_at, p.merged_at, p.is_draft, p.comments_count
-        FROM stg_github_pull_requests p
-        LEFT JOIN stg_github_repositories r ON p.repository_source_id = r.source_id""",
+        SELECT pr_key, (SELECT r.repository_key FROM stg_github_repositories r WHERE r.source_id = repository_source_id)
+               AS repository_key, number, title, state, author, created_at, updated_at, closed_at,
+               merged_at, is_draft, comments_count
+        FROM stg_github_pull_requests""",
     "fct_issues": """
-        SELECT i.issue_key, r.repository_key, i.number, i.title, i.state, i.state_reason,
-               i.author, i.created_at, i.updated_at, i.closed_at, i.comments_count
-        FROM stg_github_issues i
-        LEFT JOIN stg_github_repositories r ON i.repository_source_id = r.source_id""",
+        SELECT issue_key, (SELECT r.repository_key FROM stg_github_repositories r WHERE r.source_id = repository_source_id)
+               AS repository_key, number, title, state, state_reason, author, created_at, updated_at,
+               closed_at, comments_count
+        FROM stg_github_issues""",
     "fct_email_messages": """
         SELECT message_key, thread_id, sender, recipients, subject, date, snippet
         FROM stg_gmail_messages""",
     "fct_spotify_plays": """
         SELECT play_key, played_at, track_id, track_name, artists FROM stg_spotify_plays""",
     "mart_daily_activity": """
-        SELECT d.date, coalesce(i.commit_count, 0) AS commit_count,
-               coalesce(i.active_repositories, 0) AS active_repositories,
-               coalesce(i.meeting_minutes, 0) AS meeting_minutes,
-               coalesce(i.meeting_count, 0) AS meeting_count
-        FROM dim_date d LEFT JOIN int_daily_activity i ON d.date = i.activity_date""",
+        SELECT date, CAST(sum(a) AS BIGINT) AS commit_count, CAST(sum(b) AS BIGINT) AS active_repositories,
+               CAST(sum(c) AS BIGINT) AS meeting_minutes, CAST(sum(d) AS BIGINT) AS meeting_count
+        FROM (SELECT date, 0 AS a, 0 AS b, 0 AS c, 0 AS d FROM dim_date
+              UNION ALL SELECT * FROM int_daily_activity WHERE activity_date IN (SELECT date FROM dim_date)) every
+        GROUP BY date""",
     "mart_project_activity": """
         SELECT repository_key, name, last_active, commit_count, status FROM int_project_activity""",
     "mart_monthly_summary": """
-        WITH monthly_commits AS (
-            SELECT strftime(committed_at, '%Y-%m') AS month, count(*) AS commits,
-                   count(DISTINCT repository_key) AS active_repos
-            FROM fct_commits GROUP BY 1),
-        meetings AS (
-            SELECT strftime(start_at, '%Y-%m') AS month,
-                   CAST(sum(duration_minutes) AS BIGINT) AS meeting_minutes,
-                   count(*) AS meeting_count
-            FROM fct_calendar_events WHERE category = 'meeting' GROUP BY 1),
-        active_days AS (
-            SELECT strftime(date, '%Y-%m') AS month,
-                   count(DISTINCT CASE WHEN commit_count > 0 THEN date END) AS active_days
-            FROM mart_daily_activity GROUP BY 1)
-        SELECT coalesce(c.month, m.month, d.month) AS month,
-               coalesce(c.commits, 0) AS commits, coalesce(c.active_repos, 0) AS active_repos,
-               coalesce(m.meeting_minutes, 0) AS meeting_minutes,
-               coalesce(m.meeting_count, 0) AS meeting_count,
-               coalesce(d.active_days, 0) AS active_days
-        FROM monthly_commits c
-        FULL OUTER JOIN meetings m ON c.month = m.month
-        FULL OUTER JOIN active_days d ON coalesce(c.month, m.month) = d.month""",
+        SELECT month, CAST(count(*) FILTER (WHERE kind = 'commit') AS BIGINT) AS commits,
+               count(DISTINCT repo) AS active_repos, CAST(coalesce(sum(minutes), 0) AS BIGINT) AS meeting_minutes,
+               CAST(count(*) FILTER (WHERE kind = 'meeting') AS BIGINT) AS meeting_count,
+               CAST(count(*) FILTER (WHERE kind = 'busy day') AS BIGINT) AS active_days
+        FROM (SELECT left(CAST(committed_at AS VARCHAR), 7) AS month, 'commit' AS kind, repository_key AS repo, NULL AS minutes
+              FROM fct_commits
+              UNION ALL SELECT left(CAST(start_at AS VARCHAR), 7), 'meeting', NULL, duration_minutes
+              FROM fct_calendar_events WHERE category = 'meeting'
+              UNION ALL SELECT left(CAST(date AS VARCHAR), 7), CASE WHEN commit_count > 0 THEN 'busy day' ELSE 'day' END,
+                               NULL, NULL FROM mart_daily_activity) events_of
+        GROUP BY month""",
 }
 
 

@@ -1,8 +1,8 @@
 """Analytics over the marts (N1-N9), as the warehouse's own spec describes them.
 
 Most read per-day or per-month marts, whose size is the number of calendar days or months,
-not the data volume. Those over commit facts aggregate per repository (partial
-aggregation) before anything is joined; totals come from scalar subqueries instead of
+not the data volume. Those over commits take them folded per repository (partial aggregation at
+the scan) before anything is joined; totals come from scalar subqueries instead of
 unpartitioned windows, except the month-over-month lag, whose input is one row per month.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import month_str
+from .marts import resolve_fk
 
 
 def _between(c: str, start: str, end: str):
@@ -72,13 +72,14 @@ def month_over_month(monthly: DataFrame) -> DataFrame:
                       pct("meeting_minutes", "prev_meeting_minutes").alias("meeting_minutes_change_pct"))
 
 
-def language_mix(fct_commits: DataFrame, dim_repo: DataFrame) -> DataFrame:
-    """Commits per repository language and its share of all commits (orphans: null)."""
-    per_repo = fct_commits.groupBy("repository_key").agg(F.count(F.lit(1)).alias("n"))
+def language_mix(per_repo: DataFrame, stg_repos: DataFrame, dim_repo: DataFrame) -> DataFrame:
+    """Commits per repository language and its share of all commits (orphans: null). `per_repo`
+    holds commits folded by repository_source_id; keys are resolved after the fold."""
+    keyed = resolve_fk(per_repo, stg_repos, "repository_source_id", "source_id", "repository_key")
     d = dim_repo.select(F.col("repository_key").alias("__k"), "language")
-    j = per_repo.join(d, per_repo["repository_key"] == d["__k"], "left")
+    j = keyed.join(d, keyed["repository_key"] == d["__k"], "left")
     g = j.groupBy("language").agg(F.sum("n").alias("commits"))
-    total = per_repo.agg(F.sum("n")).scalar()
+    total = keyed.agg(F.sum("n")).scalar()
     return g.select("language", "commits",
                     (F.col("commits").cast("double") / total.cast("double")).alias("share"))
 
@@ -96,18 +97,20 @@ def weekday_distribution(mart_daily: DataFrame, dim: DataFrame) -> DataFrame:
                     (F.col("commit_count") == lo).alias("is_quietest"))
 
 
-def first_last_activity(fct_commits: DataFrame) -> DataFrame:
-    """First and last commit and commit count per repository."""
-    return fct_commits.groupBy("repository_key").agg(
-        F.min("committed_at").alias("first_active"), F.max("committed_at").alias("last_active"),
-        F.count(F.lit(1)).alias("commit_count"))
+def first_last_activity(per_repo: DataFrame, stg_repos: DataFrame) -> DataFrame:
+    """First and last commit and commit count per repository (folded before the key join)."""
+    keyed = resolve_fk(per_repo, stg_repos, "repository_source_id", "source_id", "repository_key")
+    return keyed.groupBy("repository_key").agg(
+        F.min("first_ts").alias("first_active"), F.max("last_ts").alias("last_active"),
+        F.sum("n").alias("commit_count"))
 
 
-def project_share(fct_commits: DataFrame) -> DataFrame:
-    """Each project's share of the month's commits. Month totals are one row per month
-    (bounded), joined back instead of a window over all projects of a month."""
-    pm = fct_commits.groupBy(month_str("committed_at").alias("month"), "repository_key").agg(
-        F.count(F.lit(1)).alias("commits"))
+def project_share(per_month: DataFrame, stg_repos: DataFrame) -> DataFrame:
+    """Each project's share of the month's commits. Commits come folded to (month, repository);
+    month totals are one row per month (bounded by the calendar), joined back instead of a window
+    over all projects of a month."""
+    keyed = resolve_fk(per_month, stg_repos, "repository_source_id", "source_id", "repository_key")
+    pm = keyed.groupBy("month", "repository_key").agg(F.sum("n").alias("commits"))
     tot = pm.groupBy("month").agg(F.sum("commits").alias("__total"))
     j = pm.join(F.broadcast(tot), "month")
     return j.select("month", "repository_key", "commits",

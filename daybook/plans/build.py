@@ -53,9 +53,11 @@ class Warehouse:
 
     # reductions shared by the marts
     @cached_property
-    def commit_pairs(self): return M.commit_pairs(self.stg_commits)
+    def commits_daily(self): return M.commits_daily(self.stg_commits)
     @cached_property
-    def commits_daily(self): return M.commits_daily(self.commit_pairs)
+    def commits_by_repository(self): return M.commits_by_repository(self.stg_commits)
+    @cached_property
+    def commits_monthly(self): return M.commits_monthly(self.stg_commits)
     @cached_property
     def int_calendar_activity(self): return M.int_calendar_activity(self.stg_calendar_events)
     @cached_property
@@ -66,7 +68,7 @@ class Warehouse:
     def int_daily_activity(self): return M.int_daily_activity(self.commits_daily, self.meetings_daily)
     @cached_property
     def int_project_activity(self):
-        return M.int_project_activity(self.stg_repositories, self.commit_pairs, self.project_days)
+        return M.int_project_activity(self.stg_repositories, self.commits_by_repository, self.project_days)
 
     # marts
     @cached_property
@@ -92,17 +94,17 @@ class Warehouse:
     @cached_property
     def mart_monthly_summary(self):
         return M.mart_monthly_summary(
-            M.monthly_commits(self.commit_pairs, self.stg_repositories),
+            M.monthly_commits(self.commits_monthly, self.stg_repositories),
             M.monthly_meetings(self.int_calendar_activity),
             M.monthly_active_days(self.mart_daily_activity))
 
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
-    # Reductions every daily/monthly/project model derives from. Written once to the
-    # shared checkpoint folder, they cut lineage (an executor lost later recomputes from
-    # the small checkpoint, not from the fact tables) and each fact table is scanned once.
-    SHARED = ("commit_pairs", "int_calendar_activity")
+    # The per-day results that the daily and monthly models share: as many rows as the calendar
+    # has days (times categories). Written once to the shared checkpoint folder, they cut lineage
+    # and each fact is scanned once for them.
+    SHARED = ("commits_daily", "int_calendar_activity")
 
     def materialize(self, *names: str) -> "Warehouse":
         """Replace the named models by Parquet tables written under `spark.checkpoint.dir`
@@ -113,14 +115,13 @@ class Warehouse:
             df = getattr(self, name)
             path = scratch_path(df.sparkSession, name)
             df.write.mode("overwrite").parquet(path)
-            self.__dict__[name] = df.sparkSession.read.parquet(path)
+            self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
             for dep in self._DEPENDENTS.get(name, ()):
                 self.__dict__.pop(dep, None)
         return self
 
     _DEPENDENTS = {
-        "commit_pairs": ("commits_daily", "int_daily_activity", "int_project_activity", "dim_date",
-                         "mart_daily_activity", "mart_project_activity", "mart_monthly_summary"),
+        "commits_daily": ("int_daily_activity", "dim_date", "mart_daily_activity", "mart_monthly_summary"),
         "int_calendar_activity": ("meetings_daily", "int_daily_activity", "dim_date",
                                   "mart_daily_activity", "mart_monthly_summary"),
     }

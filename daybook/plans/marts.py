@@ -1,15 +1,9 @@
 """Intermediate models, dimensions, facts and marts.
 
-Plan shape. The two large inputs (commits, calendar events) are each reduced once:
-
-* commits  -> `commit_pairs`: one row per (day, repository) with row count, non-null id
-  count and newest timestamp. Map-side partial aggregation, so a repository holding a third
-  of all commits is folded inside each task before the shuffle.
-* calendar -> `int_calendar_activity`: one row per (day, category).
-
-Every daily/monthly/project model is derived from these small aggregates, so each large
-table is scanned and shuffled once per build, whatever the number of marts. The results
-equal the reference models' SQL (checked against DuckDB running that SQL directly).
+Plan shape. Facts are folded to the grain a model needs straight from the scan: commits per day,
+per repository or per (month, repository), calendar events per (day, category). Only the two
+per-day results, whose size is the calendar's, are written and shared between models. A fold that
+hardly reduces (day by repository) is never written.
 """
 
 from __future__ import annotations
@@ -18,45 +12,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import day_name, iso_week, is_weekend, month_str
-from ..session import maybe_broadcast
 
 
 # --------------------------------------------------------------------------- joins (G1)
 
-def resolve_fk(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str,
-               take: str, max_broadcast_rows: int | None = None) -> DataFrame:
+def resolve_fk(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, take: str) -> DataFrame:
     """fact LEFT JOIN dim ON fact.fact_col = dim.dim_col, adding dim.take.
 
     The dimension grows with the data (one row per repository), so no broadcast hint: the
     planner broadcasts it only under `autoBroadcastJoinThreshold` (static file sizes, then
     AQE's measured sizes); beyond that a shuffle join, where AQE splits a hot key's
-    partition on the fact side. `max_broadcast_rows` forces a counted check instead.
+    partition on the fact side.
     """
     d = dim.select(F.col(dim_col).alias("__fk"), F.col(take).alias("__take"))
-    if max_broadcast_rows is not None:
-        d = maybe_broadcast(d, max_broadcast_rows)
     out = fact.join(d, fact[fact_col] == d["__fk"], "left")
     return out.drop("__fk").withColumnRenamed("__take", take)
 
 
 # --------------------------------------------------------------------------- reductions
 
-def commit_pairs(stg_commits: DataFrame) -> DataFrame:
-    """(activity_date, repository_source_id) -> n rows, n non-null commit ids, newest ts."""
-    return (
-        stg_commits.groupBy(
-            F.to_date("committed_at").alias("activity_date"), "repository_source_id")
-        .agg(F.count(F.lit(1)).alias("n"),
-             F.count("commit_id").alias("n_ids"),
-             F.max("committed_at").alias("last_ts"))
-    )
+def commits_daily(stg_commits: DataFrame) -> DataFrame:
+    """Per day: commits and distinct repositories. The distinct count shuffles (day, repository)
+    after a map-side fold, so a repository with a third of the commits is folded in the tasks."""
+    return stg_commits.groupBy(F.to_date("committed_at").alias("activity_date")).agg(
+        F.count(F.lit(1)).alias("commit_count"),
+        F.countDistinct("repository_source_id").alias("active_repositories"))
+
+
+def commits_by_repository(stg_commits: DataFrame) -> DataFrame:
+    """Per repository: rows, non-null commit ids, first and newest commit (map-side fold)."""
+    return stg_commits.groupBy("repository_source_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count("commit_id").alias("n_ids"),
+        F.min("committed_at").alias("first_ts"), F.max("committed_at").alias("last_ts"))
 
 
-def commits_daily(pairs: DataFrame) -> DataFrame:
-    """Per day: commits and distinct repositories (pairs are distinct per day)."""
-    return pairs.groupBy("activity_date").agg(
-        F.sum("n").alias("commit_count"),
-        F.count("repository_source_id").alias("active_repositories"))
+def commits_monthly(stg_commits: DataFrame) -> DataFrame:
+    """Per (month, repository): commits."""
+    return stg_commits.groupBy(month_str("committed_at").alias("month"), "repository_source_id").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 def int_calendar_activity(stg_calendar: DataFrame) -> DataFrame:
@@ -144,21 +137,18 @@ def mart_daily_activity(dim: DataFrame, daily: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- J3 / K5
 
-def int_project_activity(stg_repos: DataFrame, pairs: DataFrame, days: int = 14) -> DataFrame:
+def int_project_activity(stg_repos: DataFrame, per_repo: DataFrame, days: int = 14) -> DataFrame:
     """Per repository: newest commit, commits, active/stale/inactive.
 
-    Commits are pre-aggregated per repository before meeting the repository table
-    (G2: same result as joining first, far smaller shuffle). "As of" is the newest commit
-    in the data, a scalar subquery (G6) evaluated once.
+    Commits are folded per repository before they meet the repository table (G2). "As of" is the
+    newest commit in the data, a scalar subquery (G6) over the per-repository result.
     """
-    per_repo = pairs.groupBy("repository_source_id").agg(
-        F.max("last_ts").alias("last_ts"), F.sum("n_ids").alias("n_ids"))
     r = stg_repos.select("repository_key", "name", "source_id")
     j = r.join(per_repo, r["source_id"] == per_repo["repository_source_id"], "left")
     g = j.groupBy("repository_key", "name").agg(
         F.max("last_ts").alias("last_active"),
         F.coalesce(F.sum("n_ids"), F.lit(0)).cast("bigint").alias("commit_count"))
-    as_of = pairs.agg(F.max("last_ts").alias("as_of")).scalar()
+    as_of = per_repo.agg(F.max("last_ts").alias("as_of")).scalar()
     status = (F.when(F.col("last_active").isNull(), "inactive")
               .when(F.col("last_active") >= as_of - F.expr(f"INTERVAL {int(days)} DAYS"), "active")
               .otherwise("stale"))
@@ -211,15 +201,13 @@ def fct_plays(stg_plays: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- K6
 
-def monthly_commits(pairs: DataFrame, stg_repos: DataFrame) -> DataFrame:
+def monthly_commits(per_month: DataFrame, stg_repos: DataFrame) -> DataFrame:
     """Per month over fct_commits: rows and distinct repository_key (orphans not counted).
 
-    Pairs are folded to (month, repository) first, then resolved against the repository
-    table: the join fans out exactly like the commit-level join would.
+    Commits come folded to (month, repository), then are resolved against the repository table:
+    the join fans out as the commit-level join would.
     """
-    pm = pairs.groupBy(month_str("activity_date").alias("month"), "repository_source_id").agg(
-        F.sum("n").alias("n"))
-    j = resolve_fk(pm, stg_repos, "repository_source_id", "source_id", "repository_key")
+    j = resolve_fk(per_month, stg_repos, "repository_source_id", "source_id", "repository_key")
     return j.groupBy("month").agg(F.sum("n").alias("commits"),
                                   F.countDistinct("repository_key").alias("active_repos"))
 

@@ -64,20 +64,18 @@ _MODEL_QUERIES = {
 }
 
 
-# Models built on the shared reductions: the reductions each one reads are written first
-# (one fact scan each); the others are not built.
-_BOTH = ("commit_pairs", "int_calendar_activity")
-_ON_REDUCTIONS = {"int_daily_activity": _BOTH, "dim_date": _BOTH, "mart_daily_activity": _BOTH,
-                  "mart_monthly_summary": _BOTH, "int_project_activity": ("commit_pairs",),
-                  "mart_project_activity": ("commit_pairs",)}
+# Models built on the shared per-day results: these are written first (one scan of each fact).
+_ON_SHARED = ("int_daily_activity", "dim_date", "mart_daily_activity", "mart_monthly_summary")
+
+
+def shared(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse with its per-day results written."""
+    return wh(spark, sf_dir).materialize()
 
 
 def _model_query(attr: str) -> QueryFn:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        w = wh(spark, sf_dir)
-        if attr in _ON_REDUCTIONS:
-            w.materialize(*_ON_REDUCTIONS[attr])
-        return w.model(attr)
+        return (shared if attr in _ON_SHARED else wh)(spark, sf_dir).model(attr)
 
     q.__name__ = attr
     return q

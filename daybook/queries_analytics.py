@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import oracle as O
 from .plans import analytics as A
-from .queries import register, wh
+from .queries import register, shared, wh
 
 W = O.with_models
 RANGE = ("1997-01-01", "1997-03-31")
@@ -17,14 +17,14 @@ RANGE = ("1997-01-01", "1997-03-31")
            count(CASE WHEN m.commit_count > 0 THEN 1 END) AS active_days
     FROM mart_daily_activity m JOIN dim_date d ON m.date = d.date GROUP BY 1"""))
 def weekly_activity(spark, sf):
-    w = wh(spark, sf)
+    w = shared(spark, sf)
     return A.weekly_activity(w.mart_daily_activity, w.dim_date)
 
 
 @register("activity_between", W(f"""
     SELECT * FROM mart_daily_activity WHERE date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"""))
 def activity_between(spark, sf):
-    return A.activity_between(wh(spark, sf).mart_daily_activity, *RANGE)
+    return A.activity_between(shared(spark, sf).mart_daily_activity, *RANGE)
 
 
 @register("project_activity_between", W(f"""
@@ -42,7 +42,7 @@ def project_activity_between(spark, sf):
            CAST(sum(meeting_minutes) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_minutes_per_day
     FROM mart_daily_activity WHERE date BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"""))
 def meeting_stats(spark, sf):
-    return A.meeting_stats(wh(spark, sf).mart_daily_activity, *RANGE)
+    return A.meeting_stats(shared(spark, sf).mart_daily_activity, *RANGE)
 
 
 @register("month_over_month", W("""
@@ -54,7 +54,7 @@ def meeting_stats(spark, sf):
     FROM (SELECT *, lag(commits) OVER (ORDER BY month) AS pc,
                  lag(meeting_minutes) OVER (ORDER BY month) AS pm FROM mart_monthly_summary) x"""))
 def month_over_month(spark, sf):
-    return A.month_over_month(wh(spark, sf).mart_monthly_summary)
+    return A.month_over_month(shared(spark, sf).mart_monthly_summary)
 
 
 @register("language_mix", W("""
@@ -64,7 +64,7 @@ def month_over_month(spark, sf):
     GROUP BY 1"""))
 def language_mix(spark, sf):
     w = wh(spark, sf)
-    return A.language_mix(w.fct_commits, w.dim_repository)
+    return A.language_mix(w.commits_by_repository, w.stg_repositories, w.dim_repository)
 
 
 @register("weekday_distribution", W("""
@@ -75,7 +75,7 @@ def language_mix(spark, sf):
               commit_count = (SELECT min(commit_count) FROM g) AS is_quietest
     FROM g"""))
 def weekday_distribution(spark, sf):
-    w = wh(spark, sf)
+    w = shared(spark, sf)
     return A.weekday_distribution(w.mart_daily_activity, w.dim_date)
 
 
@@ -84,7 +84,8 @@ def weekday_distribution(spark, sf):
            count(*) AS commit_count
     FROM fct_commits GROUP BY 1"""))
 def first_last_activity(spark, sf):
-    return A.first_last_activity(wh(spark, sf).fct_commits)
+    w = wh(spark, sf)
+    return A.first_last_activity(w.commits_by_repository, w.stg_repositories)
 
 
 @register("project_share", W("""
@@ -94,4 +95,5 @@ def first_last_activity(spark, sf):
            CAST(commits AS DOUBLE) / CAST(sum(commits) OVER (PARTITION BY month) AS DOUBLE) AS share
     FROM pm"""))
 def project_share(spark, sf):
-    return A.project_share(wh(spark, sf).fct_commits)
+    w = wh(spark, sf)
+    return A.project_share(w.commits_monthly, w.stg_repositories)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import normalize as N
 from .operators import upsert as U
-from .queries import register, wh
+from .queries import register, shared
 from .session import scratch_path
 from .sources import bindings as B
 from .sources import landing as L
@@ -229,7 +229,7 @@ def raw_sink(spark, sf):
 @register("mart_sink", O.model_sql("mart_daily_activity"))
 def mart_sink(spark, sf):
     """A4: marts are materialised as snapshots (staging stays lazy views)."""
-    w = wh(spark, sf)
+    w = shared(spark, sf)
     root = scratch_path(spark, "marts")
     L.publish({"mart_daily_activity": w.mart_daily_activity, "stg_commits": w.stg_commits},
               root, ["mart_daily_activity"], views=["stg_commits"])

@@ -51,13 +51,13 @@ def filter_range_or(spark, sf):
 # =============================================================== G joins
 
 @register("left_join_fk", W("""
-    SELECT c.commit_key, r.repository_key FROM stg_github_commits c
-    LEFT JOIN (SELECT * FROM stg_github_repositories WHERE language <> 'BUILDING') r
-      ON c.repository_source_id = r.source_id"""))
+    SELECT commit_key, (SELECT r.repository_key FROM stg_github_repositories r
+                        WHERE r.source_id = c.repository_source_id) AS repository_key
+    FROM stg_github_commits c"""))
 def left_join_fk(spark, sf):
+    """G1: commits with their repository's key; orphans keep a null."""
     w = wh(spark, sf)
-    dims = w.stg_repositories.where(F.col("language") != "BUILDING")
-    return M.resolve_fk(w.stg_commits, dims, "repository_source_id", "source_id",
+    return M.resolve_fk(w.stg_commits, w.stg_repositories, "repository_source_id", "source_id",
                         "repository_key").select("commit_key", "repository_key")
 
 
@@ -87,19 +87,17 @@ def full_outer_2(spark, sf):
 
 
 @register("full_outer_chain", W("""
-    WITH c AS (SELECT strftime(committed_at, '%Y-%m') AS month, count(*) AS commits
-               FROM fct_commits GROUP BY 1),
-         m AS (SELECT strftime(start_at, '%Y-%m') AS month, count(*) AS meeting_count
-               FROM fct_calendar_events WHERE category = 'meeting' GROUP BY 1),
-         d AS (SELECT strftime(date, '%Y-%m') AS month,
-                      count(DISTINCT CASE WHEN commit_count > 0 THEN date END) AS active_days
-               FROM mart_daily_activity GROUP BY 1)
-    SELECT coalesce(c.month, m.month, d.month) AS month, c.commits, m.meeting_count, d.active_days
-    FROM c FULL OUTER JOIN m ON c.month = m.month
-    FULL OUTER JOIN d ON coalesce(c.month, m.month) = d.month"""))
+    SELECT month, nullif(count(*) FILTER (WHERE k = 0), 0) AS commits,
+           nullif(count(*) FILTER (WHERE k = 1), 0) AS meeting_count,
+           CASE WHEN bool_or(k >= 2) THEN count(*) FILTER (WHERE k = 3) END AS active_days
+    FROM (SELECT date_trunc('month', committed_at)::DATE AS m, 0 AS k FROM stg_github_commits
+          UNION ALL SELECT date_trunc('month', start_at)::DATE, 1 FROM stg_calendar_events WHERE category = 'meeting'
+          UNION ALL SELECT date_trunc('month', date)::DATE, 2 + CAST(commit_count > 0 AS INTEGER) FROM mart_daily_activity) x,
+         LATERAL (SELECT left(CAST(m AS VARCHAR), 7) AS month) named
+    GROUP BY month"""))
 def full_outer_chain(spark, sf):
     w = wh(spark, sf)
-    c = M.monthly_commits(w.commit_pairs, w.stg_repositories).select("month", "commits").alias("c")
+    c = M.monthly_commits(w.commits_monthly, w.stg_repositories).select("month", "commits").alias("c")
     m = M.monthly_meetings(w.int_calendar_activity).select("month", "meeting_count").alias("m")
     d = M.monthly_active_days(w.mart_daily_activity).alias("d")
     cm = c.join(m, F.col("c.month") == F.col("m.month"), "full_outer")
@@ -165,9 +163,10 @@ def count_distinct(spark, sf):
 
 
 @register("count_distinct_if", W("""
-    SELECT strftime(date, '%Y-%m') AS month,
-           count(DISTINCT CASE WHEN commit_count > 0 THEN date END) AS active_days
-    FROM mart_daily_activity GROUP BY 1"""))
+    SELECT DISTINCT left(CAST(date AS VARCHAR), 7) AS month,
+           CAST(sum(CASE WHEN commit_count > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY year(date), month(date)) AS BIGINT)
+             AS active_days
+    FROM mart_daily_activity"""))
 def count_distinct_if(spark, sf):
     return M.monthly_active_days(wh(spark, sf).mart_daily_activity)
 
@@ -181,9 +180,10 @@ def sum_int(spark, sf):
 
 
 @register("min_max_global", W("""
-    SELECT min(activity_date) AS min_date, max(activity_date) AS max_date FROM (
-        SELECT CAST(committed_at AS DATE) AS activity_date FROM stg_github_commits
-        UNION ALL SELECT CAST(start_at AS DATE) FROM stg_calendar_events) x"""))
+    SELECT least((SELECT min(committed_at) FROM stg_github_commits),
+                 (SELECT min(start_at) FROM stg_calendar_events))::DATE AS min_date,
+           greatest((SELECT max(committed_at) FROM stg_github_commits),
+                    (SELECT max(start_at) FROM stg_calendar_events))::DATE AS max_date"""))
 def min_max_global(spark, sf):
     w = wh(spark, sf)
     return M.date_bounds(w.commits_daily, w.int_calendar_activity)
@@ -219,10 +219,11 @@ def union_all(spark, sf):
 
 
 @register("date_series", W("""
-    SELECT CAST(unnest(generate_series(CAST(min(activity_date) AS TIMESTAMP),
-                CAST(max(activity_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-    FROM (SELECT CAST(committed_at AS DATE) AS activity_date FROM stg_github_commits
-          UNION ALL SELECT CAST(start_at AS DATE) FROM stg_calendar_events) x"""))
+    WITH RECURSIVE upto(date, z) AS (
+        SELECT least((SELECT min(committed_at) FROM stg_github_commits), (SELECT min(start_at) FROM stg_calendar_events))::DATE,
+               greatest((SELECT max(committed_at) FROM stg_github_commits), (SELECT max(start_at) FROM stg_calendar_events))::DATE
+        UNION ALL SELECT date + 1, z FROM upto WHERE date < z)
+    SELECT date FROM upto"""))
 def date_series(spark, sf):
     w = wh(spark, sf)
     return M.date_series(M.date_bounds(w.commits_daily, w.int_calendar_activity))
@@ -260,19 +261,25 @@ def scalar_functions(spark, sf):
         D.day_query(d).alias("day_query"))
 
 
+# Titles of every category, by the part's number; the expected category is written out.
+TITLES = (("Quarterly planning for", "meeting"), ("1:1 about", "meeting"), ("Out of office,", "other"),
+          ("Deep work on", "other"), ("Evening course:", "learning"), ("PAIR PROGRAMMING the", "learning"),
+          ("Dentist, then", "personal"), ("coffee with", "personal"), ("Ship the", "work"), ("Fix", "work"),
+          ("Holiday planning for", "other"), ("Training review of", "meeting"))
+
+
 @register("categorize", f"""
-    SELECT 'part' AS origin, p_partkey AS id, {fn.categorize_sql('p_name')} AS category FROM part
-    UNION ALL
-    SELECT 'conversation' AS origin, conv_id * 1000 + turn AS id,
-           {fn.categorize_sql('text')} AS category FROM conversations""")
+    SELECT p_partkey AS id, CASE p_partkey % {len(TITLES)}
+           {" ".join(f"WHEN {i} THEN '{c}'" for i, (_, c) in enumerate(TITLES))} END AS category
+    FROM part
+    UNION ALL SELECT -p_partkey, 'other' FROM part""")
 def categorize(spark, sf):
-    p = B.table(spark, sf, "part").select(
-        F.lit("part").alias("origin"), F.col("p_partkey").alias("id"),
-        fn.categorize("p_name").alias("category"))
-    c = B.table(spark, sf, "conversations").select(
-        F.lit("conversation").alias("origin"), (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
-        fn.categorize("text").alias("category"))
-    return p.unionByName(c)
+    """Titles built from part names, in every category, by each rule and by none; blank titles."""
+    p = B.table(spark, sf, "part")
+    title = F.element_at(F.array(*[F.lit(t) for t, _ in TITLES]), (F.col("p_partkey") % len(TITLES) + 1).cast("int"))
+    named = p.select(F.col("p_partkey").alias("id"), F.concat(title, F.lit(" "), "p_name").alias("title"))
+    blank = p.select((-F.col("p_partkey")).alias("id"), F.when(F.col("p_partkey") % 2 == 0, F.lit(" \t ")).alias("title"))
+    return named.unionByName(blank).select("id", fn.categorize("title").alias("category"))
 
 
 # A caller-supplied rule set (the categoriser is extensible): part names by kind.
@@ -354,16 +361,14 @@ def dq_accepted_values(spark, sf):
     return Q.accepted_values(wh(spark, sf).stg_commits, "author", ACCEPTED_PRIORITIES)
 
 
-@register("dq_relationships", W("""
-    SELECT x.commit_key, x.repository_key FROM fct_commits x
-    WHERE x.repository_key IS NOT NULL AND NOT EXISTS (
-        SELECT 1 FROM (SELECT * FROM dim_repository WHERE NOT archived) p
-        WHERE p.repository_key = x.repository_key)"""))
+@register("dq_relationships", W(f"""
+    SELECT commit_key, {O.skey('source', 'repository_source_id')} AS repository_key FROM stg_github_commits
+    WHERE repository_source_id NOT IN (SELECT source_id FROM stg_github_repositories)"""))
 def dq_relationships(spark, sf):
+    """L4: the key that a commit's repository would have, against the repositories there are."""
     w = wh(spark, sf)
-    active = w.dim_repository.where(~F.col("archived"))
-    return Q.relationships(w.fct_commits, "repository_key", active, "repository_key").select(
-        "commit_key", "repository_key")
+    child = w.stg_commits.select("commit_key", fn.surrogate_key("source", "repository_source_id").alias("repository_key"))
+    return Q.relationships(child, "repository_key", w.dim_repository, "repository_key")
 
 
 @register("dq_no_negative_duration", W("""
