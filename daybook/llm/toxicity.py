@@ -264,7 +264,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int = 0
     fold = fold_of(F.col("doc_id"), folds)
     y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
          .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (fold != held_out)))
-    rows = id_text(docs).join(sampled(y, sample_rows), "doc_id").withColumn("text", F.coalesce("text", F.lit("")))
+    # the sample's size is the parameter's, so it can be broadcast: texts aren't shuffled for it
+    rows = id_text(docs).join(F.broadcast(sampled(y, sample_rows)), "doc_id").withColumn("text", F.coalesce("text", F.lit("")))
     rows = written(rows, "toxic-sample")  # bounded; read several times
     own = fold_of(F.col("doc_id"), folds).isin(*LEXICON_FOLDS)
     lexicon = learn_lexicon(rows.where(own), size=lexicon_size)
