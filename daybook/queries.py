@@ -88,7 +88,7 @@ for _name, (_attr, _oracle_name) in _MODEL_QUERIES.items():
 def _load_all() -> None:
     """Import the modules that register the remaining queries."""
     from . import (queries_analytics, queries_ingest, queries_load, queries_ops,  # noqa: F401
-                   queries_stream)
+                   queries_stream, queries_sync)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 << 20
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str = "local[*]", partitions: int = 8, app: str = "daybook") -> SparkSession:
     """Session used by tests and the bench. A cluster passes its own session instead."""
     spark = (
@@ -40,6 +43,8 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     """
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # keys of a streaming dedup stay on disk, not on the heap
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return spark
 
 
