@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -88,9 +90,12 @@ def novel_spans(text: str, known: list[tuple[int, int, int]], min_novelty: float
                 if m is None:
                     break
             found.append((m.start(), m.end()))
+    starts = [x for x, _, _ in known]  # sorted
+    reach = list(accumulate((y for _, y, _ in known), max))
     out = []
     for a, b in sorted(set(found)):
-        if any(x < b and a < y for x, y, _ in known) or out and a < out[-1][1]:
+        before = bisect_left(starts, b)  # base spans that begin before the candidate's end
+        if before and reach[before - 1] > a or out and a < out[-1][1]:
             continue
         around = text[max(0, a - AROUND):a] + text[b:b + AROUND]
         if novelty(text[a:b], around) >= min_novelty:
