@@ -10,8 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language_id, line_dedup, packing, repetition, secret_scan, simhash, substring_dedup,
-               token_counts, toxicity)
+from . import (decontaminate, language_id, line_dedup, oracles, packing, repetition, secret_scan, simhash,
+               substring_dedup, token_counts, toxicity)
 from .tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -100,4 +100,4 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
