@@ -30,13 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .exchange import PACKED, deal, decided, first_of_equal, int_lists, pack, partitions
-from .substring_dedup import _ints, _places, _signed, _squeezed
+from .exchange import PACKED, Lists, deal, decided, first_of_equal, join_lists, pack, pack_lists, pack_texts, partitions
+from .substring_dedup import signed
 from .tables import Chunk, chunks, fresh, id_text, written
 from .words import BASE, Words, mix
 
@@ -116,7 +115,7 @@ class Lines:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, places: numbers of lines that share a half (short ones: all words) with another."""
+    """Packed lists by document: numbers of lines that share a half (short ones: all words) with another."""
     parts = partitions(docs)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +130,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                 many = np.bincount(run)[run] > 1 if len(run) else first
                 again = np.unique(line[order[many]])
                 if len(again):
-                    yield from decided(_places(ids[c.first:c.last][x.doc[again]], x.place[again]), parts)
+                    yield from pack_lists(ids[c.first:c.last][x.doc[again]], x.place[again], parts)
                 sent = order[first]
                 sent = sent[np.argsort(line[sent], kind="stable")]
                 if len(sent):
@@ -144,11 +143,10 @@ def candidates(docs: DataFrame) -> DataFrame:
         hit = np.zeros(len(h), bool)
         hit[1:] |= h[1:] == h[:-1]
         hit[:-1] |= h[1:] == h[:-1]
-        if hit.any():
-            yield pa.RecordBatch.from_pydict(_places(x["doc"][order[hit]], x["place"][order[hit]]))
+        yield from pack_lists(x["doc"][order[hit]], x["place"][order[hit]], parts)
 
     known = docs.where("doc_id is not null and text is not null")
-    return deal(known.mapInArrow(probe, PACKED), parts, meet, "doc_id long, places binary", **_HALF)
+    return deal(known.mapInArrow(probe, PACKED), parts, meet, PACKED, **_HALF)
 
 
 def _words_of(line: bytes) -> bytes:
@@ -157,28 +155,26 @@ def _words_of(line: bytes) -> bytes:
 
 def _candidate_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no, line (its words) of the lines that have a candidate."""
-    hits = candidates(docs).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    parts = partitions(docs)
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for g in range(0, b.num_rows, 256):
-                cols: dict[str, list] = {k: [] for k in ("doc_id", "text_hash", "line_no", "line")}
-                part = b.slice(g, 256)
-                for doc_id, z, places in zip(part.column("doc_id").to_pylist(), part.column("z").to_pylist(),
-                                             part.column("places").to_pylist(), strict=True):
-                    raw = zstandard.decompress(z)
-                    key, lines = _signed(xxh64_intdigest(raw)), raw.split(b"\n")
-                    for k in _ints(places).tolist():
-                        if k < len(lines) and (line := _words_of(lines[k])):
-                            cols["doc_id"].append(doc_id)
-                            cols["text_hash"].append(key)
-                            cols["line_no"].append(k)
-                            cols["line"].append(line)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(cols["doc_id"], pa.int64()), "text_hash": pa.array(cols["text_hash"], pa.int64()),
-                    "line_no": pa.array(cols["line_no"], pa.int64()), "line": pa.array(cols["line"], pa.binary())})
-
-    return (_squeezed(docs).join(hits, "doc_id").mapInArrow(take, "doc_id long, text_hash long, line_no long, line binary"))
+    def take(ids: list[int | None], texts: list[bytes], lists: Lists) -> Iterator[pa.RecordBatch]:
+        cols: dict[str, list] = {k: [] for k in ("doc_id", "text_hash", "line_no", "line")}
+        for doc_id, raw in zip(ids, texts, strict=True):
+            places = lists.of(doc_id)
+            if places is not None:
+                key, lines = signed(xxh64_intdigest(raw)), raw.split(b"\n")
+                for k in places.tolist():
+                    if k < len(lines) and (line := _words_of(lines[k])):
+                        cols["doc_id"].append(doc_id)
+                        cols["text_hash"].append(key)
+                        cols["line_no"].append(k)
+                        cols["line"].append(line)
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": pa.array(cols["doc_id"], pa.int64()), "text_hash": pa.array(cols["text_hash"], pa.int64()),
+            "line_no": pa.array(cols["line_no"], pa.int64()), "line": pa.array(cols["line"], pa.binary())})
+
+    return join_lists(pack_texts(docs, parts), candidates(docs), parts, take,
+                      "doc_id long, text_hash long, line_no long, line binary")
 
 
 def neighbours(lines: DataFrame) -> DataFrame:
@@ -297,18 +293,24 @@ def _keep(raw: bytes, gone: list[int] | None) -> bytes:
 def dedup(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, kept_sha256 (of the text that is left)."""
     docs = id_text(docs)
-    met = _with_marks(_squeezed(docs), removed_lines(docs))
+    parts = partitions(docs)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = [zstandard.decompress(z.as_py()) for z in b.column("z")]
-            gone = _own(raw, b.column(b.num_columns - 1).to_pylist())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "n_lines": pa.array([x.count(b"\n") + 1 if x else 0 for x in raw], pa.int64()),
-                "n_removed": pa.array([len(g) for g in gone], pa.int64()),
-                "kept_sha256": pa.array([hashlib.sha256(_keep(x, g)).hexdigest() for x, g in zip(raw, gone, strict=True)], pa.string())})
+            doc, key, line = (b.column(k).to_numpy(zero_copy_only=False) for k in ("doc_id", "text_hash", "line_no"))
+            yield from pack_lists(doc, line, parts, key)
+
+    def cut(ids: list[int | None], texts: list[bytes], lists: Lists) -> Iterator[pa.RecordBatch]:
+        gone = [lists.of(i, signed(xxh64_intdigest(x))) for i, x in zip(ids, texts, strict=True)]
+        gone = [[] if g is None else g.tolist() for g in gone]
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": pa.array(ids, pa.int64()),
+            "n_lines": pa.array([x.count(b"\n") + 1 if x else 0 for x in texts], pa.int64()),
+            "n_removed": pa.array([len(g) for g in gone], pa.int64()),
+            "kept_sha256": pa.array([hashlib.sha256(_keep(x, g)).hexdigest() for x, g in zip(texts, gone, strict=True)], pa.string())})
 
-    return met.mapInArrow(run, "doc_id long, n_lines long, n_removed long, kept_sha256 string")
+    return join_lists(pack_texts(docs, parts), removed_lines(docs).mapInArrow(pack_marks, PACKED), parts, cut,
+                      "doc_id long, n_lines long, n_removed long, kept_sha256 string")
 
 
 def _with_marks(docs: DataFrame, removed: DataFrame) -> DataFrame:
@@ -323,7 +325,7 @@ def _own(raw: list[bytes], gone: list) -> list[list[int]]:
     """For each text the line numbers that are marked for it."""
     out = []
     for x, marks in zip(raw, gone, strict=True):
-        key = _signed(xxh64_intdigest(x)) if marks else 0
+        key = signed(xxh64_intdigest(x)) if marks else 0
         out.append([k for m in marks or () if m["text_hash"] == key for k in m["lines"]])
     return out
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .exchange import PACKED, deal, decided, first_of_equal, int_lists, pack, partitions
+from .exchange import PACKED, Lists, deal, first_of_equal, join_lists, pack, pack_lists, pack_texts, partitions
 from .tables import chunks, id_text, written
 from .words import Words, covered, rolling
 
@@ -43,17 +43,9 @@ _ANCHOR = {"hash_bytes": 5}
 _WINDOW = {"hash_bytes": 6, "tag": np.dtype("<u4"), "extra": True}
 
 
-def _places(doc: np.ndarray, place: np.ndarray) -> dict[str, pa.Array]:
-    """(doc_id, places) rows from places, one row a document."""
-    order = np.lexsort((place, doc))
-    doc, place = doc[order], place[order]
-    starts = np.flatnonzero(first_of_equal(doc)) if len(doc) else np.zeros(0, np.int64)
-    return {"doc_id": pa.array(doc[starts]), "places": int_lists(place, starts)}
-
-
 def anchors(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """doc_id, places: words at which a window of `block` words starts that is, or equals, a block
-    of the index elsewhere. May hold a few more (chance equality of short hashes)."""
+    """Packed lists of places by document: words at which a window of `block` words starts that is,
+    or equals, a block of the index elsewhere. May hold a few more (chance equality of short hashes)."""
     parts = partitions(docs)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +67,7 @@ def anchors(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                     by = repeated[np.lexsort((place[order[repeated]] % block != 0, run[repeated]))]
                     chosen[repeated] = False
                     chosen[by[first_of_equal(run[by])]] = True
-                    yield from decided(_places(ids[c.first:c.last][doc[order[repeated]]], place[order[repeated]]), parts)
+                    yield from pack_lists(ids[c.first:c.last][doc[order[repeated]]], place[order[repeated]], parts)
                 sent = np.sort(order[chosen])
                 if len(sent):
                     yield pack(h[sent], doc[sent], place[sent], ids[c.first:c.last], parts, **_ANCHOR)
@@ -93,62 +85,39 @@ def anchors(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         starts = np.flatnonzero(first_of_equal(h))
         block_in = np.logical_or.reduceat(x["place"][order] % block == 0, starts)
         hit = order[np.repeat(block_in, np.diff(starts, append=len(h)))]
-        if len(hit):
-            yield pa.RecordBatch.from_pydict(_places(x["doc"][hit], x["place"][hit]))
+        yield from pack_lists(x["doc"][hit], x["place"][hit], parts)
 
     known = docs.where("doc_id is not null and text is not null")
-    return deal(known.mapInArrow(probe, PACKED), parts, meet, "doc_id long, places binary", **_ANCHOR)
-
-
-def _ints(lists: list[bytes]) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(lists), "<u4").astype(np.int64))
+    return deal(known.mapInArrow(probe, PACKED), parts, meet, PACKED, **_ANCHOR)
 
 
 def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _signed(x: int) -> int:
+def signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _squeezed(docs: DataFrame) -> DataFrame:
-    """doc_id, z (the text, compressed for the shuffle)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
-        for b in batches:
-            for c in chunks(b.column("text")):
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": b.column("doc_id").slice(c.first, c.n),
-                    "z": pa.array([squeeze.compress(c.raw(i)) for i in range(c.n)], pa.binary())})
+_HELD = "doc_id long, text_hash long, z binary, places binary, n_words long, kept_sha256 string"
 
-    return docs.mapInArrow(run, "doc_id long, z binary")
 
-
-_HELD = "doc_id long, text_hash long, z binary, places array<binary>, n_words long, kept_sha256 string"
-
-
-def _held(met: DataFrame) -> DataFrame:
+def _hold(ids: list[int | None], texts: list[bytes], lists: Lists) -> Iterator[pa.RecordBatch]:
     """Documents without hits are done; the others keep their text and hits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            places = b.column("places").to_pylist()
-            cols: dict[str, list] = {k: [] for k in ("text_hash", "z", "n_words", "kept_sha256")}
-            for z, p in zip(b.column("z").to_pylist(), places, strict=True):
-                raw = zstandard.decompress(z)
-                words = None if p else raw.split()
-                cols["text_hash"].append(_signed(xxh64_intdigest(raw)))
-                cols["z"].append(z if p else None)
-                cols["n_words"].append(None if p else len(words))
-                cols["kept_sha256"].append(None if p else _digest(words))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "text_hash": pa.array(cols["text_hash"], pa.int64()),
-                "z": pa.array(cols["z"], pa.binary()), "places": pa.array(places, pa.list_(pa.binary())),
-                "n_words": pa.array(cols["n_words"], pa.int64()), "kept_sha256": pa.array(cols["kept_sha256"], pa.string())})
-
-    return met.mapInArrow(run, _HELD)
+    squeeze = zstandard.ZstdCompressor(level=3)
+    cols: dict[str, list] = {k: [] for k in ("text_hash", "z", "places", "n_words", "kept_sha256")}
+    for doc_id, raw in zip(ids, texts, strict=True):
+        places = lists.of(doc_id)
+        words = raw.split() if places is None else None
+        cols["text_hash"].append(signed(xxh64_intdigest(raw)))
+        cols["z"].append(squeeze.compress(raw) if words is None else None)
+        cols["places"].append(places.astype("<u4").tobytes() if words is None else None)
+        cols["n_words"].append(None if words is None else len(words))
+        cols["kept_sha256"].append(None if words is None else _digest(words))
+    yield pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(ids, pa.int64()), "text_hash": pa.array(cols["text_hash"], pa.int64()),
+        "z": pa.array(cols["z"], pa.binary()), "places": pa.array(cols["places"], pa.binary()),
+        "n_words": pa.array(cols["n_words"], pa.int64()), "kept_sha256": pa.array(cols["kept_sha256"], pa.string())})
 
 
 def _earlier(x_doc: np.ndarray, x_place: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -159,21 +128,15 @@ def _earlier(x_doc: np.ndarray, x_place: np.ndarray, order: np.ndarray, first: n
     return (x_doc[order] != x_doc[lead]) | (x_place[order] != x_place[lead])
 
 
-def repeated_windows(held: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """doc_id, text_hash, starts: windows around hits whose words also start earlier elsewhere."""
-    parts = partitions(held)
-
-    def rows(doc, extra, place) -> dict[str, pa.Array]:
-        order = np.lexsort((place, extra, doc))
-        doc, extra, place = doc[order], extra[order], place[order]
-        starts = np.flatnonzero(first_of_equal(doc, extra)) if len(doc) else np.zeros(0, np.int64)
-        return {"doc_id": pa.array(doc[starts]), "text_hash": pa.array(extra[starts]), "starts": int_lists(place, starts)}
+def repeated_windows(held: DataFrame, parts: int, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """Packed lists by document: starts of windows around hits whose words also start earlier
+    elsewhere."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             extra = b.column("text_hash").to_numpy(zero_copy_only=False)
-            hits = b.column("places").to_pylist()
+            hits = b.column("places")
             for g in range(0, len(ids), 512):  # compressed texts: open some at a time
                 raw = [zstandard.decompress(z.as_py()) for z in b.column("z").slice(g, 512)]
                 for c in chunks(pa.array(raw, pa.binary()).cast(pa.string()), CHUNK):
@@ -181,7 +144,7 @@ def repeated_windows(held: DataFrame, window: int = WINDOW, block: int = BLOCK)
                     first = g + c.first
                     near = np.zeros(len(w.starts) + 1, np.int32)  # words whose window may hold a hit
                     for i in range(c.n):
-                        p = _ints(hits[first + i])
+                        p = np.frombuffer(hits[first + i].as_py(), "<u4").astype(np.int64)
                         p = p[p < w.counts[i]] + w.bounds[i]
                         np.add.at(near, np.maximum(p - (window - block), w.bounds[i]), 1)
                         np.add.at(near, p + 1, -1)
@@ -197,7 +160,7 @@ def repeated_windows(held: DataFrame, window: int = WINDOW, block: int = BLOCK)
                     lead = first_of_equal(tag[order], h[order])
                     late = _earlier(own, place, order, lead)
                     gone = order[late]
-                    yield from decided(rows(own[gone], more[gone], place[gone]), parts)
+                    yield from pack_lists(own[gone], place[gone], parts, more[gone])
                     sent = np.sort(order[~late])
                     yield pack(h[sent], doc[sent], place[sent], ids[first:first + c.n], parts, tag=tag[sent],
                                extra=extra[first:first + c.n], hash_bytes=_WINDOW["hash_bytes"])
@@ -206,10 +169,9 @@ def repeated_windows(held: DataFrame, window: int = WINDOW, block: int = BLOCK)
         order = np.lexsort((x["place"], x["doc"], x["tag"], x["h"]))
         late = _earlier(x["doc"], x["place"], order, first_of_equal(x["tag"][order], x["h"][order]))
         gone = order[late]
-        if len(gone):
-            yield pa.RecordBatch.from_pydict(rows(x["doc"][gone], x["extra"][gone], x["place"][gone]))
+        yield from pack_lists(x["doc"][gone], x["place"][gone], parts, x["extra"][gone])
 
-    return deal(held.mapInArrow(extend, PACKED), parts, settle, "doc_id long, text_hash long, starts binary", **_WINDOW)
+    return deal(held.mapInArrow(extend, PACKED), parts, settle, PACKED, **_WINDOW)
 
 
 def dedup(docs: DataFrame, *, window: int = WINDOW, block: int = BLOCK, keep_text: bool = False) -> DataFrame:
@@ -217,32 +179,38 @@ def dedup(docs: DataFrame, *, window: int = WINDOW, block: int = BLOCK, keep_tex
     space), and with keep_text those words as `kept_text` of documents that lose any."""
     assert 2 * block - 1 < window
     docs = id_text(docs)
-    hits = anchors(docs, block).groupBy("doc_id").agg(F.collect_list("places").alias("places"))
-    met = _squeezed(docs).join(hits, "doc_id", "left")
-    held = written(_held(met), "held")
-    open_ = held.where("z is not null").select("doc_id", "text_hash", "z", "places")
-    gone = (repeated_windows(open_, window, block).groupBy("doc_id", "text_hash")
-            .agg(F.collect_list("starts").alias("starts")))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cols: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept_text")}
-            for z, starts in zip(b.column("z"), b.column("starts").to_pylist(), strict=True):
-                words = zstandard.decompress(z.as_py()).split()
-                drop = covered(len(words), _ints(starts or []), window)
-                kept = list(compress(words, ~drop))
-                cols["n_words"].append(len(words))
-                cols["n_removed"].append(int(drop.sum()))
-                cols["kept_sha256"].append(_digest(kept))
-                cols["kept_text"].append(b" ".join(kept).decode() if keep_text else None)
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "n_words": pa.array(cols["n_words"], pa.int64()),
-                "n_removed": pa.array(cols["n_removed"], pa.int64()),
-                "kept_sha256": pa.array(cols["kept_sha256"], pa.string()), "kept_text": pa.array(cols["kept_text"], pa.string())})
-
-    done = (open_.join(gone, ["doc_id", "text_hash"], "left").select("doc_id", "z", "starts")
-            .mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
+    parts = partitions(docs)
+    held = written(join_lists(pack_texts(docs, parts), anchors(docs, block), parts, _hold, _HELD), "held")
+    hit = held.where("z is not null")
+
+    def cut(ids: list[int | None], texts: list[bytes], lists: Lists) -> Iterator[pa.RecordBatch]:
+        cols: dict[str, list] = {k: [] for k in ("n_words", "n_removed", "kept_sha256", "kept_text")}
+        for doc_id, raw in zip(ids, texts, strict=True):
+            words, starts = raw.split(), lists.of(doc_id, signed(xxh64_intdigest(raw)))
+            drop = covered(len(words), np.zeros(0, np.int64) if starts is None else starts, window)
+            kept = list(compress(words, ~drop))
+            cols["n_words"].append(len(words))
+            cols["n_removed"].append(int(drop.sum()))
+            cols["kept_sha256"].append(_digest(kept))
+            cols["kept_text"].append(b" ".join(kept).decode() if keep_text else None)
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(cols["n_words"], pa.int64()),
+            "n_removed": pa.array(cols["n_removed"], pa.int64()),
+            "kept_sha256": pa.array(cols["kept_sha256"], pa.string()), "kept_text": pa.array(cols["kept_text"], pa.string())})
+
+    texts = pack_texts(hit.select("doc_id", "z").mapInArrow(_opened, "doc_id long, text string"), parts)
+    done = join_lists(texts, repeated_windows(hit.select("doc_id", "text_hash", "z", "places"), parts, window, block), parts, cut,
+                      "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     rest = held.where("z is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"),
                                           "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
     out = done.unionByName(rest)
     return out if keep_text else out.drop("kept_text")
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for g in range(0, b.num_rows, 512):
+            part = b.slice(g, 512)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": part.column("doc_id"),
+                "text": pa.array([zstandard.decompress(z.as_py()) for z in part.column("z")], pa.binary()).cast(pa.string())})
