@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import chunks, id_text, written
-from .tokenizers_io import WORD_BPE, Pretokens, TwoGenerations, in_groups, load, plain
+from .tokenizers_io import WORD_BPE, Pretokens, TwoGenerations, load, split_plain
 
 SEQUENCE = 2048
 OPEN_WINDOWS = 32
 END_ID = 1
 MIN_CUT = 16
 FAN_IN = 32
-CACHE_SIZE = 500_000
+CACHE_SIZE = 700_000
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECE + ", sequence_id long, offset long"
@@ -58,22 +58,15 @@ class WordIds(TwoGenerations):
     def __init__(self, tokenizer, limit: int = CACHE_SIZE):
         super().__init__(limit)
         self.tokenizer = tokenizer
-        self.pretokens = Pretokens(tokenizer, limit // 2)
+        self.pretokens = Pretokens(tokenizer, limit // 2)  # lower-cased, without marks: fewer
 
     def learn(self, words: set[bytes]) -> None:
-        new = self.missing(words)
-        text = {x: x.decode() for x in new}
-        simple = [x for x in new if plain(text[x])]
-        found = {}
-        for x in new.difference(simple):
-            ids = self.tokenizer.encode(text[x], add_special_tokens=False).ids
-            found[x] = struct.pack(f"<{len(ids)}I", *ids)
-        if simple:
-            groups = in_groups(_PATTERN.findall("\0".join([text[x] for x in simple]).lower()))
-            self.pretokens.learn({x for g in groups for x in g})
-            known = self.pretokens
-            found.update((x, b"".join([known[y] for y in g])) for x, g in zip(simple, groups, strict=True))
-        self.update(found)
+        simple, odd = split_plain([x.decode() for x in self.missing(words)])
+        ids = self.pretokens.of_each(simple if not simple else "\0".join(simple).lower().split("\0"), _PATTERN)
+        self.update(zip([x.encode() for x in simple], ids, strict=True))
+        for x in odd:
+            own = self.tokenizer.encode(x, add_special_tokens=False).ids
+            self[x.encode()] = struct.pack(f"<{len(own)}I", *own)
 
     def of(self, texts: list[bytes]) -> Iterator[bytes]:
         """The packed ids of each text."""

@@ -120,8 +120,8 @@ class Bpe:
             open_ = open_[~found & (there != -1)]
         return out
 
-    def encode(self, pretokens: list[bytes]) -> list[np.ndarray]:
-        """The ids of each pre-token (none is empty)."""
+    def encode(self, pretokens: list[bytes]) -> list[bytes]:
+        """The ids of each pre-token (none is empty), as little-endian unsigned 32-bit."""
         lens = np.fromiter(map(len, pretokens), np.int64, len(pretokens))
         data = np.frombuffer(b"".join(pretokens), np.uint8)
         sym = self.inner[data]
@@ -149,7 +149,9 @@ class Bpe:
             word, lens = word[more], lens[more] - 1
         order = np.concatenate(done_word) if done_word else np.zeros(0, np.int64)
         flat = np.concatenate(done_sym)[np.argsort(order, kind="stable")].astype("<u4")
-        return np.split(flat, np.cumsum(np.bincount(order, minlength=len(pretokens)))[:-1])
+        ends = (4 * np.cumsum(np.bincount(order, minlength=len(pretokens)))).tolist()
+        packed = flat.tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Pretokens(TwoGenerations):
@@ -161,17 +163,26 @@ class Pretokens(TwoGenerations):
 
     def learn(self, pretokens: set[str]) -> None:
         if new := list(self.missing(pretokens)):
-            ids = self.bpe.encode([x.encode() for x in new])
-            self.update(dict(zip(new, map(np.ndarray.tobytes, ids), strict=True)))
-
-
-def in_groups(flat: list[str], mark: str = "\0") -> list[list[str]]:
-    """A list cut at each mark."""
-    out, group = [], []
-    for x in flat:
-        if x == mark:
-            out.append(group)
-            group = []
-        else:
-            group.append(x)
-    return [*out, group]
+            self.update(zip(new, self.bpe.encode([x.encode() for x in new]), strict=True))
+
+    def of_each(self, texts: list[str], pattern) -> list[bytes]:
+        """The packed ids of plain texts, their pre-tokens found by a pattern that knows NUL."""
+        if not texts:
+            return []
+        flat = pattern.findall("\0".join(texts))
+        self.learn(set(flat).difference("\0"))
+        out, ids = [], b""
+        for x in flat:
+            if x == "\0":
+                out.append(ids)
+                ids = b""
+            else:
+                ids += self[x]
+        return [*out, ids]
+
+
+def split_plain(texts: list) -> tuple[list, list]:
+    """(plain texts, the others); one look if all are plain."""
+    if plain("".join(texts)):
+        return texts, []
+    return [x for x in texts if plain(x)], [x for x in texts if not plain(x)]
