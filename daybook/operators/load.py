@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import BROADCAST_BYTES, size_of
 from ..sources import landing as L
 from ..sources.schemas import KEYS, RAW, SOURCE_UPDATED_AT
 from . import upsert as U
@@ -51,9 +52,12 @@ class Counts:
 
 @dataclass
 class Batch:
-    """A batch that has been read: rows in raw shape (with their sequence), and what was rejected."""
+    """A batch that has been read: rows in raw shape (with their sequence), the unreadable pages and
+    malformed records as they came (with their context columns), and all that was rejected."""
 
     rows: DataFrame
+    broken: DataFrame
+    bad: DataFrame
     rejected: DataFrame
     fetched: int
     failed: int
@@ -76,7 +80,7 @@ def read_batch(pages: DataFrame, feed: Feed, now: str, payload_col: str = "paylo
                 .unionByName(rejects(keyless, "key", F.lit("null key"), "raw_payload")))
     n = rejected.groupBy("kind").count().collect()
     fetched = normal.count()
-    return Batch(rows, rejected, fetched, sum(r["count"] for r in n), lambda: normal.unpersist())
+    return Batch(rows, broken, bad, rejected, fetched, sum(r["count"] for r in n), lambda: normal.unpersist())
 
 
 def store_rejected(batch: Batch, root: str, batch_id: object) -> None:
@@ -96,9 +100,10 @@ def fold(rows: DataFrame, feed: Feed) -> DataFrame:
 
 
 def apply_rows(existing: DataFrame, rows: DataFrame, feed: Feed, now: str) -> tuple[DataFrame, int, int]:
-    """(the table after the batch, inserted, updated) as DataFrames, nothing written."""
-    c = U.upsert_counts(existing, rows, feed.keys).first()
-    table = U.upsert(existing, fold(rows, feed), feed.keys, now, touch=feed.touch)
+    """(the table after the batch, inserted, updated), nothing written. The batch is measured once."""
+    small = size_of(rows.select(*feed.keys))[1] <= BROADCAST_BYTES
+    c = U.upsert_counts(existing, rows, feed.keys, small=small).first()
+    table = U.upsert(existing, fold(rows, feed), feed.keys, now, touch=feed.touch, strategy="broadcast" if small else "shuffle")
     return table, int(c["inserted"]), int(c["updated"])
 
 

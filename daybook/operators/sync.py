@@ -13,6 +13,7 @@ Nothing here is collected but one-row counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,12 @@ class Run:
     state: DataFrame
     audit: DataFrame
     rejected: DataFrame | None = None
+    batches: tuple[load.Batch, ...] = ()
+
+    def release(self) -> None:
+        """Give up the parsed batches, once what the run leaves is written."""
+        for b in self.batches:
+            b.release()
 
 
 def _audit(source: str, now: str, fetched: int, inserted: int, updated: int, failed: int, spark,
@@ -57,15 +64,9 @@ def github_run(repos: DataFrame, repos_before: DataFrame, rows: DataFrame, befor
                   failed.count(), rows.sparkSession, run_id)
 
 
-def failed_entities(pages: DataFrame, feed: load.Feed, now: str, entity: str) -> tuple[load.Batch, DataFrame]:
-    """The batch of a feed whose pages carry their entity, and the entities that can't be read."""
-    batch = load.read_batch(pages, feed, now)
-    from ..sources import landing as L
-
-    _, broken = L.split_pages(pages, "payload", feed.list_key)
-    _, bad = load.split_malformed(feed.normalize(L.flatten_pages(L.split_pages(pages, "payload", feed.list_key)[0],
-                                                                 "payload", feed.list_key)))
-    return batch, broken.select(F.col(entity).alias("entity")).unionByName(bad.select(F.col(entity).alias("entity"))).distinct()
+def failed_entities(batch: load.Batch, entity: str) -> DataFrame:
+    """The entities of a batch with an unreadable page or a malformed record."""
+    return batch.broken.select(F.col(entity).alias("entity")).unionByName(batch.bad.select(F.col(entity).alias("entity")))
 
 
 def sync_entities(connector: str, pages: DataFrame, feeds: list[load.Feed], ts: str, tables: dict[str, DataFrame],
@@ -74,27 +75,22 @@ def sync_entities(connector: str, pages: DataFrame, feeds: list[load.Feed], ts:
     """Commits (or issues and pull requests: two feeds over the same pages) since each repository's
     cursor. `pages`: payload, arrival, repo_full_name, repo_source_id. `tables` by raw name."""
     spark = pages.sparkSession
-    read = [failed_entities(pages, f, now, "repo_source_id") for f in feeds]
-    failed = read[0][1]
-    for _, more in read[1:]:
-        failed = failed.unionByName(more)
-    failed = failed.distinct()
+    read = [load.read_batch(pages, f, now) for f in feeds]
+    failed = reduce(DataFrame.unionByName, [failed_entities(b, "repo_source_id") for b in read]).distinct()
     keys = ["source", "source_id"]
     a = U.upsert_counts(repos_before, repos, keys).first()
     out, batches, inserted, updated, rejected = {}, [], a["inserted"], a["updated"], None
-    for f, (batch, _) in zip(feeds, read, strict=True):
+    for f, batch in zip(feeds, read, strict=True):
         rows = D.drop_failed(batch.rows, failed, "repository_source_id", "entity")
         rows = D.select_since(rows, state, connector, "repository_source_id", ts, default_since, full)
         out[f.table], i, u = load.apply_rows(tables[f.table], rows, f, now)
         inserted, updated = inserted + i, updated + u
         batches.append(rows.select("repository_source_id", ts))
         rejected = batch.rejected if rejected is None else rejected.unionByName(batch.rejected)
-    seen = batches[0]
-    for b in batches[1:]:
-        seen = seen.unionByName(b)
+    seen = reduce(DataFrame.unionByName, batches)
     state = D.advance(state, seen, connector, "repository_source_id", ts, now)
     audit = _audit(source, now, inserted + updated, inserted, updated, failed.count(), spark)
-    return Run(out, state, audit, rejected)
+    return Run(out, state, audit, rejected, tuple(read))
 
 
 def sync_single(connector: str, pages: DataFrame, feed: load.Feed, table: DataFrame, state: DataFrame, now: str, *,
@@ -109,4 +105,4 @@ def sync_single(connector: str, pages: DataFrame, feed: load.Feed, table: DataFr
     cursor = D.primary_cursor(rows, ts, now, empty=empty, kind=kind)
     state = D.upsert_state(state, D.state_rows(connector, cursor, now), now)
     audit = _audit(source or connector, now, inserted + updated, inserted, updated, 0, pages.sparkSession)
-    return Run({feed.table: out}, state, audit, batch.rejected)
+    return Run({feed.table: out}, state, audit, batch.rejected, (batch,))

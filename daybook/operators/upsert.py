@@ -116,20 +116,21 @@ def upsert(
 
 
 def upsert_counts(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-                  max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                  max_bytes: int = BROADCAST_BYTES, small: bool | None = None) -> DataFrame:
     """One row `(inserted, updated)`: inserted = new distinct keys, updated = rows - inserted.
 
     The batch is folded per key first. When its keys pass the broadcast size check, the
     existing table's key columns stream once against a broadcast of them (semi-join, no
     shuffle of the big side) and only the matched keys are deduplicated. Beyond the bound,
-    the folded batch is anti-joined against the existing keys with a shuffle on both sides.
+    the folded batch is anti-joined against the existing keys with a shuffle on both sides. A caller
+    that has measured the batch says whether it is `small`.
     """
     keys = list(keys)
     g = incoming.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     tot = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
                 F.count(F.lit(1)).alias("nkeys"))
     bkeys = g.select(*keys)
-    if fits_broadcast(bkeys, max_bytes):
+    if fits_broadcast(bkeys, max_bytes) if small is None else small:
         matched = (existing.select(*keys).join(F.broadcast(bkeys), keys, "left_semi")
                    .distinct().agg(F.count(F.lit(1)).alias("m")).scalar())
         inserted = F.col("nkeys") - F.lit(matched)

@@ -66,6 +66,8 @@ def _two_runs(spark, connector: str, feed: Feed, pages1: DataFrame, pages2: Data
     one = SY.sync_single(connector, pages1, feed, _empty(spark, feed), none, FIRST, since=first, **kw)
     one.state = _kept(one.state, "state")
     table = _kept(one.tables[feed.table], feed.table)
+    one.audit = _kept(one.audit, "audit")
+    one.release()
     last = D.get_cursors(one.state, connector, "primary").select("last_cursor").scalar()
     two = SY.sync_single(connector, pages2, feed, table, one.state, SECOND, since=since(last), **kw)
     return _report(connector, one, two)
@@ -159,6 +161,8 @@ def _git_runs(spark, sf, connector: str, feeds: list[Feed], ts: str, pages1, pag
                            spark.createDataFrame([], SYNC_STATE), repos, none, first, _before(first))
     one.state = _kept(one.state, "state")
     tables = {k: _kept(t, k) for k, t in one.tables.items()}
+    one.audit = _kept(one.audit, "audit")
+    one.release()
     two = SY.sync_entities(connector, pages2, feeds, ts, tables, one.state, repos, repos, second, _before(second))
     return _report(connector, one, two)
 
