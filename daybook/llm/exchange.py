@@ -205,7 +205,7 @@ def pack_texts(docs: DataFrame, parts: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3)
         for b in batches:
-            for c in chunks(b.column("text"), 1 << 23):
+            for c in chunks(b.column("text"), 1 << 22):
                 ids = b.column("doc_id").slice(c.first, c.n)
                 none = ids.is_null().to_numpy(zero_copy_only=False)
                 number = ids.fill_null(0).to_numpy(zero_copy_only=False)

@@ -29,6 +29,8 @@ PROFILE_SIZE = 400
 TEXT_SIZE = 300
 ROWS_PER_LANGUAGE = 2000
 UNKNOWN = "und"
+#: Text bytes counted at once: an n-gram takes about 50 bytes of arrays.
+CHUNK = 1 << 19
 #: A text that shares less than this with every profile is rejected by `accepted`.
 MIN_SCORE = 0.02
 
@@ -158,7 +160,7 @@ def fit(train: DataFrame, *, lang_col: str = "lang", text_col: str = "text", id_
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs = b.column("lang").to_pylist()
-            for c in chunks(b.column("text")):
+            for c in chunks(b.column("text"), CHUNK):
                 of = langs[c.first:c.last]
                 names = sorted(set(of))
                 number = np.array([names.index(x) for x in of], np.int64)
@@ -180,7 +182,7 @@ def predict(docs: DataFrame, profiles: Profiles, *, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for c in chunks(b.column("text")):
+            for c in chunks(b.column("text"), CHUNK):
                 lang, score = known.value.predict([c.raw(i).decode() for i in range(c.n)])
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": b.column("doc_id").slice(c.first, c.n),
@@ -197,7 +199,7 @@ def accepted(docs: DataFrame, profiles: Profiles, *, text_col: str = "text", min
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for c in chunks(b.column(place)):
+            for c in chunks(b.column(place), CHUNK):
                 lang, score = known.value.predict([c.raw(i).decode() for i in range(c.n)])
                 keep = pa.array([x != UNKNOWN for x in lang] & (score >= min_score))
                 yield b.slice(c.first, c.n).filter(keep)

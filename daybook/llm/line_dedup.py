@@ -41,7 +41,7 @@ from .words import BASE, Words, mix
 
 MIN_WORDS = 3
 NEAR_WORDS = 8
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 _HALF = {"hash_bytes": 5}
 _VARIANT = {"hash_bytes": 8, "tag": np.dtype("u1"), "extra": True}
 #: Tag of a line that stands for itself; deleted places take the numbers below.
@@ -67,12 +67,12 @@ class Lines:
         c.buf = _LOWER[c.buf]
         w = Words(c)
         size = int(c.offs[-1])
-        breaks = np.concatenate([[0], np.cumsum(c.buf[:size] == 10)])
-        number = breaks[w.starts] + w.doc  # lines counted through the chunk
+        ends = np.flatnonzero(c.buf[:size] == 10)
+        number = np.searchsorted(ends, w.starts) + w.doc  # lines counted through the chunk
         first = np.flatnonzero(first_of_equal(number)) if len(number) else np.zeros(0, np.int64)
         self.first, self.words = first, np.diff(first, append=len(number))
         self.doc = w.doc[first]
-        self.place = (breaks[w.starts[first]] - breaks[c.offs[w.doc[first]]])
+        self.place = np.searchsorted(ends, w.starts[first]) - np.searchsorted(ends, c.offs[w.doc[first]])
         most = int(self.words.max(initial=0))
         up, self.down = _powers(BASE, most), _powers(int(_INVERSE), most)
         self.at = np.arange(len(number)) - np.repeat(first, self.words)  # of each word in its line

@@ -40,7 +40,7 @@ OPEN_WINDOWS = 32
 END_ID = 1
 MIN_CUT = 16
 FAN_IN = 32
-CACHE_SIZE = 700_000
+CACHE_SIZE = 400_000
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECE + ", sequence_id long, offset long"
@@ -82,6 +82,7 @@ class Packer:
 
     def __init__(self, size: int, open_windows: int, min_cut: int):
         self.size, self.limit, self.min_cut = size, open_windows, min_cut
+        self.words: WordIds | None = None
         self.windows: list[list] = []  # [room, pieces]
         self.done: list[list[tuple]] = []
 
@@ -169,7 +170,10 @@ def pack(docs: DataFrame, *, size: int = SEQUENCE, open_windows: int = OPEN_WIND
     docs = id_text(docs)
 
     def tokenised(packer: Packer, batch: pa.RecordBatch):
-        words = _words(tokenizer_path, cache_size)
+        # the cache is the task's: a worker that is kept for other work holds none of it
+        if packer.words is None:
+            packer.words = WordIds(load(tokenizer_path, WORD_BPE), cache_size)
+        words = packer.words
         end = struct.pack("<I", END_ID)
         names = batch.column("doc_id").to_pylist()
         for c in chunks(batch.column("text")):
@@ -210,13 +214,3 @@ def pack(docs: DataFrame, *, size: int = SEQUENCE, open_windows: int = OPEN_WIND
     for r in result[1:]:
         union = union.unionByName(r.select(cols))
     return union
-
-
-_WORDS: dict = {}
-
-
-def _words(path: str | None, limit: int) -> WordIds:
-    """This worker's cache of word ids (kept from task to task)."""
-    if (path, limit) not in _WORDS:
-        _WORDS[path, limit] = WordIds(load(path, WORD_BPE), limit)
-    return _WORDS[path, limit]

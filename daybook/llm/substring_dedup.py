@@ -38,7 +38,7 @@ from .words import Words, covered, rolling
 WINDOW = 20
 BLOCK = 10
 #: Text bytes of a chunk here: each hash is sent once for so much text.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 _ANCHOR = {"hash_bytes": 5}
 _WINDOW = {"hash_bytes": 6, "tag": np.dtype("<u4"), "extra": True}
 
