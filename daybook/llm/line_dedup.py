@@ -1,8 +1,9 @@
 """Operator 5: line dedup by a deletion-neighbourhood join.
 
 A line is its words (ASCII letters lower-cased). Two lines are equal within the edit bound if one
-word inserted, removed or substituted makes them equal (if both have `NEAR_WORDS` words or more;
-from `MIN_WORDS` on lines must be equal; shorter ones stay). A line goes if a line within the bound
+word inserted, removed or substituted makes them equal (if both have `near` words or more; from
+`least` on lines must be equal; shorter ones stay). The defaults are the bounds of op5's SQL,
+which the registered queries keep; `EVERY_LENGTH` judges short lines too. A line goes if a line within the bound
 stands earlier in the corpus (smaller doc_id, or the same document, earlier line). Lines are
 judged on the input, not on what is left.
 
@@ -41,6 +42,8 @@ from .words import BASE, Words, mix
 
 MIN_WORDS = 3
 NEAR_WORDS = 8
+#: Equal lines from one word on, one edit from where four fifths of a line stay the same.
+EVERY_LENGTH = {"least": 1, "near": 5}
 CHUNK = 1 << 22
 _HALF = {"hash_bytes": 5}
 _VARIANT = {"hash_bytes": 8, "tag": np.dtype("u1"), "extra": True}
@@ -63,7 +66,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Lines:
     """The lines with words of a chunk: their words' hashes as running polynomial sums."""
 
-    def __init__(self, c: Chunk):
+    def __init__(self, c: Chunk, near: int = NEAR_WORDS):
+        self.near = near
         c.buf = _LOWER[c.buf]
         w = Words(c)
         size = int(c.offs[-1])
@@ -84,11 +88,11 @@ class Lines:
         at = self.first[line]
         return mix((self.sums[at + b] - self.sums[at + a]) * self.down[a] + mix((b - a).astype(np.uint64)))
 
-    def halves(self) -> tuple[np.ndarray, np.ndarray]:
+    def halves(self, least: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
         """(line, key) of the halves by which lines within one edit meet; equal short lines too."""
         n = self.words
-        long_ = np.flatnonzero(n >= NEAR_WORDS)
-        short = np.flatnonzero((n >= MIN_WORDS) & (n < NEAR_WORDS))
+        long_ = np.flatnonzero(n >= self.near)
+        short = np.flatnonzero((n >= least) & (n < self.near))
         zero = np.zeros(len(long_), np.int64)
         half, other = (n[long_] - 1) // 2, n[long_] // 2
         two = other > half
@@ -103,8 +107,8 @@ class Lines:
         every = np.arange(len(self.words))
         whole = self.sums[self.first + self.words] - self.sums[self.first]
         own = mix(whole + mix(self.words.astype(np.uint64)))
-        own = np.where(self.words >= NEAR_WORDS, own, ~own)  # short lines meet no variants
-        long_ = np.repeat(self.words >= NEAR_WORDS, self.words)
+        own = np.where(self.words >= self.near, own, ~own)  # short lines meet no variants
+        long_ = np.repeat(self.words >= self.near, self.words)
         word = np.flatnonzero(long_)
         line = np.repeat(every, self.words)[word]
         before = self.sums[word] - self.sums[self.first[line]]
@@ -114,7 +118,7 @@ class Lines:
                 np.concatenate([np.full(len(every), WHOLE, np.uint8), (self.at[word] % WHOLE).astype(np.uint8)]))
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def candidates(docs: DataFrame, least: int, near: int) -> DataFrame:
     """Packed lists by document: numbers of lines that share a half (short ones: all words) with another."""
     parts = partitions(docs)
 
@@ -122,8 +126,8 @@ def candidates(docs: DataFrame) -> DataFrame:
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             for c in chunks(b.column("text"), CHUNK):
-                x = Lines(c)
-                line, h = x.halves()
+                x = Lines(c, near)
+                line, h = x.halves(least)
                 order = np.argsort(h, kind="stable")
                 first = first_of_equal(h[order]) if len(h) else np.zeros(0, bool)
                 run = np.cumsum(first) - 1
@@ -153,7 +157,7 @@ def _words_of(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
-def _candidate_lines(docs: DataFrame) -> DataFrame:
+def _candidate_lines(docs: DataFrame, least: int, near: int) -> DataFrame:
     """doc_id, text_hash, line_no, line (its words) of the lines that have a candidate."""
     parts = partitions(docs)
 
@@ -173,11 +177,11 @@ def _candidate_lines(docs: DataFrame) -> DataFrame:
             "doc_id": pa.array(cols["doc_id"], pa.int64()), "text_hash": pa.array(cols["text_hash"], pa.int64()),
             "line_no": pa.array(cols["line_no"], pa.int64()), "line": pa.array(cols["line"], pa.binary())})
 
-    return join_lists(pack_texts(docs, parts), candidates(docs), parts, take,
+    return join_lists(pack_texts(docs, parts), candidates(docs, least, near), parts, take,
                       "doc_id long, text_hash long, line_no long, line binary")
 
 
-def neighbours(lines: DataFrame) -> DataFrame:
+def neighbours(lines: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
     """lines: id, doc_id, line_no, line, all different. Returns id and other: the id of an earlier
     line that has a variant in common, the earliest one met (each line, once or not at all)."""
     parts = partitions(lines)
@@ -219,7 +223,7 @@ def neighbours(lines: DataFrame) -> DataFrame:
         for b in batches:
             ids, docs, places = (b.column(k).to_numpy(zero_copy_only=False) for k in ("id", "doc_id", "line_no"))
             for c in chunks(b.column("line").cast(pa.string()), CHUNK):
-                x = Lines(c)  # a line is a text here, and none is empty
+                x = Lines(c, near)  # a line is a text here, and none is empty
                 line, h, tag = x.variants()
                 doc = x.doc[line]
                 here = {"h": h, "tag": tag, "doc": docs[c.first:c.last][doc], "place": places[c.first:c.last][doc],
@@ -266,17 +270,17 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             .mapInArrow(check, "id long, near_doc long, near_no long"))
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, *, least: int = MIN_WORDS, near: int = NEAR_WORDS) -> DataFrame:
     """doc_id, text_hash, line_no of the lines that have an earlier line within the bound."""
-    lines = written(_candidate_lines(id_text(docs)), "lines")
+    lines = written(_candidate_lines(id_text(docs), least, near), "lines")
     distinct = (lines.groupBy("line").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
                 .select(F.monotonically_increasing_id().alias("id"), F.col("first.doc_id").alias("doc_id"),
                         F.col("first.line_no").alias("line_no"), "line"))
     distinct = written(distinct, "distinct-lines")
-    near = _verified(neighbours(distinct), distinct)
+    found = _verified(neighbours(distinct, near), distinct)
     own = F.struct("doc_id", "line_no")
     other = F.struct(F.col("near_doc").alias("doc_id"), F.col("near_no").alias("line_no"))
-    first = distinct.join(near, "id", "left").select(
+    first = distinct.join(found, "id", "left").select(
         "line", F.when(F.col("near_doc").isNull(), own).otherwise(F.least(own, other)).alias("first"))
     first = first.select("line", F.col("first.doc_id").alias("first_doc"), F.col("first.line_no").alias("first_no"))
     later = F.struct(F.col("doc_id").alias("d"), F.col("line_no").alias("n")) > F.struct(F.col("first_doc").alias("d"), F.col("first_no").alias("n"))
@@ -290,7 +294,7 @@ def _keep(raw: bytes, gone: list[int] | None) -> bytes:
     return b"\n".join(x for k, x in enumerate(raw.split(b"\n")) if k not in drop)
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, *, least: int = MIN_WORDS, near: int = NEAR_WORDS) -> DataFrame:
     """Per document: doc_id, n_lines, n_removed, kept_sha256 (of the text that is left)."""
     docs = id_text(docs)
     parts = partitions(docs)
@@ -309,7 +313,7 @@ def dedup(docs: DataFrame) -> DataFrame:
             "n_removed": pa.array([len(g) for g in gone], pa.int64()),
             "kept_sha256": pa.array([hashlib.sha256(_keep(x, g)).hexdigest() for x, g in zip(texts, gone, strict=True)], pa.string())})
 
-    return join_lists(pack_texts(docs, parts), removed_lines(docs).mapInArrow(pack_marks, PACKED), parts, cut,
+    return join_lists(pack_texts(docs, parts), removed_lines(docs, least=least, near=near).mapInArrow(pack_marks, PACKED), parts, cut,
                       "doc_id long, n_lines long, n_removed long, kept_sha256 string")
 
 
@@ -330,10 +334,11 @@ def _own(raw: list[bytes], gone: list) -> list[list[int]]:
     return out
 
 
-def without_repeated_lines(docs: DataFrame, *, size_col: str | None = "n_chars") -> DataFrame:
+def without_repeated_lines(docs: DataFrame, *, size_col: str | None = "n_chars", least: int = MIN_WORDS,
+                           near: int = NEAR_WORDS) -> DataFrame:
     """`docs` with the repeated lines taken out of `text` (and `size_col`, if there is one, counted
     anew). A document of which no word is left goes; one that had no word stays."""
-    met = _with_marks(docs, removed_lines(docs))
+    met = _with_marks(docs, removed_lines(docs, least=least, near=near))
     schema = docs.schema
     at = docs.columns.index("text")
     size_at = docs.columns.index(size_col) if size_col in docs.columns else None

@@ -80,6 +80,20 @@ def test_lines_within_one_word_by_all_pairs(spark):
     assert _check_lines(spark.createDataFrame(rows, "doc_id long, text string"), rows) > 50
 
 
+def test_lines_of_every_length(spark, docs, rows, given):
+    few = [(1, "les.\nand ornd.\none two three four five"), (2, "LES.\nAnd  ornd.\none two three four six\nand"),
+           (3, "and\nles.\none two three five\none three four five\n\n"), (4, "les."), (None, "les.")]
+    for table, own in ((spark.createDataFrame(few, "doc_id long, text string"), few), (docs, rows), given):
+        want = brute.line_dedup(own, **line_dedup.EVERY_LENGTH)
+        left = [(i, len(want[i, t]), hashlib.sha256(brute.without(t or "", want[i, t]).encode()).hexdigest()) for i, t in own]
+        got = keyed(line_dedup.dedup(table, **line_dedup.EVERY_LENGTH), "doc_id", "n_removed", "kept_sha256")
+        assert got == sorted(left, key=repr)
+    kept = keyed(line_dedup.without_repeated_lines(spark.createDataFrame(few, "doc_id long, text string"), **line_dedup.EVERY_LENGTH), "doc_id", "text")
+    assert kept == [(1, few[0][1]), (2, "and"), (3, "one two three five\none three four five\n\n"), (None, "les.")]
+    want = brute.line_dedup(few, **line_dedup.EVERY_LENGTH)
+    assert [want[x] for x in few] == [[], [0, 1, 2], [0, 1], [0], []]
+
+
 def test_documents_without_repeated_lines(docs, rows, none):
     want = brute.line_dedup(rows)
     out = line_dedup.without_repeated_lines(docs)
