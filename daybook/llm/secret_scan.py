@@ -1,12 +1,17 @@
 """Operator 7: secret scans by dictionary-primed zstandard novelty.
 
 Base patterns (assignments to credential names, access keys, long hexadecimal runs) are found
-first. The method then looks at the other strings that could be keys (`CANDIDATE`: a run of 16 to
-256 key characters with letters and digits) near a sensitive word, and asks how new they are: the
+first. The method then looks at the other strings that could be keys (whole runs of 16 or more key
+characters, however long, with letters and digits) near a sensitive word, and asks how new they are: the
 bytes that the candidate adds to a zstandard frame of its surroundings, compressed with a
 dictionary of code and identifier words. A name or a repeated string costs a few bytes; a random
 string costs nearly its entropy. Candidates whose marginal bytes reach `MIN_NOVELTY` per
-character are reported as kind `novel`.
+character are reported as kind `novel`. A run of more than `SLICE` characters is measured in even
+slices and reported whole if one of them is new.
+
+A sensitive word reaches `CONTEXT` characters, and from a run in its reach on through the runs that
+adjoin it with no letter, digit or blank line between (the lines of a key, also quoted or escaped). What
+stands between a BEGIN line with a sensitive word and its END line is sensitive throughout.
 
 Nulls: a null text is empty and has no span; a null id is carried along. Repeated rows are
 scanned each for itself. An empty table gives an empty result. Spans are code points, the end
@@ -34,11 +39,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # runs are whole: shorter ones fail
 MIN_ASSIGNED, MIN_ACCESS = 8, 16
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,255}[0-9])(?=[0-9+/_-]{0,255}[A-Za-z])"
-                       r"[A-Za-z0-9+/_-]{16,256}(?![A-Za-z0-9+/_-])")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")  # greedy: runs are whole
+LETTER, DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
+SLICE = 256
 #: Any of these within `CONTEXT` characters before a candidate makes its context sensitive.
 SENSITIVE = re.compile(r"(?ai:key|secret|token|passw|passphrase|credential|auth|bearer|private|signature|cert)")
 CONTEXT = 64
+#: What may stand between adjoining runs: no letter or digit but in escapes, one line end at most.
+GAP = re.compile(r"(?:\\[nrt]|[^\w\n]|_)*(?:\n(?:\\[nrt]|[^\w\n]|_)*)?")
+ARMOR = re.compile(r"-----(BEGIN|END)([\x20A-Z0-9]*)-----")
 AROUND = 256
 MIN_NOVELTY = 0.6
 
@@ -78,27 +87,54 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found, key=lambda x: (x[0], x[2]))
 
 
+def _armored(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of what BEGIN lines with a sensitive word and their END lines enclose."""
+    begin = None
+    for m in ARMOR.finditer(text):
+        if m[1] == "END" and begin is not None and begin[2] == m[2]:
+            yield begin.end(), m.start()
+        begin = m if m[1] == "BEGIN" and SENSITIVE.search(m[2]) else None
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the runs with letters and digits in a sensitive context."""
+    if SENSITIVE.search(text) is None:
+        return []
+    runs = [m.span() for m in RUN.finditer(text)]
+    starts = [a for a, _ in runs]
+    near = set()
+    at = 0  # runs before it are out of reach of the words to come, or near
+    for word in SENSITIVE.finditer(text):
+        at = max(at, bisect_left(starts, word.start()))
+        while at < len(runs) and starts[at] <= word.end() + CONTEXT:
+            near.add(at)
+            at += 1
+    for a, b in _armored(text):
+        near.update(range(bisect_left(starts, a), bisect_left(starts, b)))
+    for i in range(1, len(runs)):
+        if i - 1 in near and i not in near and GAP.fullmatch(text, runs[i - 1][1], starts[i]):
+            near.add(i)
+    return [runs[i] for i in sorted(near) if LETTER.search(text, *runs[i]) and DIGIT.search(text, *runs[i])]
+
+
+def is_novel(text: str, a: int, b: int, min_novelty: float) -> bool:
+    """Whether a run, or a slice of a long one, doesn't compress in its surroundings."""
+    n = -(-(b - a) // SLICE)
+    cuts = [a + (b - a) * k // n for k in range(n + 1)]
+    return any(novelty(text[x:y], text[max(0, x - AROUND):x] + text[y:y + AROUND]) >= min_novelty
+               for x, y in zip(cuts, cuts[1:], strict=False))
+
+
 def novel_spans(text: str, known: list[tuple[int, int, int]], min_novelty: float) -> list[tuple[int, int, int]]:
     """(start, end, kind) of candidates in a sensitive context that don't compress."""
-    found = []
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, word.start(), min(len(text), word.end() + CONTEXT + 256)):
-            if m.start() > word.end() + CONTEXT:
-                break
-            if m.end() == min(len(text), word.end() + CONTEXT + 256) < len(text):
-                m = CANDIDATE.match(text, m.start())  # the run goes on behind the window
-                if m is None:
-                    break
-            found.append((m.start(), m.end()))
     starts = [x for x, _, _ in known]  # sorted
     reach = list(accumulate((y for _, y, _ in known), max))
     out = []
-    for a, b in sorted(set(found)):
+    for a, b in candidates(text):
         before = bisect_left(starts, b)  # base spans that begin before the candidate's end
         if before and reach[before - 1] > a or out and a < out[-1][1]:
             continue
-        around = text[max(0, a - AROUND):a] + text[b:b + AROUND]
-        if novelty(text[a:b], around) >= min_novelty:
+        if is_novel(text, a, b, min_novelty):
             out.append((a, b, 3))
     return out
 
