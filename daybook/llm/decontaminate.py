@@ -7,13 +7,14 @@ for (a match scores 1, a substituted word `MISMATCH`), and the document is conta
 stretch has enough equal words: `MIN_MATCHED`, or `SHORT_SHARE` of a shorter benchmark text.
 
 The benchmark's seeds are broadcast in blocks of at most `BLOCK_SEEDS` rows: their number is
-counted first, and a larger benchmark takes more blocks, each one a pass over the documents.
+counted first, and a larger benchmark takes more blocks, each one a pass over the documents. A
+block takes its seeds from all items, so a long item is spread over the blocks.
 Documents are hashed and probed in one stage and never shuffled; only hits are.
 
 Words are runs of letters and digits, lower-cased. Nulls: a null text has no words, a null id is
-carried along; a benchmark row with a null text or fewer words than the shortest mask can't be
-found. Rows that repeat an id give one row per benchmark item, and their own texts are told
-apart. Empty tables give an empty result.
+carried along, a benchmark row's too; a benchmark row with a null text or fewer words than the
+shortest mask can't be found. Rows that repeat an id give one row per benchmark item, and their own
+texts are told apart, in the benchmark as well. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -46,10 +47,15 @@ def seeds(w: str, at: str, masks: tuple[str, ...] = MASKS) -> Column:
     return F.array(*each)
 
 
-def _benchmark_seeds(benchmark: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text").cast("string")).alias("iw"))
-    at = b.select("item_id", "iw", F.posexplode("iw").alias("item_at", "_w"))
-    return (at.select("item_id", F.size("iw").alias("item_words"), "item_at", F.explode(seeds("iw", "item_at", masks)).alias("seed"))
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item_key (of the id and the text), item_id, iw of the different items."""
+    b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    return b.select(F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("item_key"), "item_id", words(F.col("text")).alias("iw"))
+
+
+def _benchmark_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    at = items.select("item_key", "iw", F.posexplode("iw").alias("item_at", "_w"))
+    return (at.select("item_key", F.size("iw").alias("item_words"), "item_at", F.explode(seeds("iw", "item_at", masks)).alias("seed"))
             .where("seed is not null").distinct())
 
 
@@ -82,31 +88,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ...] =
                         words(F.col("text").cast("string")).alias("w"))
     probe = probe.select("doc_id", "text_hash", "w", F.posexplode("w").alias("at", "_w"))
     probe = probe.select("doc_id", "text_hash", "w", "at", F.explode(seeds("w", "at", masks)).alias("seed"))
-    known = _benchmark_seeds(benchmark, masks)
+    items = _items(benchmark)
+    known = _benchmark_seeds(items, masks)
     blocks = max(1, -(-known.count() // block_seeds))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text").cast("string")).alias("iw"))
     found = []
     for k in range(blocks):
-        block = known.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        block = known.where(F.pmod(F.xxhash64("item_key", "item_at", "seed"), F.lit(blocks)) == k)
         hits = probe.join(F.broadcast(block), "seed")
         lag = F.col("at") - F.col("item_at")
-        hits = hits.select("doc_id", "text_hash", "item_id", lag.alias("lag"),
+        hits = hits.select("doc_id", "text_hash", "item_key", lag.alias("lag"),
                            F.slice("w", F.greatest(lag, F.lit(0)) + 1, F.col("item_words")).alias("there"))
         found.append(hits)
-    hits = reduce(DataFrame.unionByName, found).groupBy("doc_id", "text_hash", "item_id", "lag").agg(F.first("there").alias("there"))
-    there = hits.join(items, "item_id")
+    hits = reduce(DataFrame.unionByName, found).groupBy("doc_id", "text_hash", "item_key", "lag").agg(F.first("there").alias("there"))
+    there = hits.join(items, "item_key")
     own = F.slice("iw", F.greatest(-F.col("lag"), F.lit(0)) + 1, F.size("iw"))
     n = F.least(F.size("there"), F.size(own))
     match = F.zip_with(F.slice("there", F.lit(1), n), F.slice(own, F.lit(1), n), lambda x, y: x == y)
-    out = there.select("doc_id", "text_hash", "item_id", "lag", F.size("iw").alias("item_words"), _best_stretch(match).alias("s"))
+    out = there.select("doc_id", "text_hash", "item_key", "item_id", "lag", F.size("iw").alias("item_words"), _best_stretch(match).alias("s"))
     first = F.col("s.best_end") - F.col("s.best_length")
     out = out.select(
-        "doc_id", "text_hash", "item_id", "item_words", F.col("s.best_equal").alias("matched"), F.col("s.best_length").alias("overlap_words"),
+        "doc_id", "text_hash", "item_key", "item_id", "item_words", F.col("s.best_equal").alias("matched"), F.col("s.best_length").alias("overlap_words"),
         (F.greatest("lag", F.lit(0)) + first).alias("doc_start"), (F.greatest(-F.col("lag"), F.lit(0)) + first).alias("item_start"))
     enough = F.least(F.lit(min_matched), F.ceil(F.col("item_words") * short_share))
     out = out.where(F.col("matched") >= enough)
     best = F.max(F.struct("matched", (-F.col("overlap_words")).alias("less"), (-F.col("doc_start")).alias("first"), (-F.col("item_start")).alias("item_first")))
-    return out.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("b")).select(
+    return out.groupBy("doc_id", "text_hash", "item_key", "item_id").agg(best.alias("b")).select(
         "doc_id", "text_hash", "item_id", F.col("b.matched").alias("matched"), (-F.col("b.less")).alias("overlap_words"),
         (-F.col("b.first")).alias("doc_start"), (-F.col("b.item_first")).alias("item_start"))
 

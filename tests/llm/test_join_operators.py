@@ -186,6 +186,23 @@ def test_planted_passages(spark, docs, rows, none):
     assert decontaminate.overlaps(none, benchmark).collect() == [] and decontaminate.overlaps(table, none.select(F.col("doc_id").alias("item_id"), "text")).collect() == []
 
 
+def test_items_without_an_id_and_one_long_item(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"q{rng.randint(0, 10**6)}" for _ in range(n)) for n in (30, 20, 20, 400)]
+    docs = spark.createDataFrame([(k, "before " + x + " after") for k, x in enumerate(texts)] + [(9, texts[0] + " " + texts[1])], "doc_id long, text string")
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3])]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    want = [(0, None, 30), (1, None, 20), (2, 7, 20), (3, 7, 400), (9, None, 20), (9, None, 30)]
+    sizes = []
+    real = F.broadcast
+    monkeypatch.setattr(decontaminate.F, "broadcast", lambda x: (sizes.append(x.count()), real(x))[1])
+    for size in (1_000_000, 200):
+        got = decontaminate.overlaps(docs, benchmark, block_seeds=size)
+        assert keyed(got, "doc_id", "item_id", "matched") == sorted(want, key=repr)
+    assert sizes[0] > 1000 and max(sizes[1:]) < 300  # the long item alone has over 1000 seeds
+    assert decontaminate.decontaminated(docs, benchmark).collect() == []
+
+
 def test_given_benchmark_passages(spark, sf, given):
     docs, rows = given
     items = [(r["item_id"], r["text"]) for r in read_table(spark, sf, "benchmark").collect()]
