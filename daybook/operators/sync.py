@@ -5,13 +5,15 @@ loads it, advances the cursor and counts. Repositories are the entities of the c
 one whose feed can't be read (an unreadable page or a malformed record) is left out whole, its cursor
 stays and it counts as one failure; the run is then `partial`. The other services have a single
 entity; their malformed records are quarantined one by one. An error that ends a run leaves a
-`failed` audit row with its message (`aborted`).
+`failed` audit row with its message in the audit table (`recorded`) and is raised again.
 
 Nothing here is collected but one-row counts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -52,6 +54,20 @@ def aborted(spark, source: str, now: str, error: BaseException) -> DataFrame:
     return E.run_row(m, source, now, now, aborted=True, error_message=str(error))
 
 
+@contextmanager
+def recorded(spark, source: str, now: str, path: str) -> Iterator[None]:
+    """Around a run and the writes of what it leaves: an error appends the `failed` row to the audit
+    table at `path` and is raised again, also when that row can't be written."""
+    try:
+        yield
+    except Exception as error:
+        try:
+            aborted(spark, source, now, error).write.mode("append").parquet(path)
+        except Exception as lost:
+            error.add_note(f"no audit row was written: {lost}")
+        raise
+
+
 def github_run(repos: DataFrame, repos_before: DataFrame, rows: DataFrame, before: DataFrame, failed: DataFrame,
                now: str, source: str = "github", run_id: Column | None = None) -> DataFrame:
     """The audit row of a code-hosting run from its repositories and rows (both in raw shape), the

@@ -38,6 +38,12 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _logged(audit: DataFrame, log: str, now: str) -> DataFrame:
+    """The audit row of the run that began at `now`, from the audit table that it is added to."""
+    audit.write.mode("append").parquet(log)
+    return audit.sparkSession.read.schema(audit.schema).parquet(log).where(F.col("started_at") == _ts(now))
+
+
 def _pages(records: DataFrame, list_key: str | None, *by: str) -> DataFrame:
     """Pages of at most 100 records (ids are unique), of one entity each if `by` names it."""
     g = records.groupBy(*by, F.floor(F.col("ref") / 100).alias("page")).agg(F.collect_list("record").alias("r"))
@@ -62,14 +68,18 @@ def _empty(spark, feed: Feed) -> DataFrame:
 
 
 def _two_runs(spark, connector: str, feed: Feed, pages1: DataFrame, pages2: DataFrame, first, since, **kw) -> DataFrame:
-    none = spark.createDataFrame([], SYNC_STATE)
-    one = SY.sync_single(connector, pages1, feed, _empty(spark, feed), none, FIRST, since=first, **kw)
-    one.state = _kept(one.state, "state")
-    table = _kept(one.tables[feed.table], feed.table)
-    one.audit = _kept(one.audit, "audit")
-    one.release()
-    last = D.get_cursors(one.state, connector, "primary").select("last_cursor").scalar()
-    two = SY.sync_single(connector, pages2, feed, table, one.state, SECOND, since=since(last), **kw)
+    none, log = spark.createDataFrame([], SYNC_STATE), scratch_path(spark, "audit")
+    with SY.recorded(spark, connector, FIRST, log):
+        one = SY.sync_single(connector, pages1, feed, _empty(spark, feed), none, FIRST, since=first, **kw)
+        one.state = _kept(one.state, "state")
+        table = _kept(one.tables[feed.table], feed.table)
+        one.audit = _logged(one.audit, log, FIRST)
+        one.release()
+    with SY.recorded(spark, connector, SECOND, log):
+        last = D.get_cursors(one.state, connector, "primary").select("last_cursor").scalar()
+        two = SY.sync_single(connector, pages2, feed, table, one.state, SECOND, since=since(last), **kw)
+        two.state = _kept(two.state, "state")
+        two.audit = _logged(two.audit, log, SECOND)
     return _report(connector, one, two)
 
 
@@ -157,13 +167,18 @@ def _git_runs(spark, sf, connector: str, feeds: list[Feed], ts: str, pages1, pag
     repos = B.table(spark, sf, "customer").select(
         F.lit("github").alias("source"), F.concat(F.col("c_custkey").cast("string"), F.lit("/repo")).alias("source_id"))
     none = repos.where(F.lit(False))
-    one = SY.sync_entities(connector, pages1, feeds, ts, {f.table: _empty(spark, f) for f in feeds},
-                           spark.createDataFrame([], SYNC_STATE), repos, none, first, _before(first))
-    one.state = _kept(one.state, "state")
-    tables = {k: _kept(t, k) for k, t in one.tables.items()}
-    one.audit = _kept(one.audit, "audit")
-    one.release()
-    two = SY.sync_entities(connector, pages2, feeds, ts, tables, one.state, repos, repos, second, _before(second))
+    log = scratch_path(spark, "audit")
+    with SY.recorded(spark, "github", first, log):
+        one = SY.sync_entities(connector, pages1, feeds, ts, {f.table: _empty(spark, f) for f in feeds},
+                               spark.createDataFrame([], SYNC_STATE), repos, none, first, _before(first))
+        one.state = _kept(one.state, "state")
+        tables = {k: _kept(t, k) for k, t in one.tables.items()}
+        one.audit = _logged(one.audit, log, first)
+        one.release()
+    with SY.recorded(spark, "github", second, log):
+        two = SY.sync_entities(connector, pages2, feeds, ts, tables, one.state, repos, repos, second, _before(second))
+        two.state = _kept(two.state, "state")
+        two.audit = _logged(two.audit, log, second)
     return _report(connector, one, two)
 
 

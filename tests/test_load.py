@@ -149,6 +149,33 @@ def test_aborted_run_is_recorded(spark):
     assert (r["status"], r["error_message"], r["records_fetched"]) == ("failed", "rate limit", 0)
 
 
+def test_an_error_that_ends_a_sync_leaves_its_audit_row(spark, tmp_path, monkeypatch):
+    from daybook import queries_sync as Q
+
+    real, runs = SY.sync_single, []
+
+    def limited(*args, **kw):
+        runs.append(args)
+        if len(runs) == 2:
+            raise RuntimeError("rate limit")
+        return real(*args, **kw)
+
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(SY, "sync_single", limited)
+    pages = spark.createDataFrame([('{"messages": []}', (0,))], f"payload string, {L.ARRIVAL} struct<page: long>")
+    with pytest.raises(RuntimeError, match="rate limit"):
+        Q._two_runs(spark, "gmail", MAIL, pages, pages, F.lit(True), lambda last: F.lit(True), ts="date")
+    rows = spark.read.parquet(str(tmp_path / "audit")).orderBy("started_at").collect()
+    assert [(r["source"], r["status"], r["error_message"]) for r in rows] == [("gmail", "success", None), ("gmail", "failed", "rate limit")]
+
+
+def test_the_error_is_raised_when_no_audit_row_can_be_written(spark, tmp_path):
+    (tmp_path / "file").write_text("")
+    with pytest.raises(ValueError, match="bad page"):
+        with SY.recorded(spark, "gmail", NOW, str(tmp_path / "file" / "audit")):
+            raise ValueError("bad page")
+
+
 def test_recent_runs_and_status(spark):
     rows = SY.aborted(spark, "a", NOW, ValueError("x")).unionByName(SY._audit("b", "2024-04-01 00:00:00", 3, 2, 1, 0, spark))
     assert [(r["source"], r["status"]) for r in E.recent_runs(rows, 1).collect()] == [("b", "success")]
