@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import oracles_digest
 from .repetition import LINE_LIMIT, MAX_REPEATED_PERCENT, MIN_WORDS, NGRAM_LIMITS
 from .repetition import WINDOW as QUALITY_WINDOW
 from .substring_dedup import WINDOW
@@ -83,4 +84,5 @@ def oracle_sql() -> dict[str, str]:
     from .line_dedup import MIN_WORDS as LEAST
     from .line_dedup import NEAR_WORDS
 
-    return {"op3_quality_rules": _quality(), "op4_substring_dedup": _substrings(), "op5_line_dedup": _lines(LEAST, NEAR_WORDS)}
+    return {"op3_quality_rules": _quality(), "op4_substring_dedup": _substrings(), "op5_line_dedup": _lines(LEAST, NEAR_WORDS),
+            "op11_merkle_manifest": oracles_digest.merkle(), "op12_spelling_variants": oracles_digest.spelling()}

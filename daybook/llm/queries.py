@@ -10,8 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language_id, line_dedup, oracles, packing, repetition, secret_scan, simhash,
-               substring_dedup, token_counts, toxicity)
+from . import (byte_bpe, decontaminate, language_id, line_dedup, merkle, oracles, packing, repetition, secret_scan,
+               simhash, spelling, substring_dedup, token_counts, toxicity)
 from .tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every row, and the root that the row leads to after tampering."""
+    docs = read_table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, check=merkle.tampered(docs))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated word with its near words, its form and its root."""
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the bytes they decode to, as digests."""
+    return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, applied to documents."""
     import corpus_pipeline
@@ -96,7 +112,8 @@ def _registered(query: QueryFn) -> QueryFn:
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: _registered(f) for f in (
         op1_token_counts, op2_decontamination, op3_quality_rules, op4_substring_dedup, op5_line_dedup, op6_packing,
-        op7_secret_scan, op8_toxicity, op9_language_id, op10_simhash, pipeline)}
+        op7_secret_scan, op8_toxicity, op9_language_id, op10_simhash, op11_merkle_manifest, op12_spelling_variants,
+        op13_byte_bpe, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
