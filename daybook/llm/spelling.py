@@ -8,14 +8,16 @@ found by a similarity join on bigrams:
   its pivots are two of them that don't overlap, chosen by dynamic programming so that the sum of their
   frequencies is least.
 * One edit destroys at most one of two disjoint bigrams. So of two near words, that whose prefix ends
-  earlier in the order has a pivot that the other word holds too, in its prefix, and in one of five places:
-  the edit lies behind the bigram (same place, length 0 or 1 off) or ahead of it (same distance from the
-  end). Pivots are therefore joined with prefixes on (bigram, place, length).
-* What meets must agree ahead of the bigram or behind it, which hashes of both sides decide; then the words
-  themselves are compared. Both are part of the join's condition, so only near pairs come out of it.
+  earlier in the order has a pivot that the other word holds too, in its prefix. If the edit lies behind
+  the first pivot, that one is left, as far from the start as before and with the same letters ahead of it; else
+  the edit lies ahead of the second one, which is left as far from the end, with the same letters behind it.
+  These position limits are part of the key by which pivots meet prefixes.
+* On the edit's side, either the two letters beside the bigram are left or the three at the word's other end, so the
+  key takes these too, twice. Without them a rare bigram near a word's start would meet all words that start so.
+* What meets is compared. That is part of the join's condition, so only near pairs come out of it.
 
-Bigrams of hot places make large join groups, which Spark's sort-merge join spills and its skew join splits;
-a word emits a dozen small rows, whatever the texts repeat. Words are counted in the tasks first.
+Keys that many words share make large join groups, which Spark's sort-merge join spills and its skew join splits;
+a word emits some fifteen small rows, whatever the texts repeat. Words are counted in the tasks first.
 
 A word's form is its near word of largest count (ties: the smallest one in code-point order) if that is
 `RATIO` times its own or more; its root is where the forms lead. Counts grow tenfold along forms, so 64-bit
@@ -47,6 +49,8 @@ RATIO = 10
 MISSPELT = 31
 #: Edits between near words; the number of pivots is one more.
 EDITS = 1
+#: Letters beside a bigram and at the word's far end that a key asks for, one or the other.
+NEXT, FAR = 2, 3
 #: Words a task counts before it hands them on.
 HELD_WORDS = 200_000
 #: Words whose grams a task works out at once.
@@ -116,12 +120,12 @@ class Grams:
         self.place = self.start - self.firsts[self.word]
         #: a gram as a number: letters lie below U+0100
         self.gram = flat[self.start] * 256 + flat[self.start + 1]
+        self._ends = self._sides()
 
-    def sides(self) -> tuple[np.ndarray, np.ndarray]:
+    def _sides(self) -> tuple[np.ndarray, np.ndarray]:
         """For each bigram, hashes of what lies ahead of it and behind it in its word."""
         base = np.uint64(0x9E3779B97F4A7C15)
-        most = int(self.lengths.max(initial=0)) + 1
-        power = np.ones(most + 1, np.uint64)
+        power = np.ones(int(self.lengths.max(initial=0)) + 2, np.uint64)
         power[1:] = base
         power = np.multiply.accumulate(power)
         at = np.arange(len(self.flat)) - np.repeat(self.firsts, self.lengths)
@@ -132,7 +136,33 @@ class Grams:
         from_end = np.repeat(self.lengths, self.lengths) - 1 - at
         behind = np.concatenate([zero, np.cumsum(letters * power[from_end], dtype=np.uint64)])
         end = first + self.lengths[self.word]
-        return mix(ahead[self.start] - ahead[first]).view(np.int64), mix(behind[end] - behind[self.start + 2]).view(np.int64)
+        return ahead[self.start] - ahead[first], behind[end] - behind[self.start + 2]
+
+    def _letters(self, at: np.ndarray, n: int) -> np.ndarray:
+        """n letters from each place on as a number."""
+        out = np.zeros(len(at), np.uint64)
+        for k in range(n):
+            out = out << np.uint64(8) | self.flat[np.clip(at + k, 0, len(self.flat) - 1)].astype(np.uint64)
+        return out
+
+    def keys(self, rows: np.ndarray, back: bool, probe: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, keys) of bigrams that an edit behind them (`back`: ahead of them) leaves as they are. A key
+        holds the bigram, its place from the side that is left alone, and all letters there. On the edit's
+        side either the `NEXT` letters beside the bigram are left alone, or the `FAR` letters at the word's
+        other end; if few letters lie there, neither is asked for. A near word may have one letter more
+        or less there, so that a probe asks for one kind and the index holds both around the limit."""
+        first, size = self.firsts[self.word[rows]], self.lengths[self.word[rows]]
+        rest = self.place[rows] if back else size - self.place[rows] - 2
+        place = size - self.place[rows] if back else self.place[rows]
+        side = self._ends[1 if back else 0][rows]
+        stem = mix(side ^ mix((self.gram[rows] * 2 + back).astype(np.uint64)) ^ mix(mix(place.astype(np.uint64))))
+        beside = self._letters(self.start[rows] + (-NEXT if back else 2), NEXT)
+        beyond = self._letters(first if back else first + size - FAR, FAR)
+        some = NEXT + FAR
+        many = np.flatnonzero(rest >= some - (not probe))
+        few = np.flatnonzero(rest < some + (not probe))
+        out = [mix(stem[few]), mix(stem[many] ^ mix(beside[many] + np.uint64(1 << 40))), mix(stem[many] ^ mix(beyond[many] + np.uint64(1 << 41)))]
+        return np.concatenate([rows[few], rows[many], rows[many]]), np.concatenate(out).view(np.int64)
 
 
 def gram_counts(words: DataFrame) -> DataFrame:
@@ -192,9 +222,8 @@ def pivots(word: np.ndarray, place: np.ndarray, cost: np.ndarray, pieces: int =
 
 
 def _signatures(words: DataFrame) -> DataFrame:
-    """Prefix grams (probe false) and pivots (probe true, one row for each place and length where a near
-    word may hold it) of every word: gram, place, size; word, n; last (the prefix's end in the order of
-    grams); ahead, behind."""
+    """The keys of every word's prefix (probe false) and of its two pivots (probe true): key; word, n; last
+    (the prefix's end in the order of grams)."""
     counts = {r["gram"]: r["n"] for r in gram_counts(words).collect()}  # at most PAIRS rows
     grams = sorted(counts, key=lambda g: (counts[g], g))
     order = np.zeros(1 << 16, np.int64)
@@ -216,32 +245,26 @@ def _signatures(words: DataFrame) -> DataFrame:
                 last = rank[third]
                 own = np.flatnonzero(rank <= last[g.word])
                 pivot = own[pivots(g.word[own], g.place[own], weight[g.gram[own]])]
-                ahead, behind = g.sides()
-                size = g.lengths[g.word]
-                # (place, length) where a near word holds the gram: the edit behind it, ahead of it
-                moved = [(0, 0), (0, 1), (0, -1), (1, 1), (-1, -1)]
-                rows = np.concatenate([own, *[pivot] * len(moved)])
-                dp = np.concatenate([np.zeros(len(own), np.int64), *[np.full(len(pivot), p) for p, _ in moved]])
-                ds = np.concatenate([np.zeros(len(own), np.int64), *[np.full(len(pivot), s) for _, s in moved]])
-                probe = np.arange(len(rows)) >= len(own)
+                one, two = pivot[0::2], pivot[1::2]
+                made = [(False, *g.keys(own, back, False)) for back in (False, True)]
+                made += [(True, *g.keys(one, False, True)), (True, *g.keys(two, True, True))]
+                rows = np.concatenate([r for _, r, _ in made])
                 at = pa.array(g.word[rows])
                 yield pa.RecordBatch.from_pydict({
-                    "probe": pa.array(probe), "key": pa.array((g.gram[rows] << 40) | ((g.place[rows] + dp + 1) << 20) | (size[rows] + ds)),
-                    "word": names.take(at), "n": n.take(at), "last": pa.array(last[g.word[rows]]),
-                    "ahead": pa.array(ahead[rows]), "behind": pa.array(behind[rows])})
+                    "probe": pa.array(np.repeat([x for x, _, _ in made], [len(r) for _, r, _ in made])),
+                    "key": pa.array(np.concatenate([h for _, _, h in made])),
+                    "word": names.take(at), "n": n.take(at), "last": pa.array(last[g.word[rows]])})
 
-    return words.select("word", "n").mapInArrow(
-        sign, "probe boolean, key long, word string, n long, last long, ahead long, behind long")
+    return words.select("word", "n").mapInArrow(sign, "probe boolean, key long, word string, n long, last long")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """word, n, other, other_n for every pair of near words of `words` (word, n; words differ), both ways."""
     signed = written(_signatures(words), "grams")
-    a = signed.where("probe").select("key", "word", "n", "last", "ahead", "behind")
-    b = signed.where("not probe").select("key", *(F.col(c).alias(f"other_{c}") for c in ("word", "n", "last", "ahead", "behind")))
-    agree = (F.col("ahead") == F.col("other_ahead")) | (F.col("behind") == F.col("other_behind"))
+    a = signed.where("probe").select("key", "word", "n", "last")
+    b = signed.where("not probe").select("key", *(F.col(c).alias(f"other_{c}") for c in ("word", "n", "last")))
     near = F.levenshtein("word", "other_word", EDITS) == EDITS
-    met = a.join(b, (a["key"] == b["key"]) & (F.col("last") <= F.col("other_last")) & agree & near)
+    met = a.join(b, (a["key"] == b["key"]) & (F.col("last") <= F.col("other_last")) & near)
     pairs = met.select(F.least("word", "other_word").alias("a"), F.greatest("word", "other_word").alias("b"),
                        F.when(F.col("word") < F.col("other_word"), F.col("n")).otherwise(F.col("other_n")).alias("a_n"),
                        F.when(F.col("word") < F.col("other_word"), F.col("other_n")).otherwise(F.col("n")).alias("b_n"))
