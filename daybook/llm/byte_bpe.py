@@ -38,7 +38,9 @@ from .tokenizers_io import TwoGenerations, default_path
 from .words import mix
 
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
-CACHE_SIZE = 300_000
+CACHE_SIZE = 200_000
+#: Ids that are decoded at once (a longer list for itself).
+DECODED_IDS = 1 << 19
 #: Keys a bucket of the perfect hash has on average.
 BUCKET = 4
 #: Texts in which no character lies beyond this one take the short pattern.
@@ -81,6 +83,15 @@ def _flat(keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, offs[:-1] - offs[0], np.diff(offs)
 
 
+def _joined(values: pa.Array) -> tuple[bytes, np.ndarray]:
+    """All bytes of a binary array that isn't a slice, and where each value starts and the last one ends."""
+    if not len(values):
+        return b"", np.zeros(1, np.int32)
+    _, offsets, data = values.buffers()
+    reach = np.frombuffer(offsets, np.int32, len(values) + 1)
+    return (data.to_pybytes() if data is not None else b""), reach
+
+
 class PerfectHash:
     """Keys to the places 0 .. n-1, one each and none left over. A key's hash names its bucket; the bucket
     holds the seed that spreads its keys over free places. Buckets of one key hold the place itself."""
@@ -303,18 +314,22 @@ def decode(encoded: DataFrame, own: Vocabulary, *, ids_col: str = "ids", out_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, size = table.value.hash.keys, table.value.size
         for b in batches:
-            ids = b.column(at)
-            flat = ids.flatten()
-            if len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < size:
-                raise ValueError("an id isn't in the vocabulary")
-            data, starts, lengths = _flat(tokens.take(flat))
-            reach = np.append(starts, starts[-1:] + lengths[-1:]) if len(flat) else np.zeros(1, np.int64)
-            counts = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
-            cut = reach[ends].tolist()
-            raw = data.tobytes()
-            decoded = pa.array([raw[a:z] for a, z in zip(cut, cut[1:], strict=False)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, decoded], names=schema.names)
+            counts = pc.fill_null(pc.list_value_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(counts)
+            first = 0
+            while first < b.num_rows:  # some rows at a time, so that a batch of long lists takes no more
+                done = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, done + DECODED_IDS, side="right")))
+                part = b.slice(first, last - first)
+                flat = part.column(at).flatten()
+                if len(flat) and not 0 <= pc.min(flat).as_py() <= pc.max(flat).as_py() < size:
+                    raise ValueError("an id isn't in the vocabulary")
+                cut = np.concatenate([np.zeros(1, np.int64), ends[first:last] - done])
+                raw, reach = _joined(tokens.take(flat))
+                at_bytes = reach[cut].tolist()
+                decoded = pa.array([raw[x:z] for x, z in zip(at_bytes, at_bytes[1:], strict=False)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=schema.names)
+                first = last
 
     return encoded.mapInArrow(run, schema)
 
