@@ -12,8 +12,10 @@ tasks, and a task holds `open_windows` windows at a time.
 Rounds are written to the shared folder before they are used twice, and later rounds read their
 rows sorted, so that a task run again gives the same sequences.
 
-Tokens: a document's ids are its words' ids one after another, since this tokenizer drops white
-space; words' ids come from a bounded cache in each worker, misses from the library.
+Tokens: a document's ids are its pre-tokens' ids one after another. The pre-tokens of a chunk of texts are
+cut and told apart in bulk; their ids come from a bounded cache of the task, misses are merged in bulk with the
+tokenizer's own merges. Texts with characters beyond U+024F go word by word, and words that may be more
+than their letters (marks, special tokens) through the library.
 
 Nulls: a null text is empty and gives one piece, the end id; a null id is carried along (its
 pieces cannot be told from another null id's). Repeated rows are packed each for itself. An
@@ -26,14 +28,15 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import chunks, id_text, written
-from .tokenizers_io import WORD_BPE, Pretokens, TwoGenerations, load, split_plain
+from .tables import Chunk, chunks, id_text, written
+from .tokenizers_io import WORD_BPE, Bpe, Pretokens, TwoGenerations, load, split_plain
 
 SEQUENCE = 2048
 OPEN_WINDOWS = 32
@@ -41,6 +44,8 @@ END_ID = 1
 MIN_CUT = 16
 FAN_IN = 32
 CACHE_SIZE = 400_000
+#: Bytes of text whose pre-tokens are told apart at once.
+CHUNK = 1 << 22
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECE + ", sequence_id long, offset long"
@@ -76,13 +81,143 @@ class WordIds(TwoGenerations):
             yield b"".join(map(self.__getitem__, words))
 
 
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+
+
+def _byte_kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte of a lower-cased text: its kind, and whether it takes the text off the fast path."""
+    kind = np.full(256, _OTHER, np.uint8)
+    kind[[0x09, 0x0A, 0x0D, 0x20]] = _SPACE
+    kind[ord("0"):ord("9") + 1] = _DIGIT
+    kind[ord("a"):ord("z") + 1] = _LETTER
+    kind[0x80:] = _LETTER
+    odd = np.zeros(256, bool)
+    odd[:0x20] = True
+    odd[[0x09, 0x0A, 0x0D]] = False
+    odd[[0x7F, 0xC2]] = True
+    odd[0xCA:] = True  # U+0280 and beyond
+    return kind, odd
+
+
+_KIND, _ODD = _byte_kinds()
+_ASCII_LOWER = np.arange(256, dtype=np.uint8)
+_ASCII_LOWER[ord("A"):ord("Z") + 1] += 32
+#: What may follow an apostrophe as a pre-token of its own (fixed values of the tokenizer's pattern).
+_CONTRACTED = [b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"]
+
+
+def _cut(values: pa.Array) -> tuple[bytes, list[int]]:
+    """All bytes of a binary array that isn't a slice, and its offsets."""
+    _, offsets, data = values.buffers()
+    cuts = np.frombuffer(offsets, np.int32, len(values) + 1) if len(values) else np.zeros(1, np.int32)
+    return (data.to_pybytes() if data is not None else b""), cuts.tolist()
+
+
+class PieceIds:
+    """Pre-token (bytes, A-Z lower-cased) -> its token ids as little-endian unsigned 32-bit. The texts of
+    a chunk are cut by their bytes' kinds and their different pre-tokens found all at once; a pre-token is
+    looked up once a chunk. That takes texts of ASCII and of the letters up to U+024F; others go word by word.
+    When `limit` entries are new, the older ones go; those that are used again come back."""
+
+    def __init__(self, tokenizer, limit: int = CACHE_SIZE):
+        self.tokenizer, self.limit = tokenizer, limit
+        self.bpe, self.words = Bpe(tokenizer), None
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each of some different pre-tokens; white space has none."""
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        out = list(map(self.new.get, pieces))
+        open_ = [k for k, x in enumerate(out) if x is None]
+        rest, own = [], []
+        for k in open_:
+            piece = pieces[k]
+            out[k] = x = b"" if piece.isspace() else self.old.get(piece)
+            if x is None:
+                rest.append(k)
+                own.append(piece if piece.isascii() else piece.decode().lower().encode())
+        if rest:
+            for k, x in zip(rest, self.bpe.encode(own), strict=True):
+                out[k] = x
+        self.new.update((pieces[k], out[k]) for k in open_)
+        return out
+
+    @staticmethod
+    def odd_texts(low: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Which texts hold anything but ASCII and letters up to U+024F: control and other characters, the
+        signs and the one capital there that are no letters when lower-cased, or `<|` of a special token."""
+        size = int(offs[-1])
+        here, after = low[:size], low[1:size + 1]
+        odd = _ODD[here] | (here == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (here == 0xC9) & (after >= 0x90)
+        odd |= (here == 0xC4) & (after == 0xB0) | (here == ord("<")) & (after == ord("|"))
+        seen = np.concatenate([np.zeros(1, np.int64), np.cumsum(odd)])
+        return seen[offs[1:]] > seen[offs[:-1]]
+
+    @staticmethod
+    def starts(low: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Where the pre-tokens and the runs of white space between them start."""
+        size = int(offs[-1])
+        kind = _KIND[low[:size]]
+        start = np.ones(size, bool)
+        start[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        start[offs[:-1][offs[:-1] < size]] = True
+        quote = np.flatnonzero((low[:size] == ord("'")) & start)
+        end = offs[np.searchsorted(offs, quote, side="right")]  # of its text
+        for tail in _CONTRACTED:
+            fits = quote + 1 + len(tail) <= end
+            for k, letter in enumerate(tail):
+                fits &= low[np.minimum(quote + 1 + k, size)] == letter
+            at, quote, end = quote[fits], quote[~fits], end[~fits]
+            start[at + 1] = False
+            behind = at + 1 + len(tail)
+            start[behind[behind < size]] = True
+        return np.flatnonzero(start)
+
+    def of_chunk(self, c: Chunk) -> list[bytes]:
+        """The packed ids of each text."""
+        low = _ASCII_LOWER[c.buf]
+        odd = self.odd_texts(low, c.offs)
+        if odd.all():
+            ids, reach = b"", np.zeros(c.n + 1, np.int64)
+        else:
+            starts = self.starts(low, c.offs)
+            size = int(c.offs[-1])
+            data = pa.py_buffer(low[:size])
+            edges = pa.py_buffer(np.append(starts, size).astype(np.int32))
+            coded = pa.Array.from_buffers(pa.binary(), len(starts), [None, edges, data]).dictionary_encode()
+            which = coded.indices.to_numpy()
+            raw, cuts = _cut(coded.dictionary)
+            pieces = [raw[x:z] for x, z in zip(cuts, cuts[1:], strict=False)]
+            if odd.any():  # their pieces aren't looked up
+                used = np.zeros(len(pieces), bool)
+                used[which[~odd[np.searchsorted(c.offs, starts, side="right") - 1]]] = True
+                pieces = [x if u else b" " for x, u in zip(pieces, used.tolist(), strict=True)]
+            packed = self.look_up(pieces)
+            lengths = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            flat = np.frombuffer(b"".join(packed), "<u4")
+            counts = lengths[which]
+            ends = np.cumsum(counts)
+            shift = (np.cumsum(lengths) - lengths)[which] - (ends - counts)
+            ids = flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(shift, counts)].tobytes()
+            reach = np.concatenate([np.zeros(1, np.int64), 4 * ends])[np.searchsorted(starts, c.offs)]
+        out = [ids[a:b] for a, b in zip(reach[:-1].tolist(), reach[1:].tolist(), strict=True)]
+        if odd.any():
+            self.words = self.words or WordIds(self.tokenizer, self.limit // 4)
+            where = np.flatnonzero(odd).tolist()
+            for i, own in zip(where, self.words.of([c.raw(i) for i in where]), strict=True):
+                out[i] = own
+        return out
+
+
 class Packer:
     """Open windows of one task. `emit` gets (pieces, sequence number); a piece is
     (doc_id, start, ids, doc_tokens) with its ids packed."""
 
     def __init__(self, size: int, open_windows: int, min_cut: int):
         self.size, self.limit, self.min_cut = size, open_windows, min_cut
-        self.words: WordIds | None = None
+        self.ids: PieceIds | None = None
         self.windows: list[list] = []  # [room, pieces]
         self.done: list[list[tuple]] = []
 
@@ -171,13 +306,12 @@ def pack(docs: DataFrame, *, size: int = SEQUENCE, open_windows: int = OPEN_WIND
 
     def tokenised(packer: Packer, batch: pa.RecordBatch):
         # the cache is the task's: a worker that is kept for other work holds none of it
-        if packer.words is None:
-            packer.words = WordIds(load(tokenizer_path, WORD_BPE), cache_size)
-        words = packer.words
+        if packer.ids is None:
+            packer.ids = PieceIds(load(tokenizer_path, WORD_BPE), cache_size)
         end = struct.pack("<I", END_ID)
         names = batch.column("doc_id").to_pylist()
-        for c in chunks(batch.column("text")):
-            for k, packed in enumerate(words.of([c.raw(i) for i in range(c.n)])):
+        for c in chunks(batch.column("text"), CHUNK):
+            for k, packed in enumerate(packer.ids.of_chunk(c)):
                 ids = packed + end
                 packer.document(names[c.first + k], ids, len(ids) // 4)
                 yield

@@ -6,9 +6,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import language_id, packing, repetition, secret_scan, token_counts, toxicity
+from daybook.llm.tables import chunks
 from daybook.llm.tokenizers_io import BYTE_BPE, WORD_BPE, load
 
 from . import brute
@@ -34,6 +36,22 @@ def test_token_counts_of_random_texts():
     word = load(None, WORD_BPE)
     want = [b"".join(struct.pack("<I", i) for i in word.encode(x, add_special_tokens=False).ids) for x in texts]
     assert list(packing.WordIds(word).of([x.encode() for x in texts])) == want
+    for limit in (5, 100_000):
+        pieces = packing.PieceIds(word, limit)
+        got = [ids for c in chunks(pa.array(texts), 4000) for ids in pieces.of_chunk(c)]
+        assert got == want
+
+
+def test_ids_of_every_kind_of_piece():
+    word = load(None, WORD_BPE)
+    rng = np.random.default_rng(4)
+    signs = ["'", "'s", "'T", "'RE", "'ve", "'ll", "'d", "'m", "l", "e", "r", "é", "É", "ß", "Ø", "×", "÷", "ɏ", "ɐ", "Ⱥ", "İ", "¿", "\xa0", " ", "\n", "1", "23",
+             "!", "<", "|", "abc", "Word", "\x7f", "\x00", "x́", "Σ", "漢"]
+    texts = ["".join(rng.choice(signs[:k], rng.integers(0, 30))) for k in (8, 15, 30, len(signs)) for _ in range(1500)]
+    texts += ["", "'", "'s", "x" * 5000, "it's 'start' ''s !'s s's'", "l'", "'r", "'re" * 50]
+    want = [struct.pack(f"<{len(ids)}I", *ids) for ids in (word.encode(x, add_special_tokens=False).ids for x in texts)]
+    got = [ids for c in chunks(pa.array(texts), 3000) for ids in packing.PieceIds(word).of_chunk(c)]
+    assert [x for x, a, b in zip(texts, got, want, strict=True) if a != b] == []
 
 
 @pytest.mark.parametrize("options", [{}, {"size": 64, "open_windows": 2, "fan_in": 2, "min_cut": 4}])
