@@ -1,17 +1,17 @@
 """Operator 5: line dedup by a deletion-neighbourhood join.
 
 A line is its words (ASCII letters lower-cased). Two lines are equal within the edit bound if one
-word inserted, removed or substituted makes them equal (if both have `near` words or more; from
-`least` on lines must be equal; shorter ones stay). The defaults are the bounds of op5's SQL,
-which the registered queries keep; `EVERY_LENGTH` judges short lines too. A line goes if a line within the bound
-stands earlier in the corpus (smaller doc_id, or the same document, earlier line). Lines are
-judged on the input, not on what is left.
+word inserted, removed or substituted makes them equal (if both have `near` words or more, so that four
+fifths stay the same; from `least` on lines must be equal; by default every line with a word is judged). A line
+goes if a line within the bound stands earlier in the corpus (smaller doc_id, or the same document,
+earlier line). Lines are judged on the input, not on what is left.
 
 The join: every line emits, as hashed keys, itself and all variants with one word deleted. Lines
 with an equal variant meet; those that deleted the same place differ there alone (substitution),
 and a line that equals another's variant lacks one word (insertion). So in a group of equal keys
 nothing but the earliest line of each place, and of the lines themselves, is needed: no pairs are
-made, however many lines share a key. The pairs found (one for a line) are verified word by word.
+made, however many lines share a key. The pairs found (one for a line and key at most) are verified word
+by word before the earliest partner is taken.
 
 Before that, lines are narrowed down without loss: within one edit, two lines share their first or
 their last half. Only lines that share such a half with another line emit variants, and equal lines
@@ -40,15 +40,14 @@ from .substring_dedup import signed
 from .tables import Chunk, chunks, fresh, id_text, written
 from .words import BASE, Words, mix
 
-MIN_WORDS = 3
-NEAR_WORDS = 8
 #: Equal lines from one word on, one edit from where four fifths of a line stay the same.
-EVERY_LENGTH = {"least": 1, "near": 5}
+MIN_WORDS = 1
+NEAR_WORDS = 5
 CHUNK = 1 << 22
 _HALF = {"hash_bytes": 5}
-_VARIANT = {"hash_bytes": 8, "tag": np.dtype("u1"), "extra": True}
-#: Tag of a line that stands for itself; deleted places take the numbers below.
-WHOLE = 255
+_VARIANT = {"hash_bytes": 8, "tag": np.dtype("<u4"), "extra": True}
+#: Tag of a line that stands for itself; deleted places have their own numbers.
+WHOLE = (1 << 32) - 1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -115,7 +114,7 @@ class Lines:
         after = (self.sums[self.first[line] + self.words[line]] - self.sums[word + 1]) * _INVERSE
         cut = mix(before + after + mix((self.words[line] - 1).astype(np.uint64)))
         return (np.concatenate([every, line]), np.concatenate([own, cut]),
-                np.concatenate([np.full(len(every), WHOLE, np.uint8), (self.at[word] % WHOLE).astype(np.uint8)]))
+                np.concatenate([np.full(len(every), WHOLE, "<u4"), self.at[word].astype("<u4")]))
 
 
 def candidates(docs: DataFrame, least: int, near: int) -> DataFrame:
@@ -182,14 +181,12 @@ def _candidate_lines(docs: DataFrame, least: int, near: int) -> DataFrame:
 
 
 def neighbours(lines: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
-    """lines: id, doc_id, line_no, line, all different. Returns id and other: the id of an earlier
-    line that has a variant in common, the earliest one met (each line, once or not at all)."""
+    """lines: id, doc_id, line_no, line, all different. Returns id and other: a line and an earlier one that
+    has a variant in common, of each variant the earliest."""
     parts = partitions(lines)
-    result = "id long, other_doc long, other_no long, other long"
 
     def rows(x: dict[str, np.ndarray], late: np.ndarray, lead: np.ndarray) -> dict[str, pa.Array]:
-        return {"id": pa.array(x["extra"][late]), "other_doc": pa.array(x["doc"][lead]),
-                "other_no": pa.array(x["place"][lead]), "other": pa.array(x["extra"][lead])}
+        return {"id": pa.array(x["extra"][late]), "other": pa.array(x["extra"][lead])}
 
     def resolve(x: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(later entries, an earlier entry for each, the first entry of each key and tag)."""
@@ -240,9 +237,7 @@ def neighbours(lines: DataFrame, near: int = NEAR_WORDS) -> DataFrame:
         if len(late):
             yield pa.RecordBatch.from_pydict(rows(x, late, lead))
 
-    found = deal(lines.mapInArrow(emit, PACKED), parts, meet, result, **_VARIANT)
-    return found.groupBy("id").agg(F.min(F.struct("other_doc", "other_no", "other")).alias("m")).select(
-        "id", F.col("m.other").alias("other"))
+    return deal(lines.mapInArrow(emit, PACKED), parts, meet, "id long, other long", **_VARIANT).distinct()
 
 
 def within_one(a: bytes, b: bytes) -> bool:
@@ -256,7 +251,7 @@ def within_one(a: bytes, b: bytes) -> bool:
 
 
 def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """id, near_doc, near_no of the pairs whose lines are within the edit bound."""
+    """id, near_doc, near_no: of each line's partners that are within the edit bound the earliest."""
     a = lines.select("id", "line")
     b = lines.select(F.col("id").alias("other"), F.col("line").alias("other_line"), F.col("doc_id").alias("near_doc"),
                      F.col("line_no").alias("near_no"))
@@ -266,8 +261,10 @@ def _verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
             fine = [within_one(x, y) for x, y in zip(p.column("line").to_pylist(), p.column("other_line").to_pylist(), strict=True)]
             yield p.select(["id", "near_doc", "near_no"]).filter(pa.array(fine, pa.bool_()))
 
-    return (pairs.join(a, "id").join(b, "other").select("id", "near_doc", "near_no", "line", "other_line")
+    fine = (pairs.join(a, "id").join(b, "other").select("id", "near_doc", "near_no", "line", "other_line")
             .mapInArrow(check, "id long, near_doc long, near_no long"))
+    return (fine.groupBy("id").agg(F.min(F.struct("near_doc", "near_no")).alias("m"))
+            .select("id", F.col("m.near_doc").alias("near_doc"), F.col("m.near_no").alias("near_no")))
 
 
 def removed_lines(docs: DataFrame, *, least: int = MIN_WORDS, near: int = NEAR_WORDS) -> DataFrame:

@@ -68,7 +68,7 @@ def _one_edit(a, b):
     return len(a) == len(b) + 1 and any(a[:k] + a[k + 1:] == b for k in range(len(a)))
 
 
-def line_dedup(docs, least=3, near=8):
+def line_dedup(docs, least=1, near=5):
     """(doc_id, text) -> the numbers of its removed lines; all pairs of lines are compared."""
     def key(line):
         return tuple(words(line.translate(LETTERS)))

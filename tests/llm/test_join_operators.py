@@ -80,18 +80,38 @@ def test_lines_within_one_word_by_all_pairs(spark):
     assert _check_lines(spark.createDataFrame(rows, "doc_id long, text string"), rows) > 50
 
 
-def test_lines_of_every_length(spark, docs, rows, given):
-    few = [(1, "les.\nand ornd.\none two three four five"), (2, "LES.\nAnd  ornd.\none two three four six\nand"),
-           (3, "and\nles.\none two three five\none three four five\n\n"), (4, "les."), (None, "les.")]
-    for table, own in ((spark.createDataFrame(few, "doc_id long, text string"), few), (docs, rows), given):
-        want = brute.line_dedup(own, **line_dedup.EVERY_LENGTH)
-        left = [(i, len(want[i, t]), hashlib.sha256(brute.without(t or "", want[i, t]).encode()).hexdigest()) for i, t in own]
-        got = keyed(line_dedup.dedup(table, **line_dedup.EVERY_LENGTH), "doc_id", "n_removed", "kept_sha256")
-        assert got == sorted(left, key=repr)
-    kept = keyed(line_dedup.without_repeated_lines(spark.createDataFrame(few, "doc_id long, text string"), **line_dedup.EVERY_LENGTH), "doc_id", "text")
-    assert kept == [(1, few[0][1]), (2, "and"), (3, "one two three five\none three four five\n\n"), (None, "les.")]
-    want = brute.line_dedup(few, **line_dedup.EVERY_LENGTH)
-    assert [want[x] for x in few] == [[], [0, 1, 2], [0, 1], [0], []]
+def test_short_lines(spark):
+    rows = [(1, "les.\nand ornd.\none two three four five"), (2, "LES.\nAnd  ornd.\none two three four six\nand"),
+            (3, "and\nles.\none two three five\none three four five\n\n"), (4, "les."), (None, "les.")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    _check_lines(table, rows)
+    want = brute.line_dedup(rows)
+    assert [want[x] for x in rows] == [[], [0, 1, 2], [0, 1], [0], []]
+    kept = keyed(line_dedup.without_repeated_lines(table), "doc_id", "text")
+    assert kept == [(1, rows[0][1]), (2, "and"), (3, "one two three five\none three four five\n\n"), (None, "les.")]
+
+
+@pytest.mark.parametrize("least,near", [(3, 8), (2, 2)])
+def test_lines_with_other_bounds(spark, docs, rows, least, near):
+    want = brute.line_dedup(rows, least, near)
+    left = [(i, len(want[i, t]), hashlib.sha256(brute.without(t or "", want[i, t]).encode()).hexdigest()) for i, t in rows]
+    assert keyed(line_dedup.dedup(docs, least=least, near=near), "doc_id", "n_removed", "kept_sha256") == sorted(left, key=repr)
+
+
+@pytest.mark.parametrize("words,place", [(300, 256), (300, 257), (700, 511), (70_000, 65_537)])
+def test_long_lines_that_differ_far_behind(spark, words, place):
+    """Lines that have words in the same places modulo a power of two are told apart."""
+    line = [f"w{k % 97}x{k}" for k in range(words)]
+
+    def put(at, word):
+        return " ".join([*line[:at], word, *line[at:]])
+
+    rows = [(1, put(place, "x")), (2, put(2, "y")), (3, put(2, "z")), (4, put(place, "x"))]
+    want = {1: 0, 2: 0, 3: 1, 4: 1}
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in line_dedup.dedup(table).collect()} == want
+    if words < 1000:
+        _check_lines(table, rows)
 
 
 def test_documents_without_repeated_lines(docs, rows, none):
@@ -221,7 +241,7 @@ def test_decontamination_runs_no_python(spark, sf):
 # ------------------------------------------------------------------ the packed shuffle
 
 
-@pytest.mark.parametrize("hash_bytes,tag,extra", [(5, None, False), (8, np.dtype("u1"), True), (6, np.dtype("<u4"), True)])
+@pytest.mark.parametrize("hash_bytes,tag,extra", [(5, None, False), (8, np.dtype("u1"), True), (8, np.dtype("<u4"), True), (6, np.dtype("<u4"), True)])
 def test_packed_entries_come_back(hash_bytes, tag, extra):
     rng = np.random.default_rng(1)
     n, docs, parts = 5000, 60, 7
