@@ -2,8 +2,8 @@
 `run_checks` turns a list of specs into one report `(check, model, column, failures)`.
 
 All checks are single-pass filters, grouped aggregates (partial aggregation, so a hot value
-does not land whole in one task) or anti joins; the report computes all not-null counts of a
-model in one aggregate pass.
+does not land whole in one task) or anti joins; the report reads each base table once for all of
+its checks, and again only where values are suspect.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -83,77 +83,137 @@ def failing_rows(models: dict[str, DataFrame], c: Check) -> DataFrame:
 
 
 _ROW_LEVEL = ("not_null", "no_negative", "plausible_ts")
+FLOOR = "2000-01-01 00:00:00"
 
 
-def _row_condition(c: Check, column: str) -> Column:
-    col = F.col(column)
+def _bears(c: Check, column: str) -> str:
+    """SQL: whether a row bears on the check. Row-level checks: it fails."""
     if c.kind == "not_null":
-        return col.isNull()
+        return f"{column} IS NULL"
     if c.kind == "no_negative":
-        return col < 0
+        return f"{column} < 0"
     if c.kind == "plausible_ts":
-        return ((col > F.lit(str(c.args["as_of"])).cast("timestamp_ntz"))
-                | (col < F.lit(c.args.get("floor", "2000-01-01 00:00:00")).cast("timestamp_ntz")))
+        return f"({column} > TIMESTAMP_NTZ '{c.args['as_of']}' OR {column} < TIMESTAMP_NTZ '{c.args.get('floor', FLOOR)}')"
+    if c.kind == "accepted_values":
+        values = ", ".join("'" + v.replace("'", "''") + "'" for v in c.args["values"])
+        return f"{column} NOT IN ({values})"  # a null passes
+    if c.kind == "unique":
+        return f"{column} IS NOT NULL"
     raise ValueError(c.kind)
 
 
-def _stack(row: DataFrame, cs: list[Check], cols: list[str]) -> DataFrame:
-    """One-row frame of counts -> one report row per check."""
-    parts = ", ".join(f"'{c.kind}', '{c.model}', '{c.column}', {x}" for c, x in zip(cs, cols))
-    return row.selectExpr(f"stack({len(cs)}, {parts}) AS (`check`, model, `column`, failures)")
+def _row_failures(df: DataFrame, own: list[tuple[int, Check, str]]) -> DataFrame:
+    """(i, failures) of row-level checks: one aggregate of the base."""
+    row = df.selectExpr(*[f"count_if({_bears(c, col)}) AS c{i}" for i, c, col in own])
+    return row.selectExpr(f"stack({len(own)}, {', '.join(f'{i}, c{i}' for i, _, _ in own)}) AS (i, failures)")
+
+
+def _hashed(df: DataFrame, own: list[tuple[int, Check, str]], with_value: bool = False) -> DataFrame:
+    """(i, h) of each row and check by value that it bears on: the check's number and 64 bits of the value
+    (and `v`, the value)."""
+    items = ", ".join(f"{i}, if({_bears(c, col)}, xxhash64({i}, {col}), NULL)" + (f", CAST({col} AS STRING)" if with_value else "")
+                      for i, c, col in own)
+    return df.selectExpr(f"stack({len(own)}, {items}) AS (i, h{', v' if with_value else ''})").where("h IS NOT NULL")
+
+
+def _in(own: Iterable[int]) -> str:
+    return f"i IN ({', '.join(map(str, sorted(own)))})"
+
+
+def _suspects(models: dict[str, DataFrame], numbered: dict[str, list[tuple[int, Check, str]]]) -> DataFrame:
+    """Phase 1 of checks by value, one pass over each base: (i, h) of the hashes that stand for a value outside of the
+    list or that occur twice. 12 bytes a row and check are folded in the tasks and shuffled, no value; what
+    occurs once is gone after that."""
+    once = [i for own in numbered.values() for i, c, _ in own if c.kind == "unique"]
+    counted = (union_all([_hashed(models[base], own) for base, own in numbered.items()])
+               .groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")))
+    return counted.where(f"n > 1 OR NOT {_in(once)}" if once else "true").select("i", "h")
+
+
+def _offending(models: dict[str, DataFrame], numbered: dict[str, list[tuple[int, Check, str]]], found: set[int],
+               suspects: DataFrame) -> DataFrame:
+    """Phase 2, a pass over the bases that have suspects: (i, failures), the values themselves counted where
+    their hash is suspect, so that equal hashes of different values don't count."""
+    again = {base: [x for x in own if x[0] in found] for base, own in numbered.items()}
+    rows = union_all([_hashed(models[base], own, with_value=True) for base, own in again.items() if own])
+    counted = rows.join(suspects, ["i", "h"], "left_semi").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    unique = [i for own in again.values() for i, c, _ in own if c.kind == "unique"]
+    if unique:
+        counted = counted.where(f"n > 1 OR NOT {_in(unique)}")
+    return counted.groupBy("i").agg(F.count(F.lit(1)).alias("failures"))
+
+
+def _lost_keys(models: dict[str, DataFrame], checks: list[tuple[int, Check]], folded: dict[str, DataFrame]) -> DataFrame:
+    """(i, failures) of relationship checks: the children's keys, folded to counts in the tasks, of all
+    children of a parent together, against the parent's keys."""
+    by_parent: dict[tuple[str, str], list[tuple[int, Check]]] = {}
+    for i, c in checks:
+        by_parent.setdefault((c.args["to"], c.args["field"]), []).append((i, c))
+    out = []
+    for (parent, key), own in by_parent.items():
+        children = []
+        for i, c in own:
+            keys = folded.get(c.model)
+            if keys is None:
+                keys = models[c.model].groupBy(F.col(c.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+            children.append(keys.where("key IS NOT NULL").selectExpr(f"{i} AS i", "key", "n"))
+        lost = relationships(union_all(children), "key", models[parent], key)
+        out.append(lost.groupBy("i").agg(F.sum("n").alias("failures")))
+    return union_all(out)
 
 
 def run_checks(models: dict[str, DataFrame], checks: Iterable[Check],
-               same_rows: dict[str, tuple[str, dict[str, str]]] | None = None) -> DataFrame:
+               same_rows: dict[str, tuple[str, dict[str, str]]] | None = None,
+               folded: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row per check with its failure count (the rows of each test: failing rows, or
     offending distinct values for `unique` / `accepted_values`).
 
-    One pass per base model for all of its row-level and grouped checks: a row emits, for each check
-    that it bears on, the check's number and 128 bits of its value (none for row-level checks); they
-    are counted by (check, value) with a map-side fold, so a hot value is folded in the tasks and no
-    text is shuffled. `same_rows` maps a model to `(base model, renamed columns)` when it is a
-    projection of the base (same rows, same values), so e.g. raw-table and staging checks share one
-    scan. Relationship checks fold the child's keys before they meet the parent's.
+    Row-level checks are one aggregate of each base. Checks by value take two phases: the first leaves the
+    hashes of suspect values, a small table in the shared folder; the second reads only bases with suspects,
+    and counts only their values. A warehouse without duplicates has none.
+
+    `same_rows` maps a model to `(base model, renamed columns)` when it is a projection of the base (same
+    rows, same values), so e.g. raw-table and staging checks share one scan, and equal checks are computed
+    once. `folded` gives (key, n) of a model whose foreign keys are known already; other children are folded here.
     """
+    from ..session import scratch_path
+
     checks = list(checks)
     same_rows = same_rows or {}
-    by_base: dict[str, list[tuple[Check, str]]] = {}
-    parts: list[DataFrame] = []
+    number: dict[tuple, int] = {}
+    numbered: dict[str, list[tuple[int, Check, str]]] = {}
+    related: list[tuple[int, Check]] = []
+    slot: list[int] = []
     for c in checks:
-        if c.kind == "relationships":
-            keys = models[c.model].where(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("n"))
-            lost = relationships(keys, c.column, models[c.args["to"]], c.args["field"])
-            parts.append(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures")).select(
-                F.lit(c.kind).alias("check"), F.lit(c.model).alias("model"),
-                F.lit(c.column).alias("column"), F.col("failures")))
-        else:
-            base, renames = same_rows.get(c.model, (c.model, {}))
-            by_base.setdefault(base, []).append((c, renames.get(c.column, c.column)))
-    for base, cs in by_base.items():
-        # identical checks declared on several projections of one base are computed once
-        # and reported under each declaring model
-        number: dict[tuple, int] = {}
-        slot = [number.setdefault((c.kind, col, str(sorted(c.args.items()))), len(number)) for c, col in cs]
-        first = {i: x for x, i in reversed(list(zip(cs, slot, strict=True)))}
-        items, failing = [], []
-        for i in range(len(number)):
-            c, name = first[i]
-            col = F.col(name)
-            if c.kind in _ROW_LEVEL:
-                bears, a, b = _row_condition(c, name), F.lit(0).cast("long"), F.lit(0).cast("long")
-                count = F.col("n")
-            else:
-                bears, a, b = col.isNotNull(), F.xxhash64(col), F.xxhash64(F.lit(i), col)
-                if c.kind == "accepted_values":
-                    bears = bears & ~col.isin(*c.args["values"])
-                count = F.when(F.col("n") > 1, 1) if c.kind == "unique" else F.lit(1)
-            items.append(F.when(bears, F.struct(F.lit(i).alias("i"), a.alias("a"), b.alias("b"))))
-            failing.append(F.coalesce(F.sum(F.when(F.col("i") == i, count)), F.lit(0)).alias(f"c{i}"))
-        hits = models[base].select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("p"))
-        counted = hits.groupBy("p.i", "p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_stack(counted.agg(*failing), [c for c, _ in cs], [f"c{i}" for i in slot]))
-    out = union_all(parts)
-    return out.select("check", "model", "column", F.col("failures").cast("bigint").alias("failures"))
+        base, renames = (c.model, {}) if c.kind == "relationships" else same_rows.get(c.model, (c.model, {}))
+        column = renames.get(c.column, c.column)
+        key = (c.kind, base, column, str(sorted(c.args.items())))
+        new = key not in number
+        i = number.setdefault(key, len(number))
+        slot.append(i)
+        if new and c.kind == "relationships":
+            related.append((i, c))
+        elif new:
+            numbered.setdefault(base, []).append((i, c, column))
+    spark = next(iter(models.values())).sparkSession
+    results = []
+    by_row = {base: [x for x in own if x[1].kind in _ROW_LEVEL] for base, own in numbered.items()}
+    by_value = {base: [x for x in own if x[1].kind not in _ROW_LEVEL] for base, own in numbered.items()}
+    by_row, by_value = ({base: own for base, own in x.items() if own} for x in (by_row, by_value))
+    results += [_row_failures(models[base], own) for base, own in by_row.items()]
+    if by_value:
+        path = scratch_path(spark, "suspects")
+        _suspects(models, by_value).write.mode("overwrite").parquet(path)
+        suspects = spark.read.schema("i int, h long").parquet(path)
+        found = {r["i"] for r in suspects.select("i").distinct().collect()}  # numbers of checks
+        if found:
+            results.append(_offending(models, by_value, found, suspects))
+    if related:
+        results.append(_lost_keys(models, related, folded or {}))
+    names = ", ".join(f"({k}, {i}, '{c.kind}', '{c.model}', '{c.column}')" for k, (i, c) in enumerate(zip(slot, checks, strict=True)))
+    declared = spark.sql(f"SELECT * FROM VALUES {names} AS t(k, i, `check`, model, `column`)")
+    return declared.join(union_all(results), "i", "left").selectExpr(
+        "`check`", "model", "`column`", "CAST(coalesce(failures, 0) AS BIGINT) AS failures")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:
@@ -181,6 +241,13 @@ SAME_ROWS = {
 }
 
 
+# So are the facts, where no two repositories have the id that commits, issues and pull requests name.
+FACT_ROWS = {
+    "fct_commits": ("stg_github_commits", {}),
+    "fct_pull_requests": ("stg_github_pull_requests", {}),
+    "fct_issues": ("stg_github_issues", {}),
+}
+
 STATES = ("open", "closed")
 CATEGORY_VALUES = ("work", "personal", "learning", "meeting", "other")
 STATUS_VALUES = ("active", "stale", "inactive")

@@ -6,8 +6,10 @@ Catalyst prunes columns down to the Parquet scans. `publish` materialises marts.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.bindings import raw_tables
@@ -26,6 +28,10 @@ VIEW_MODELS = (
 )
 
 
+#: Models built at the same time (the source system's build runs as many).
+BUILD_THREADS = 4
+
+
 class Warehouse:
     def __init__(self, raw, project_days: int = 14):
         self.raw = raw
@@ -59,6 +65,8 @@ class Warehouse:
     @cached_property
     def commits_monthly(self): return M.commits_monthly(self.stg_commits)
     @cached_property
+    def repository_keys(self): return self.stg_repositories.select("source_id", "repository_key", "name")
+    @cached_property
     def int_calendar_activity(self): return M.int_calendar_activity(self.stg_calendar_events)
     @cached_property
     def meetings_daily(self): return M.meetings_daily(self.int_calendar_activity)
@@ -68,7 +76,7 @@ class Warehouse:
     def int_daily_activity(self): return M.int_daily_activity(self.commits_daily, self.meetings_daily)
     @cached_property
     def int_project_activity(self):
-        return M.int_project_activity(self.stg_repositories, self.commits_by_repository, self.project_days)
+        return M.int_project_activity(self.repository_keys, self.commits_by_repository, self.project_days)
 
     # marts
     @cached_property
@@ -76,13 +84,13 @@ class Warehouse:
     @cached_property
     def dim_repository(self): return M.dim_repository(self.stg_repositories)
     @cached_property
-    def fct_commits(self): return M.fct_commits(self.stg_commits, self.stg_repositories)
+    def fct_commits(self): return M.fct_commits(self.stg_commits, self.repository_keys)
     @cached_property
     def fct_calendar_events(self): return M.fct_calendar_events(self.stg_calendar_events)
     @cached_property
-    def fct_pull_requests(self): return M.fct_pull_requests(self.stg_pull_requests, self.stg_repositories)
+    def fct_pull_requests(self): return M.fct_pull_requests(self.stg_pull_requests, self.repository_keys)
     @cached_property
-    def fct_issues(self): return M.fct_issues(self.stg_issues, self.stg_repositories)
+    def fct_issues(self): return M.fct_issues(self.stg_issues, self.repository_keys)
     @cached_property
     def fct_email_messages(self): return M.fct_email_messages(self.stg_emails)
     @cached_property
@@ -94,7 +102,7 @@ class Warehouse:
     @cached_property
     def mart_monthly_summary(self):
         return M.mart_monthly_summary(
-            M.monthly_commits(self.commits_monthly, self.stg_repositories),
+            M.monthly_commits(self.commits_monthly, self.repository_keys),
             M.monthly_meetings(self.int_calendar_activity),
             M.monthly_active_days(self.mart_daily_activity))
 
@@ -105,22 +113,35 @@ class Warehouse:
     # has days (times categories). Written once to the shared checkpoint folder, they cut lineage
     # and each fact is scanned once for them.
     SHARED = ("commits_daily", "int_calendar_activity")
+    # What the repository dimension is joined by, and commits folded to its grain: dimension-sized.
+    BY_REPOSITORY = ("repository_keys", "commits_by_repository")
 
     def materialize(self, *names: str) -> "Warehouse":
         """Replace the named models by Parquet tables written under `spark.checkpoint.dir`
         (columnar, with real sizes for the planner; lineage ends at the written table)."""
         from ..session import scratch_path
 
-        for name in names or self.SHARED:
-            df = getattr(self, name)
-            path = scratch_path(df.sparkSession, name)
-            df.write.mode("overwrite").parquet(path)
-            self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+        names = names or self.SHARED
+        frames = {name: getattr(self, name) for name in names}
+        paths = {name: scratch_path(df.sparkSession, name) for name, df in frames.items()}
+
+        def write(name: str) -> None:
+            frames[name].write.mode("overwrite").parquet(paths[name])
+
+        # models that don't need one another are built at the same time, a few at once
+        with ThreadPoolExecutor(BUILD_THREADS) as pool:
+            list(pool.map(inheritable_thread_target(write), names))
+        for name in names:
+            df = frames[name]
+            self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(paths[name])
             for dep in self._DEPENDENTS.get(name, ()):
                 self.__dict__.pop(dep, None)
         return self
 
     _DEPENDENTS = {
+        "repository_keys": ("int_project_activity", "mart_project_activity", "fct_commits", "fct_pull_requests",
+                            "fct_issues", "mart_monthly_summary"),
+        "commits_by_repository": ("int_project_activity", "mart_project_activity"),
         "commits_daily": ("int_daily_activity", "dim_date", "mart_daily_activity", "mart_monthly_summary"),
         "int_calendar_activity": ("meetings_daily", "int_daily_activity", "dim_date",
                                   "mart_daily_activity", "mart_monthly_summary"),

@@ -16,6 +16,7 @@ from .operators import quality as Q
 from .operators import runs as E
 from .operators import upsert as U
 from .plans import marts as M
+from .plans.build import Warehouse
 from .queries import register, wh
 from .sources import bindings as B
 
@@ -386,4 +387,14 @@ def dq_plausible_ts(spark, sf):
 
 @register("dq_report", W("\nUNION ALL\n".join(check_sql(c) for c in Q.declared_checks(DQ_AS_OF))))
 def dq_report(spark, sf):
-    return Q.run_checks(_dq_models(spark, sf), Q.declared_checks(DQ_AS_OF), Q.SAME_ROWS)
+    """L7. What the marts share is written first; facts share their staging table's scan if the repository
+    table's join key is unique, else they are joined and read for themselves."""
+    w = wh(spark, sf).materialize(*Warehouse.SHARED, *Warehouse.BY_REPOSITORY)
+    one_each = Q.unique(w.repository_keys, "source_id").isEmpty()
+    folds = {"fct_commits": w.commits_by_repository.select("repository_source_id", "n")}
+    for name, stg in (("fct_pull_requests", w.stg_pull_requests), ("fct_issues", w.stg_issues)):
+        folds[name] = stg.groupBy("repository_source_id").agg(F.count(F.lit(1)).alias("n"))
+    folded = {k: M.resolve_fk(x, w.repository_keys, "repository_source_id", "source_id", "repository_key").select(
+        F.col("repository_key").alias("key"), "n") for k, x in folds.items()}
+    same = Q.SAME_ROWS | (Q.FACT_ROWS if one_each else {})
+    return Q.run_checks(_dq_models(spark, sf, w), Q.declared_checks(DQ_AS_OF), same, folded)
