@@ -5,12 +5,13 @@ text: ISO-8601 for timestamps (Python `isoformat` of a UTC instant), epoch milli
 plays. Cursors are always parsed before comparing, never compared as strings.
 
 The cursor table has one row per entity (e.g. per repository), so it grows with the data:
-no broadcast hint; the planner broadcasts it only under its size threshold (static sizes,
+of it only a row for each band of cursors comes to the driver. No broadcast hint; the planner broadcasts it only under its size threshold (static sizes,
 then AQE's measured ones), otherwise a shuffle join where AQE splits a hot entity.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -68,18 +69,63 @@ def select_since(
 ) -> DataFrame:
     """Rows at or after the entity's cursor, else at or after `default_since`.
 
-    The least of all bounds is a scalar subquery that filters the table itself, so files and row
-    groups before it aren't read; the entity's own bound is applied after the join. `full` drops
-    the bound (per-entity sources re-read everything).
+    Entities are put in bands by the age of their cursor (`BAND_DAYS` behind the newest one). A band is one
+    read of the table from its oldest cursor on, a literal bound that reaches the scan, joined with the
+    band's entities alone; so an entity that has been idle for a year widens its own band's read, not the
+    others'. A band of few entities also names them to the scan. Entities without a cursor (or with one that
+    can't be read, and rows without an entity) are read from `default_since` on. Rows of different bands are
+    disjoint, so the bands are a union. `full` drops the bound (per-entity sources re-read everything).
     """
     if full:
         return df
     cur = get_cursors(state, connector).select(
-        F.col("entity_key").alias("__entity"), cursor_time("last_cursor", kind).alias("__since"))
-    least = cur.agg(F.least(F.min("__since"), _ts(default_since)).alias("s")).scalar()
-    j = df.where(F.col(ts_col) >= least).join(cur, df[entity_col] == cur["__entity"], "left")
-    bound = F.coalesce(F.col("__since"), _ts(default_since))
-    return j.where(F.col(ts_col) >= bound).drop("__entity", "__since")
+        F.col("entity_key").alias("__entity"), cursor_time("last_cursor", kind).alias("__since")).where("__since IS NOT NULL")
+    entity = df[entity_col].cast("string")
+    rest = df.where(F.col(ts_col) >= _ts(default_since))
+    parts = [rest.join(cur.select("__entity"), entity == F.col("__entity"), "left_anti")]
+    newest = cur.agg(F.max("__since").alias("s")).scalar()
+    banded = cur.withColumn("__band", cursor_band(F.col("__since"), newest))
+    for band in cursor_bands(banded):
+        own = banded.where(F.col("__band") == band.number).select("__entity", "__since")
+        rows = df.where(F.col(ts_col) >= _ts(band.since))
+        if band.entities is not None:
+            rows = rows.where(entity.isin(band.entities))
+        met = rows.join(own, entity == F.col("__entity")).where(F.col(ts_col) >= F.col("__since"))
+        parts.append(met.select(*df.columns))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+#: Ages behind the newest cursor at which a band ends; what is older is the last band.
+BAND_DAYS = (1, 7, 30, 180)
+#: A band of so many entities or fewer names them to the scan.
+NAMED_ENTITIES = 200
+
+
+@dataclass(frozen=True)
+class Band:
+    number: int
+    since: str                    # its oldest cursor
+    entities: list[str] | None    # if they are few
+
+
+def cursor_band(since: Column, newest: Column) -> Column:
+    """Number of a cursor's band: how many of BAND_DAYS it is behind the newest."""
+    return sum((F.when(since < newest - F.expr(f"INTERVAL {d} DAYS"), 1).otherwise(0) for d in BAND_DAYS), F.lit(0))
+
+
+def cursor_bands(banded: DataFrame) -> list[Band]:
+    """The bands that have entities: a row for each, and the entities of those that have few."""
+    found = banded.groupBy("__band").agg(F.min("__since").cast("string").alias("since"), F.count(F.lit(1)).alias("n")).collect()
+    few = [r["__band"] for r in found if r["n"] <= NAMED_ENTITIES]
+    named: dict[int, list[str]] = {k: [] for k in few}
+    if few:
+        for r in banded.where(F.col("__band").isin(few)).select("__band", "__entity").collect():
+            named[r["__band"]].append(r["__entity"])
+    return [Band(r["__band"], r["since"], sorted(named[r["__band"]]) if r["__band"] in named else None)
+            for r in sorted(found, key=lambda r: r["__band"])]
 
 
 def new_cursors(batch: DataFrame, entity_col: str, ts_col: str, kind: str = "iso") -> DataFrame:

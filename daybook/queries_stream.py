@@ -84,19 +84,51 @@ def stream_run_audit(spark, sf):
         "records_fetched", "records_inserted", "records_updated", "records_failed")])
 
 
-@register("stream_dedup", """
-    SELECT event_id, ts, user_id, event_type FROM events""")
+#: Watermark of the dedup, and the events that land in a second delivery, after the others.
+DEDUP_DELAY_DAYS = 10
+_SECOND = "event_id % 10 = 3"
+_LATE_SQL = f"""
+    SELECT event_id, ts, user_id, event_type, {_SECOND} AND ts <= (
+               SELECT date_trunc('millisecond', max(ts)) - INTERVAL {DEDUP_DELAY_DAYS} DAY FROM events WHERE NOT {_SECOND}) AS late
+    FROM events"""
+
+
+def _dedup_runs(spark, sf) -> tuple[str, str, str]:
+    """Events land in two deliveries, the second one a month's worth of stragglers with everything again;
+    after each the stream is drained. Returns the folders of the output, the late rows and the audit."""
+    landing, out, late, audit, ckpt = (scratch_path(spark, x) for x in ("landing-events", "dedup-out", "dedup-late", "dedup-audit", "ckpt"))
+    ev = B.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    for run, part in (("first", ev.where(f"NOT {_SECOND}")), ("second", ev)):
+        part.write.parquet(f"{landing}/delivery={run}")
+        s = (spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true")
+             .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(landing))
+        dropped = S.run_to_parquet(S.stream_dedup(s, ["event_id"], "ts", f"{DEDUP_DELAY_DAYS} days"), out, ckpt)
+        landed = spark.read.schema(ev.schema).option("recursiveFileLookup", "true").parquet(landing)
+        S.keep_late(spark, landed, out, late, ["event_id"], run, dropped, audit)
+    return out, late, audit
+
+
+@register("stream_dedup", _LATE_SQL)
 def stream_dedup(spark, sf):
-    """M2: events landed twice; the watermark dedup lets each event through once."""
-    landing = scratch_path(spark, "landing-events")
-    schema = _land_events(spark, sf, landing, copies=2)
-    s = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-         .option("maxFilesPerTrigger", FILES_PER_TRIGGER).parquet(landing)
-         .select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type"))
-    out = scratch_path(spark, "dedup-out")
-    S.run_to_parquet(S.stream_dedup(s, ["event_id"], "ts", WATERMARK_DELAY), out, scratch_path(spark, "ckpt"))
-    return spark.read.parquet(out).select(
-        "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
+    """M2: events delivered again pass the watermark dedup once; stragglers behind the watermark are in the
+    late table."""
+    out, late, _ = _dedup_runs(spark, sf)
+    schema = spark.read.parquet(out).schema
+    both = spark.read.schema(schema).parquet(out).withColumn("late", F.lit(False)).unionByName(
+        spark.read.schema(schema).parquet(late).withColumn("late", F.lit(True)))
+    return both.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "late")
+
+
+@register("stream_late_audit", f"""
+    WITH e AS ({_LATE_SQL})
+    SELECT 'first' AS run, CAST(count(*) FILTER (WHERE NOT {_SECOND}) AS BIGINT) AS records_landed,
+           CAST(count(*) FILTER (WHERE NOT {_SECOND}) AS BIGINT) AS records_passed, CAST(0 AS BIGINT) AS records_late FROM e
+    UNION ALL
+    SELECT 'second', count(*) + count(*) FILTER (WHERE NOT {_SECOND}), count(*) FILTER (WHERE NOT late), count(*) FILTER (WHERE late) FROM e""")
+def stream_late_audit(spark, sf):
+    """M2 + M4: the audit of the dedup's two runs: what had landed, what has passed, what was late."""
+    _, _, audit = _dedup_runs(spark, sf)
+    return S.read_late_audit(spark, audit).drop("rows_dropped")
 
 
 DAILY_SCHEMA = T.StructType([T.StructField("activity_date", T.DateType()),

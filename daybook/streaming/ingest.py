@@ -12,10 +12,12 @@ Checkpoints and outputs live under the shared folder named by `spark.checkpoint.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators import load
 from ..operators import upsert as U
@@ -96,8 +98,8 @@ def read_audit(spark: SparkSession, audit_root: str) -> DataFrame:
 
 def stream_dedup(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """M2: drop re-read records by natural key within the watermark delay. The event time
-    must be TIMESTAMP (not NTZ) for a watermark; the delay must exceed the disorder between
-    files, else late rows are dropped."""
+    must be TIMESTAMP (not NTZ) for a watermark. Rows more than the delay behind the newest one are
+    dropped here; `keep_late` brings them into the late table."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -110,12 +112,76 @@ def stream_daily(stream: DataFrame, ts: str, delay: str, purchase_type: str = "p
                  F.count(F.when(F.col("event_type") == purchase_type, 1)).alias("purchases")))
 
 
-def run_to_parquet(df: DataFrame, out: str, checkpoint: str) -> None:
-    """Append-mode sink of a streaming frame to Parquet, draining what has landed."""
-    q = (df.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+def run_to_parquet(df: DataFrame, out: str, checkpoint: str) -> int:
+    """Append-mode sink of a streaming frame to Parquet, draining what has landed. Returns how many rows its
+    stateful operators dropped as late, as the progress of its batches says."""
+    with _Dropped(df.sparkSession) as late:
+        q = (df.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return late.of(q)
+
+
+class _Dropped(StreamingQueryListener):
+    """Rows that stateful operators dropped behind the watermark, by query run (all batches, however many)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows, self.ended = spark, {}, {}
+
+    def __enter__(self) -> _Dropped:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.spark.streams.removeListener(self)
+
+    def of(self, q: StreamingQuery) -> int:
+        """The rows of a query that has ended; its events come on a thread of their own."""
+        self.ended.setdefault(str(q.runId), Event()).wait(60)
+        return self.rows.get(str(q.runId), 0)
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.setdefault(str(event.runId), Event())
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        late = sum(o.numRowsDroppedByWatermark for o in event.progress.stateOperators)
+        self.rows[run] = self.rows.get(run, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.setdefault(str(event.runId), Event()).set()
+
+
+LATE_AUDIT = T.StructType([
+    T.StructField("run", T.StringType()), T.StructField("records_landed", T.LongType()),
+    T.StructField("records_passed", T.LongType()), T.StructField("records_late", T.LongType()),
+    T.StructField("rows_dropped", T.LongType())])
+
+
+def keep_late(spark: SparkSession, landed: DataFrame, out: str, late: str, keys: Sequence[str], run: str, dropped: int,
+              audit: str) -> None:
+    """What the watermark dropped isn't lost: records that have landed but are neither in the output nor in the
+    late table are added to the late table (one a key), and counted in the audit row of the run. `dropped`
+    also counts re-deliveries of records that had passed before."""
+    keys = list(keys)
+    passed = spark.read.schema(landed.schema).parquet(out)
+    known = passed.select(*keys)
+    if storage.exists(spark, late):
+        known = known.unionByName(spark.read.schema(landed.schema).parquet(late).select(*keys))
+    lost = landed.join(known, keys, "left_anti").dropDuplicates(keys)
+    lost.write.mode("append").parquet(late)
+    n_late = spark.read.schema(landed.schema).parquet(late).count()
+    row = spark.createDataFrame([(run, landed.count(), passed.count(), n_late, dropped)], LATE_AUDIT)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{audit.rstrip('/')}/run={run}")
+
+
+def read_late_audit(spark: SparkSession, audit: str) -> DataFrame:
+    """Totals after each run (rows dropped: in that run)."""
+    return spark.read.schema(LATE_AUDIT).option("recursiveFileLookup", "true").parquet(audit)
 
 
 def run_update_upsert(df: DataFrame, keys: Sequence[str], root: str, table: str,
