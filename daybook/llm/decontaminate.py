@@ -6,14 +6,18 @@ A hit fixes how the two texts lie on each other. On that alignment the best stre
 for (a match scores 1, a substituted word `MISMATCH`), and the document is contaminated if the
 stretch has enough equal words: `MIN_MATCHED`, or `SHORT_SHARE` of a shorter benchmark text.
 
+No mask fits in an item of fewer words than the shortest one has places. Its seed is its whole word
+sequence, so it is found where a document holds it unchanged; items of fewer than `SHORT_WORDS`
+words are no passages (their words stand in any text) and aren't looked for.
+
 The benchmark's seeds are broadcast in blocks of at most `BLOCK_SEEDS` rows: their number is
 counted first, and a larger benchmark takes more blocks, each one a pass over the documents. A
 block takes its seeds from all items, so a long item is spread over the blocks.
 Documents are hashed and probed in one stage and never shuffled; only hits are.
 
 Words are runs of letters and digits, lower-cased. Nulls: a null text has no words, a null id is
-carried along, a benchmark row's too; a benchmark row with a null text or fewer words than the
-shortest mask can't be found. Rows that repeat an id give one row per benchmark item, and their own
+carried along, a benchmark row's too; a benchmark row with a null text or fewer words than
+`SHORT_WORDS` is never found. Rows that repeat an id give one row per benchmark item, and their own
 texts are told apart, in the benchmark as well. Empty tables give an empty result.
 """
 
@@ -31,6 +35,7 @@ BLOCK_SEEDS = 1_000_000
 MISMATCH = -2
 MIN_MATCHED = 12
 SHORT_SHARE = 0.8
+SHORT_WORDS = 4
 
 
 def words(text: Column) -> Column:
@@ -47,15 +52,27 @@ def seeds(w: str, at: str, masks: tuple[str, ...] = MASKS) -> Column:
     return F.array(*each)
 
 
+def whole(w: str, at: str, lengths: list[int]) -> Column:
+    """The hashes of the sequences of the given lengths that start at a position."""
+    each = [F.when(F.size(w) - F.col(at) >= n, F.xxhash64(F.lit(-n), *[F.get(F.col(w), F.col(at) + i) for i in range(n)])) for n in lengths]
+    return F.array(*each)
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """item_key (of the id and the text), item_id, iw of the different items."""
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     return b.select(F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("item_key"), "item_id", words(F.col("text")).alias("iw"))
 
 
-def _benchmark_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+def _benchmark_seeds(items: DataFrame, masks: tuple[str, ...], lengths: list[int]) -> DataFrame:
+    """Those of the masks, and of an item that no mask fits in the whole word sequence."""
     at = items.select("item_key", "iw", F.posexplode("iw").alias("item_at", "_w"))
-    return (at.select("item_key", F.size("iw").alias("item_words"), "item_at", F.explode(seeds("iw", "item_at", masks)).alias("seed"))
+    n = F.size("iw")
+    own = seeds("iw", "item_at", masks)
+    if lengths:
+        own = F.when(n.isin(lengths), F.when(F.col("item_at") == 0, F.filter(
+            whole("iw", "item_at", lengths), lambda _, k: F.element_at(F.array(*map(F.lit, lengths)), (k + 1).cast("int")) == n))).otherwise(own)
+    return (at.select("item_key", n.alias("item_words"), "item_at", F.explode(own).alias("seed"))
             .where("seed is not null").distinct())
 
 
@@ -81,15 +98,19 @@ def _best_stretch(match: Column) -> Column:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, *, masks: tuple[str, ...] = MASKS, min_matched: int = MIN_MATCHED,
-             short_share: float = SHORT_SHARE, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+             short_share: float = SHORT_SHARE, short_words: int = SHORT_WORDS, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
     """doc_id, text_hash, item_id, matched, overlap_words, doc_start, item_start of the best
     overlap of every contaminated document with each benchmark text."""
     probe = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
                         words(F.col("text").cast("string")).alias("w"))
     probe = probe.select("doc_id", "text_hash", "w", F.posexplode("w").alias("at", "_w"))
-    probe = probe.select("doc_id", "text_hash", "w", "at", F.explode(seeds("w", "at", masks)).alias("seed"))
     items = _items(benchmark)
-    known = _benchmark_seeds(items, masks)
+    n = F.size("iw")
+    # a few numbers below the shortest mask
+    lengths = sorted(r["n"] for r in items.select(n.alias("n")).where((n >= short_words) & (n < min(map(len, masks)))).distinct().collect())
+    probes = F.concat(seeds("w", "at", masks), whole("w", "at", lengths)) if lengths else seeds("w", "at", masks)
+    probe = probe.select("doc_id", "text_hash", "w", "at", F.explode(probes).alias("seed"))
+    known = _benchmark_seeds(items, masks, lengths)
     blocks = max(1, -(-known.count() // block_seeds))
     found = []
     for k in range(blocks):

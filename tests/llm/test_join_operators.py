@@ -182,18 +182,19 @@ def test_components_of_a_chain_and_a_star(spark):
 
 def test_planted_passages(spark, docs, rows, none):
     rng = random.Random(4)
-    items = [" ".join(f"q{rng.randint(0, 10**6)}" for _ in range(n)) for n in (40, 25, 16, 9, 5)]
+    items = [" ".join(f"q{rng.randint(0, 10**6)}" for _ in range(n)) for n in (40, 25, 16, 9, 5, 4, 3)]
 
     def change(text, every):
         return " ".join("changed" if k % every == every - 1 else w for k, w in enumerate(text.split()))
 
     more = [(500, "before it " + items[0].upper() + ", after it"), (501, change(items[0], 7)), (502, items[1]), (503, change(items[1], 8)),
             (504, "x " + items[2] + " y"), (505, "x, " + items[3] + ". y"), (506, " ".join(items[0].split()[5:25])),
-            (507, " ".join(items[0].split()[:8])), (508, items[4]), (None, items[1] + " tail"), (509, items[2] + " " + items[1])]
+            (507, " ".join(items[0].split()[:8])), (508, items[4]), (None, items[1] + " tail"), (509, items[2] + " " + items[1]),
+            (510, f"so {items[5]}, and {items[6]}."), (511, " ".join(items[4].split()[:4]) + " changed"), (512, items[6])]
     table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
     benchmark = spark.createDataFrame([*enumerate(items), (90, None), (91, "")], "item_id long, text string")
     got = decontaminate.overlaps(table, benchmark)
-    want = {(500, 0), (501, 0), (502, 1), (503, 1), (504, 2), (505, 3), (506, 0), (None, 1), (509, 1), (509, 2)}
+    want = {(500, 0), (501, 0), (502, 1), (503, 1), (504, 2), (505, 3), (506, 0), (None, 1), (509, 1), (509, 2), (508, 4), (510, 5)}
     assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
     blocks = decontaminate.overlaps(table, benchmark, block_seeds=40)
     cols = ("doc_id", "item_id", "matched", "overlap_words", "doc_start", "item_start")
@@ -202,7 +203,7 @@ def test_planted_passages(spark, docs, rows, none):
     assert (whole[500]["matched"], whole[500]["overlap_words"], whole[500]["doc_start"], whole[500]["item_start"]) == (40, 40, 2, 0)
     assert whole[506]["item_start"] == 5 and whole[501]["matched"] == 35
     kept = decontaminate.decontaminated(table, benchmark)
-    assert keyed(kept, "doc_id", "text") == sorted([*rows, (507, more[7][1]), (508, items[4])], key=repr)
+    assert keyed(kept, "doc_id", "text") == sorted([*rows, (507, more[7][1]), more[-2], more[-1]], key=repr)
     assert decontaminate.overlaps(none, benchmark).collect() == [] and decontaminate.overlaps(table, none.select(F.col("doc_id").alias("item_id"), "text")).collect() == []
 
 
