@@ -1,9 +1,9 @@
 """Operator 1: token counts by a map-side two-tier lookup of pre-token lengths.
 
 Tier one is a broadcast hash table: the token counts of the most frequent pre-tokens of a
-bounded sample (`SAMPLE_ROWS` documents, `TABLE_SIZE` entries). Tier two is a cache in each
+bounded sample (about `SAMPLE_ROWS` documents from all partitions, `TABLE_SIZE` entries). Tier two is a cache in each
 Python worker: a miss is encoded by the library and remembered (at most `CACHE_SIZE` entries,
-the older half then goes). No pre-token is ever shuffled; both tiers only save work, the counts are
+the older half then goes). No pre-token is shuffled but the sample's sums; both tiers only save work, the counts are
 the library's for every text.
 
 A pre-token here is a space-led piece of the text: the piece after each single space, with that
@@ -19,6 +19,7 @@ rows are counted each for itself. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -77,37 +78,40 @@ class PieceCounts(TwoGenerations):
 _CACHES: dict = {}
 
 
-def _counts(path: str | None, frequent: dict[str, int], limit: int) -> PieceCounts:
-    """This worker's counts (kept from task to task)."""
-    if (path, limit) not in _CACHES:
-        _CACHES[path, limit] = PieceCounts(frequent, load(path, BYTE_BPE), limit)
-    return _CACHES[path, limit]
+def _counts(path: str | None, frequent: dict[str, int], limit: int, table: int) -> PieceCounts:
+    """This worker's counts of a frequent table (kept from task to task, until another table comes)."""
+    key = (path, limit, table)
+    if key not in _CACHES:
+        _CACHES.clear()
+        _CACHES[key] = PieceCounts(frequent, load(path, BYTE_BPE), limit)
+    return _CACHES[key]
 
 
 def frequent_pieces(docs: DataFrame, path: str | None, sample_rows: int, size: int) -> dict[str, int]:
-    """Token counts of the most frequent pieces of a bounded sample: the first rows of a partition,
-    counted in its task. Spark runs further partitions only if the first yield fewer than `size`."""
+    """Token counts of the most frequent pieces of about `sample_rows` rows from all partitions, chosen by
+    a hash of the id and the text's length. Tasks count their rows' pieces; the sums of this sample are all
+    that is shuffled. A task keeps and hands on its `4 * size` most frequent pieces."""
+    n = docs.count()
+    place = F.pmod(F.xxhash64(F.lit("frequent"), "doc_id", F.octet_length("text")), F.lit(1_000_000_007)) / 1_000_000_007.0
+    sample = docs if n <= sample_rows else docs.where(place < sample_rows / n)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
-        left = sample_rows
         for b in batches:
-            for c in chunks(b.column(0).slice(0, left)):
+            for c in chunks(b.column(0)):
                 for i in range(c.n):
                     seen.update(pieces(c.raw(i).decode()) or ())
                 if len(seen) > 8 * size:  # rare pieces are the ones that misses may encode
                     seen = Counter(dict(seen.most_common(4 * size)))
-            left -= b.num_rows
-            if left <= 0:
-                break
-        best = [x for x, _ in seen.most_common(size)]
-        counts = PieceCounts({}, load(path, BYTE_BPE))
-        counts.learn(set(best))
-        yield pa.RecordBatch.from_pydict({"piece": pa.array(best, pa.string()),
-                                          "n": pa.array([counts[x] for x in best], pa.int32())})
+        best = seen.most_common(4 * size)
+        yield pa.RecordBatch.from_pydict({"piece": pa.array([x for x, _ in best], pa.string()),
+                                          "times": pa.array([k for _, k in best], pa.int64())})
 
-    rows = docs.select("text").mapInArrow(count, "piece string, n int")
-    return {r["piece"]: r["n"] for r in rows.limit(size).collect()}
+    total = sample.select("text").mapInArrow(count, "piece string, times long").groupBy("piece").agg(F.sum("times").alias("times"))
+    best = [r["piece"] for r in total.orderBy(F.desc("times"), "piece").limit(size).collect()]
+    counts = PieceCounts({}, load(path, BYTE_BPE))
+    counts.learn(set(best))
+    return {x: counts[x] for x in best}
 
 
 def count_tokens(docs: DataFrame, *, max_tokens: int = 1024, tokenizer_path: str | None = None,
@@ -115,11 +119,11 @@ def count_tokens(docs: DataFrame, *, max_tokens: int = 1024, tokenizer_path: str
                  cache_size: int = CACHE_SIZE) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > max_tokens) of every text."""
     docs = id_text(docs)
-    table = docs.sparkSession.sparkContext.broadcast(
-        frequent_pieces(docs, tokenizer_path, sample_rows, table_size))
+    frequent = frequent_pieces(docs, tokenizer_path, sample_rows, table_size)
+    table, number = docs.sparkSession.sparkContext.broadcast(frequent), zlib.crc32(repr(frequent).encode())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _counts(tokenizer_path, table.value, cache_size)
+        counts = _counts(tokenizer_path, table.value, cache_size, number)
         for b in batches:
             ids = b.column("doc_id")
             for c in chunks(b.column("text")):
