@@ -1,6 +1,7 @@
 """Operators that judge each text alone, against the libraries and plain versions."""
 
 import hashlib
+import random
 import struct
 import zlib
 from collections import Counter
@@ -8,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from daybook.llm import language_id, packing, repetition, secret_scan, token_counts, toxicity
 from daybook.llm.tables import chunks
@@ -218,12 +220,72 @@ def test_held_out_accuracy(spark, sf):
 
 def test_toxic_clauses():
     x = toxicity.Lexicon({"lowei-": 4.0})
-    r = toxicity.Reader(x)
-    plain = r.features("an idiot came by")[0]
-    assert r.features("you are an idiot")[0] > plain > r.features("not an idiot at all")[0] > 0
-    assert r.features("he said an idiot came")[0] < r.features("he had an idiot come")[0]
+    r, model = toxicity.Reader(x), toxicity.Model(x)
+    score = lambda text: model.score(*r.features(text))
+    assert score("you are an idiot") > score("an idiot came by") > score("not an idiot at all") > score("nobody came")
+    assert score("you are an idiot") > score("you are not an idiot") and score("he said you are an idiot") < score("he had you as an idiot")
+    assert score("an idiot, said you") > score("an idiot came") and score("you went. an idiot came") == score("an idiot came")
     assert r.features("i will kill you")[0] > 0 and r.features("i will kill time")[0] == 0 and r.features("we kill you")[0] == 0
-    assert r.features("das loweischaft da")[0] == 4.0 and r.features("")[0] == 0.0 and r.features("a. b! c")[1] == 0.0
+    assert r.features("das loweischaft da") == (0.0, 0.0, 4.0) and r.features("") == r.features("a. b! c") == (0.0, 0.0, 0.0)
+
+
+def test_frequent_pieces_come_from_all_partitions(spark):
+    rows = [(k, " ".join([f"word{'abcdefgh'[k // 100]}"] * 30)) for k in range(800)]
+    table = token_counts.frequent_pieces(spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id"), None, 200, 50)
+    tok = load(None, BYTE_BPE)
+    assert {f" word{x}" for x in "abcdefgh"} <= set(table)
+    assert all(n == len(tok.encode(x, add_special_tokens=False).ids) for x, n in table.items())
+    assert token_counts.frequent_pieces(spark.createDataFrame([], "doc_id long, text string"), None, 200, 50) == {}
+
+
+def test_transducers_compose():
+    """The composed table writes what its parts write one after the other, over random clauses."""
+    rng = random.Random(11)
+    parts = [toxicity.BEHIND, toxicity.THREATENING, toxicity.NEGATING, toxicity.REPORTING]
+
+    def run(table, tape):
+        state, out = 0, []
+        for s, weight in tape:
+            state, written, factor = table[state, s]
+            out.append((written, weight * factor))
+        return out
+
+    for _ in range(300):
+        tape = [(rng.choice([*range(7), toxicity.AIMED, toxicity.AIMED_HARM]), 1.0) for _ in range(rng.randint(0, 25))]
+        step = tape
+        for table in parts:
+            step = run(table, step)
+        whole = run(toxicity.ONWARD, tape)
+        assert [s for s, _ in whole] == [s for s, _ in step] and [w for _, w in whole] == pytest.approx([w for _, w in step])
+
+
+def test_stems_need_several_words():
+    learned = toxicity.supported({"pathetic": 5.0, "path-": 4.0, "zorgle": 3.0, "zorgles": 3.0, "zorgling": 3.0, "zorg-": 2.5})
+    assert set(learned) == {"pathetic", "zorgle", "zorgles", "zorgling", "zorg-"}
+    r, model = toxicity.Reader(toxicity.Lexicon(learned)), toxicity.Model(toxicity.Lexicon(learned))
+    assert model.score(*r.features("The pathway along the river is open.")) == model.score(0, 0, 0) < 0.5
+
+
+def test_toxicity_on_held_out_labels(spark):
+    """Accuracy on the given labels' held-out fold; a neutral sentence stays clean."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    held = labels.where(language_id.fold_of(F.col("doc_id"), 5) == 0)
+    rows = toxicity.score(docs.join(held.select("doc_id"), "doc_id"), model).join(held, "doc_id").select("score", "toxic").collect()
+    hit = sum(r["score"] >= 0.5 and r["toxic"] == 1 for r in rows)
+    assert hit >= 0.9 * sum(r["toxic"] == 1 for r in rows) and hit >= 0.95 * sum(r["score"] >= 0.5 for r in rows)
+    r = toxicity.Reader(model.lexicon)
+    assert model.score(*r.features("The pathway along the river is open.")) < 0.1
+    assert model.score(*r.features("You are a pathetic idiot.")) >= 0.5
+
+
+def test_toxicity_on_odd_rows(spark, docs, rows, none):
+    labels = spark.createDataFrame([(i, 0, k % 2) for k, (i, _) in enumerate(rows)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = toxicity.score(docs, model).collect()
+    assert sorted((r["doc_id"] for r in got), key=repr) == sorted((i for i, _ in rows), key=repr)
+    assert all(0 <= r["score"] <= 1 for r in got)
 
 
 def test_toxicity_learns_and_scores(spark, none):
