@@ -7,11 +7,11 @@ pages -> records with their arrival -> normalised rows -> rejects to a stored qu
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ class Feed:
     table: str
     normalize: Callable[[DataFrame], DataFrame]
     list_key: str | None = None
+    #: Of feeds that share their pages: the condition on the records (JSON text) that are this one's.
+    takes: Callable[[], Column] | None = None
 
     @property
     def keys(self) -> list[str]:
@@ -67,7 +69,28 @@ class Batch:
 def read_batch(pages: DataFrame, feed: Feed, now: str, payload_col: str = "payload") -> Batch:
     """Parse a batch of pages once (kept for the few jobs over it, until `release`)."""
     readable, broken = L.split_pages(pages, payload_col, feed.list_key)
-    normal = feed.normalize(L.flatten_pages(readable, payload_col, feed.list_key)).persist(StorageLevel.MEMORY_AND_DISK)
+    return _parsed(L.flatten_pages(readable, payload_col, feed.list_key), broken, feed, now, payload_col)
+
+
+def read_batches(pages: DataFrame, feeds: Sequence[Feed], now: str, payload_col: str = "payload") -> list[Batch]:
+    """Feeds over the same pages, a batch each. Pages are split and cut into records once, and a record goes
+    to the first feed that takes it. An unreadable page is rejected once, in the first feed's batch."""
+    if len(feeds) == 1:
+        return [read_batch(pages, feeds[0], now, payload_col)]
+    readable, broken = L.split_pages(pages, payload_col, feeds[0].list_key)
+    route = F.coalesce(*[F.when(f.takes(), k) for k, f in enumerate(feeds)])
+    records = L.flatten_pages(readable, payload_col, feeds[0].list_key).withColumn("_route", route).persist(StorageLevel.MEMORY_AND_DISK)
+    out = []
+    for k, f in enumerate(feeds):
+        batch = _parsed(records.where(F.col("_route") == k).drop("_route"), broken if k == 0 else broken.where(F.lit(False)), f, now, payload_col)
+        out.append(batch)
+    first = out[0].release
+    out[0].release = lambda: (first(), records.unpersist())
+    return out
+
+
+def _parsed(records: DataFrame, broken: DataFrame, feed: Feed, now: str, payload_col: str) -> Batch:
+    normal = feed.normalize(records).persist(StorageLevel.MEMORY_AND_DISK)
     good, bad = split_malformed(normal)
     rows, keyless = U.split_null_keys(to_raw(good, feed.table, now), feed.keys)
 

@@ -145,6 +145,11 @@ def split_issues_prs(df: DataFrame, col: str = REC) -> tuple[DataFrame, DataFram
     return df.where(~pr), df.where(pr)
 
 
+def route_issues_prs(df: DataFrame, col: str = REC) -> DataFrame:
+    """B3 in one pass: the feed with the `kind` of each record, 'issue' or 'pr'."""
+    return df.withColumn("kind", F.when(is_pull_request(col), "pr").otherwise("issue"))
+
+
 def _issue_common(d: DataFrame, col: str, source: str, repo_source_id: str):
     created = parse_iso_ts(j("created_at"))
     updated = parse_iso_ts(j("updated_at"))

@@ -91,7 +91,7 @@ def sync_entities(connector: str, pages: DataFrame, feeds: list[load.Feed], ts:
     """Commits (or issues and pull requests: two feeds over the same pages) since each repository's
     cursor. `pages`: payload, arrival, repo_full_name, repo_source_id. `tables` by raw name."""
     spark = pages.sparkSession
-    read = [load.read_batch(pages, f, now) for f in feeds]
+    read = load.read_batches(pages, feeds, now)
     failed = reduce(DataFrame.unionByName, [failed_entities(b, "repo_source_id") for b in read]).distinct()
     keys = ["source", "source_id"]
     a = U.upsert_counts(repos_before, repos, keys).first()

@@ -1,17 +1,20 @@
 """The model DAG as plain Python: raw tables in, every model out (lazy DataFrames).
 
 `Warehouse(raw)` builds each model on first access; Spark inlines the view layers and
-Catalyst prunes columns down to the Parquet scans. `publish` materialises marts.
+Catalyst prunes columns down to the Parquet scans. `build` writes, checks and publishes them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..sources import landing as L
 from ..sources.bindings import raw_tables
 from . import marts as M
 from . import staging as S
@@ -32,6 +35,14 @@ VIEW_MODELS = (
 BUILD_THREADS = 4
 
 
+class FailedChecks(Exception):
+    """A build whose checks failed; it wasn't published. `failures`: (check, model, column, failures)."""
+
+    def __init__(self, failures: list[tuple]):
+        super().__init__(", ".join(f"{kind} {model}.{column}: {n}" for kind, model, column, n in failures))
+        self.failures = failures
+
+
 class Warehouse:
     def __init__(self, raw, project_days: int = 14):
         self.raw = raw
@@ -138,6 +149,30 @@ class Warehouse:
                 self.__dict__.pop(dep, None)
         return self
 
+    def build(self, root: str, checks: Callable[[Warehouse], DataFrame] | None = None) -> dict[str, DataFrame]:
+        """A4: build, check and publish the whole warehouse. By level: what the models share, then the
+        tables, `BUILD_THREADS` at a time (each job on a thread of its own), then the views over the raw tables.
+
+        `checks` gets the warehouse with its written tables and returns (check, model, column, failures)
+        rows. If one fails, `FailedChecks` is raised and readers keep the release before. Otherwise one
+        pointer publishes all tables together. Returns them, as read from the release.
+        """
+        self.materialize(*self.SHARED, *self.BY_REPOSITORY)
+        tables = {name: self.model(name) for name in MART_MODELS}
+        spark = tables[MART_MODELS[0]].sparkSession
+        snaps = L.stage(tables, root, BUILD_THREADS)
+        written = L.staged(spark, root, snaps, {name: df.schema for name, df in tables.items()})
+        self.__dict__.update(written)
+        if checks is not None:
+            # a row a declared check
+            failed = [tuple(r) for r in checks(self).where(F.col("failures") > 0).select("check", "model", "column", "failures").collect()]
+            if failed:
+                raise FailedChecks(sorted(failed))
+        L.release(spark, root, snaps)
+        for name in VIEW_MODELS:
+            self.model(name).createOrReplaceTempView(name)
+        return written
+
     _DEPENDENTS = {
         "repository_keys": ("int_project_activity", "mart_project_activity", "fct_commits", "fct_pull_requests",
                             "fct_issues", "mart_monthly_summary"),

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import normalize as N
 from .operators import upsert as U
-from .queries import register, shared
+from .operators import load
+from .operators.quality import union_all
+from .plans.build import MART_MODELS, VIEW_MODELS
+from .queries import _MODEL_QUERIES, register, wh
 from .session import scratch_path
 from .sources import bindings as B
 from .sources import landing as L
@@ -94,10 +97,9 @@ def norm_commit(spark, sf):
            'N_' || CAST(event_id AS VARCHAR) AS source_id
     FROM events""")
 def split_issue_pr(spark, sf):
-    issues, prs = N.split_issues_prs(J.issue_feed_records(spark, sf))
-    sid = F.get_json_object("record", "$.node_id").alias("source_id")
-    return issues.select(F.lit("issue").alias("kind"), sid).unionByName(
-        prs.select(F.lit("pr").alias("kind"), sid))
+    """One pass routes the feed; each record is looked at once."""
+    routed = N.route_issues_prs(J.issue_feed_records(spark, sf))
+    return routed.select("kind", F.get_json_object("record", "$.node_id").alias("source_id"))
 
 
 _CLOSED = "event_type IN ('purchase', 'error')"
@@ -217,23 +219,47 @@ def raw_scan(spark, sf):
     SELECT p.*, TIMESTAMP '{RUN_NOW}' AS ingested_at,
            TIMESTAMP '{RUN_NOW}' AS updated_at FROM ({_PLAY_SQL}) p""")
 def raw_sink(spark, sf):
-    """A3: landed play pages -> flatten -> normalise -> raw rows stamped with the run time ->
-    new snapshot + pointer; the query reads the published snapshot back."""
-    pages = L.build_pages(J.play_records(spark, sf), "record", F.floor(F.col("ref") / 100), "items")
-    good, _ = N.split_malformed(N.normalize_plays(L.flatten_pages(pages, "payload", "items")))
-    root = scratch_path(spark, "raw")
-    L.write_table(N.to_raw(good, "raw_spotify_plays", RUN_NOW), root, "raw_spotify_plays")
+    """A3: landed play pages (each twice, with some that can't be read) go through the load path: rejects
+    are stored, the last delivered row of a key is stamped with the run time -> new snapshot + pointer; the
+    query reads the published snapshot back."""
+    pages = L.build_pages(J.play_records(spark, sf), "record", F.floor(F.col("ref") / 100), "items").select("payload")
+    down = B.table(spark, sf, "nation").select(F.lit("<html>502 Bad Gateway</html>").alias("payload"))
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    for part in (pages.unionByName(down), pages):
+        part.write.mode("append").text(landing)
+    feed = load.Feed("raw_spotify_plays", N.normalize_plays, "items")
+    load.apply_batch(L.read_pages(spark, landing), feed, root, RUN_NOW, batch_id=0, scratch=scratch_path(spark, "stage"),
+                     quarantine=scratch_path(spark, "rejected"), partitioned=False)
     return L.read_table(spark, root, "raw_spotify_plays").drop("raw_payload")
 
 
 @register("mart_sink", O.model_sql("mart_daily_activity"))
 def mart_sink(spark, sf):
-    """A4: marts are materialised as snapshots (staging stays lazy views)."""
-    w = shared(spark, sf)
+    """A4: all marts are built and published together (staging stays lazy views)."""
+    root = scratch_path(spark, "marts")
+    wh(spark, sf).build(root)
+    return L.read_release(spark, root)["mart_daily_activity"]
+
+
+def _model_rows() -> str:
+    names = {attr: oracle for attr, oracle in _MODEL_QUERIES.values()}
+    return W("\nUNION ALL\n".join(
+        f"SELECT '{attr}' AS model, '{kind}' AS kind, CAST(count(*) AS BIGINT) AS \"rows\" FROM {names[attr]}"
+        for kind, models in (("table", MART_MODELS), ("view", VIEW_MODELS)) for attr in models))
+
+
+@register("warehouse_build", _model_rows())
+def warehouse_build(spark, sf):
+    """A4: the whole warehouse built and published by one pointer: rows of its 11 tables, as a reader of the
+    release finds them, and of its 10 views."""
     root = scratch_path(spark, "marts")
-    L.publish({"mart_daily_activity": w.mart_daily_activity, "stg_commits": w.stg_commits},
-              root, ["mart_daily_activity"], views=["stg_commits"])
-    return L.read_table(spark, root, "mart_daily_activity")
+    wh(spark, sf).build(root)
+    found = L.read_release(spark, root)
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("model"), F.lit("table").alias("kind"), "rows")
+             for name, df in sorted(found.items())]
+    parts += [spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("model"), F.lit("view").alias("kind"), "rows")
+              for name in VIEW_MODELS]
+    return union_all(parts)
 
 
 @register("purge_source", W("""

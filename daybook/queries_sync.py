@@ -80,6 +80,7 @@ def _two_runs(spark, connector: str, feed: Feed, pages1: DataFrame, pages2: Data
         two = SY.sync_single(connector, pages2, feed, table, one.state, SECOND, since=since(last), **kw)
         two.state = _kept(two.state, "state")
         two.audit = _logged(two.audit, log, SECOND)
+        two.release()
     return _report(connector, one, two)
 
 
@@ -179,6 +180,7 @@ def _git_runs(spark, sf, connector: str, feeds: list[Feed], ts: str, pages1, pag
         two = SY.sync_entities(connector, pages2, feeds, ts, tables, one.state, repos, repos, second, _before(second))
         two.state = _kept(two.state, "state")
         two.audit = _logged(two.audit, log, second)
+        two.release()
     return _report(connector, one, two)
 
 
@@ -240,6 +242,6 @@ def sync_github_issues(spark, sf):
     down = F.col("repo_source_id").cast("int") % 5 == 0
     pages1 = _pages(early, None, "repo_source_id").withColumn(
         "payload", F.when(down, F.lit('{"message": "Not Found"}')).otherwise(F.col("payload")))
-    feeds = [Feed("raw_github_issues", lambda d: N.normalize_issues(N.split_issues_prs(d)[0], "repo_source_id")),
-             Feed("raw_github_pull_requests", lambda d: N.normalize_prs(N.split_issues_prs(d)[1], "repo_source_id"))]
+    feeds = [Feed("raw_github_issues", lambda d: N.normalize_issues(d, "repo_source_id"), takes=lambda: ~N.is_pull_request("record")),
+             Feed("raw_github_pull_requests", lambda d: N.normalize_prs(d, "repo_source_id"), takes=lambda: N.is_pull_request("record"))]
     return _git_runs(spark, sf, "github_issues", feeds, "updated_at", pages1, _pages(rec, None, "repo_source_id"), FIRST, SECOND)

@@ -13,9 +13,12 @@ current, so the run can simply be repeated.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from . import storage
 from .schemas import RAW
 
 POINTER = "_pointers"
+#: Its pointers name the snapshots of a whole set of tables.
+RELEASE = "_releases"
 
 
 #: Where a landed line stands: file time, file, block in the file, line in the block.
@@ -139,12 +144,18 @@ def write_table(df: DataFrame, root: str, table: str, partition_by: list[str] |
     The data write commits first; only then is the pointer appended, so readers never see
     a half-written snapshot and the snapshot being read is never overwritten.
     """
+    snap = write_snapshot(df, root, table, partition_by)
+    _write_pointer(df.sparkSession, root, table, snap)
+    return snap
+
+
+def write_snapshot(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> str:
+    """The data of a new snapshot; no reader sees it until a pointer names it."""
     snap = f"snap-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(f"{root.rstrip('/')}/{table}/{snap}")
-    _write_pointer(df.sparkSession, root, table, snap)
     return snap
 
 
@@ -185,12 +196,45 @@ def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType
     return r.parquet(f"{root.rstrip('/')}/{table}/{snap}")
 
 
-def publish(models: dict[str, DataFrame], root: str, tables: list[str],
-            views: list[str] | None = None) -> dict[str, str]:
-    """A4: materialise `tables` as snapshots, register `views` as temp views (lazy)."""
+def stage(models: dict[str, DataFrame], root: str, threads: int = 1) -> dict[str, str]:
+    """Write a snapshot of each model, `threads` at a time; returns their names. Nothing is visible yet."""
+    with ThreadPoolExecutor(threads) as pool:
+        snaps = pool.map(inheritable_thread_target(lambda name: write_snapshot(models[name], root, name)), models)
+        return dict(zip(models, snaps, strict=True))
+
+
+def staged(spark: SparkSession, root: str, snaps: dict[str, str], schemas: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
+    """The tables of the named snapshots."""
     out = {}
-    for name in tables:
-        out[name] = write_table(models[name], root, name)
-    for name in views or []:
-        models[name].createOrReplaceTempView(name)
+    for name, snap in snaps.items():
+        r = spark.read.schema(schemas[name]) if schemas else spark.read
+        out[name] = r.parquet(f"{root.rstrip('/')}/{name}/{snap}")
     return out
+
+
+def release(spark: SparkSession, root: str, snaps: dict[str, str]) -> None:
+    """Make staged snapshots the current release: one pointer names all of them, so a reader of
+    `read_release` never sees tables of two builds."""
+    _write_pointer(spark, root, RELEASE, json.dumps(snaps, sort_keys=True))
+
+
+def read_release(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """A2 of a whole set: the tables of the current release, by one look at its pointer."""
+    found = current_snapshot(spark, root, RELEASE)
+    if found is None:
+        raise FileNotFoundError(f"no release under {root}")
+    return staged(spark, root, json.loads(found))
+
+
+def vacuum_releases(spark: SparkSession, root: str, older_than: float = KEEP_SECONDS) -> list[str]:
+    """Delete snapshots that the current release doesn't name and that are older than it by `older_than`
+    seconds; returns `table/snapshot`. What a build has staged but not released yet is newer, and stays."""
+    current = json.loads(current_snapshot(spark, root, RELEASE) or "{}")
+    drop = []
+    for table, snap in current.items():
+        limit = int(snap.split("-")[1]) - int(older_than * 1e9)
+        drop += [f"{table}/{e.name}" for e in storage.entries(spark, f"{root.rstrip('/')}/{table}")
+                 if e.is_dir and e.name.startswith("snap-") and e.name != snap and int(e.name.split("-")[1]) < limit]
+    for name in drop:
+        storage.delete(spark, f"{root.rstrip('/')}/{name}")
+    return drop
