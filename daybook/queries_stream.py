@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import oracle as O
 from .operators import normalize as N
 from .operators.load import Feed, read_rejected
-from .queries import register
+from .queries import register, wh
 from .queries_ingest import _PLAY_SQL
 from .session import scratch_path
 from .sources import bindings as B
@@ -155,6 +156,35 @@ def stream_daily_activity(spark, sf):
     return L.read_table(spark, root, "stream_daily", DAILY_SCHEMA)
 
 
+#: Days until this one land in a first delivery, the others in a second.
+DAY_CUT = "1995-06-17"
+
+
+@register("stream_day_activity", O.model_sql("int_daily_activity"))
+def stream_day_activity(spark, sf):
+    """M3 as J1: commits and meetings as two streams. After the second delivery both name a time far ahead,
+    which closes all days before it."""
+    w = wh(spark, sf)
+    commits = w.stg_commits.select(F.col("committed_at").cast("timestamp").alias("committed_at"), "repository_source_id")
+    meetings = w.stg_calendar_events.where(F.col("category") == "meeting").select(
+        F.col("start_at").cast("timestamp").alias("start_at"), "duration_minutes")
+    ahead = (commits.select(F.col("committed_at").alias("t")).unionByName(meetings.select(F.col("start_at").alias("t")))
+             .agg((F.max("t") + F.expr("INTERVAL 90 DAYS")).alias("t")))
+    landing = {"committed_at": scratch_path(spark, "landing-commits"), "start_at": scratch_path(spark, "landing-meetings")}
+    out, ckpt = scratch_path(spark, "days"), scratch_path(spark, "ckpt")
+    for late in (False, True):
+        for df, ts, other in ((commits, "committed_at", "repository_source_id"), (meetings, "start_at", "duration_minutes")):
+            part = df.where((F.col(ts) >= F.lit(DAY_CUT).cast("timestamp")) == late)
+            if late:
+                part = part.unionByName(ahead.select(F.col("t").alias(ts), F.lit(None).cast(df.schema[other].dataType).alias(other)))
+            part.write.parquet(f"{landing[ts]}/second={late}")
+        streams = [spark.readStream.schema(df.schema).option("recursiveFileLookup", "true").parquet(landing[ts])
+                   for df, ts in ((commits, "committed_at"), (meetings, "start_at"))]
+        daily = S.stream_day_activity(*streams, WATERMARK_DELAY)
+        S.run_to_parquet(daily, out, ckpt)
+    return spark.read.schema(daily.schema).parquet(out)
+
+
 # ================================================================== versions within one batch
 
 def _land_versions(spark, landing: str, old, new, list_key: str | None) -> None:

@@ -112,6 +112,25 @@ def stream_daily(stream: DataFrame, ts: str, delay: str, purchase_type: str = "p
                  F.count(F.when(F.col("event_type") == purchase_type, 1)).alias("purchases")))
 
 
+def stream_day_activity(commits: DataFrame, meetings: DataFrame, delay: str) -> DataFrame:
+    """M3 as the whole of J1, append mode: a day's row comes once the watermark has passed its end.
+
+    Commits (committed_at, repository_source_id) are counted per (day, repository), and these counts per
+    day, so the distinct repositories are exact and no state holds a list of them; meetings (start_at,
+    duration_minutes) are folded per day. The two meet in a stream-stream full outer join on the day.
+    Rows without a time have no day here. Times must be TIMESTAMP (not NTZ).
+    """
+    day = F.window("committed_at", "1 day").alias("day")
+    each = commits.withWatermark("committed_at", delay).groupBy(day, "repository_source_id").agg(F.count(F.lit(1)).alias("n"))
+    c = each.groupBy(F.window("day", "1 day").alias("day")).agg(
+        F.sum("n").alias("commit_count"), F.count("repository_source_id").alias("active_repositories"))
+    m = meetings.withWatermark("start_at", delay).groupBy(F.window("start_at", "1 day").alias("day")).agg(
+        F.sum("duration_minutes").alias("meeting_minutes"), F.count(F.lit(1)).alias("meeting_count"))
+    counts = ("commit_count", "active_repositories", "meeting_minutes", "meeting_count")
+    return c.join(m, "day", "full_outer").select(
+        F.to_date("day.start").alias("activity_date"), *[F.coalesce(x, F.lit(0)).cast("bigint").alias(x) for x in counts])
+
+
 def run_to_parquet(df: DataFrame, out: str, checkpoint: str) -> int:
     """Append-mode sink of a streaming frame to Parquet, draining what has landed. Returns how many rows its
     stateful operators dropped as late, as the progress of its batches says."""
