@@ -188,7 +188,7 @@ def predict(docs: DataFrame, profiles: Profiles, *, id_col: str = "doc_id", text
                     "doc_id": b.column("doc_id").slice(c.first, c.n),
                     "lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)})
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 

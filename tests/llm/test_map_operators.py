@@ -218,6 +218,12 @@ def test_held_out_accuracy(spark, sf):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.95
 
 
+def test_language_of_rows_with_an_int_id(spark):
+    rows = spark.createDataFrame([(1, "the house and the tree"), (2, None)], "doc_id int, text string")
+    profiles = language_id.fit(rows.withColumn("lang", F.lit("en")))
+    assert keyed(language_id.predict(rows, profiles), "doc_id", "lang_pred") == [(1, "en"), (2, "und")]
+
+
 def test_toxic_clauses():
     x = toxicity.Lexicon({"lowei-": 4.0})
     r, model = toxicity.Reader(x), toxicity.Model(x)
