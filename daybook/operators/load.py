@@ -101,9 +101,13 @@ def _parsed(records: DataFrame, broken: DataFrame, feed: Feed, now: str, payload
     rejected = (rejects(broken, "page", F.col("_error"), payload_col)
                 .unionByName(rejects(bad, "record", F.col("_error"), "raw_payload"))
                 .unionByName(rejects(keyless, "key", F.lit("null key"), "raw_payload")))
-    n = rejected.groupBy("kind").count().collect()
-    fetched = normal.count()
-    return Batch(rows, broken, bad, rejected, fetched, sum(r["count"] for r in n), lambda: normal.unpersist())
+    # One job over the parsed batch, each branch read once. Its results are exact: what Observation counts
+    # is counted again where a lost executor's stage is run again.
+    keys = [F.col(k).cast(RAW[feed.table][k].dataType) for k in feed.keys]
+    failed = F.col("_error").isNotNull() | F.greatest(*[k.isNull() for k in keys], F.lit(False))
+    n = (normal.agg(F.count(F.lit(1)).alias("fetched"), F.count_if(failed).alias("failed"))
+         .unionAll(broken.agg(F.lit(0).cast("long"), F.count(F.lit(1)))).agg(F.sum("fetched"), F.sum("failed")).first())
+    return Batch(rows, broken, bad, rejected, int(n[0]), int(n[1]), lambda: normal.unpersist())
 
 
 def store_rejected(batch: Batch, root: str, batch_id: object) -> None:

@@ -15,12 +15,15 @@ that has measured the batch passes the strategy in.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_BYTES, fits_broadcast, size_of
+from ..session import BROADCAST_BYTES, fits_broadcast, row_bytes
 from ..sources import storage
 
 _MARK = "__incoming"
@@ -153,6 +156,13 @@ def purge(df: DataFrame, source: str | None = None) -> DataFrame:
 BUCKET = "key_bucket"
 BUCKETS = 64
 SWAP_MARK = "_swap_pending"   # under the table path; Parquet readers skip names starting with "_"
+#: What becomes of a staged bucket: it replaces the table's, or its files are added to it.
+STEP = "bucket_step"
+REWRITE, APPEND = "rewrite", "append"
+#: A bucket of so many files is rewritten by the next batch that adds to it, and is then one file.
+MAX_FILES = 32
+#: File-system calls that wait for the store at the same time.
+CALLS = 16
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -165,18 +175,38 @@ def _pending_swap(spark, path: str) -> str | None:
     return (text.strip() or None) if text else None
 
 
+def _at_once(spark, calls: Sequence[Callable[[], None]]) -> None:
+    """Independent file-system calls, `CALLS` at a time; the first error is raised."""
+    with ThreadPoolExecutor(CALLS) as pool:
+        for f in [pool.submit(inheritable_thread_target(spark)(c)) for c in calls]:
+            f.result()
+
+
+def _staged(spark, staging: str, step: str) -> list[str]:
+    return [e.name for e in storage.entries(spark, f"{staging}/{STEP}={step}") if e.is_dir and e.name.startswith(f"{BUCKET}=")]
+
+
 def _finish_swap(spark, staging: str, path: str) -> None:
-    """Move staged buckets into the table: `rewrite` replaces a bucket, `append` adds files to it.
-    Every step can be repeated: what has been moved is gone from the staging folder."""
-    for b in storage.entries(spark, f"{staging}/rewrite"):
-        if b.is_dir and b.name.startswith(f"{BUCKET}="):
-            storage.delete(spark, f"{path}/{b.name}")
-            storage.move(spark, f"{staging}/rewrite/{b.name}", f"{path}/{b.name}")
-    for b in storage.entries(spark, f"{staging}/append"):
-        if b.is_dir and b.name.startswith(f"{BUCKET}="):
-            for f in storage.entries(spark, f"{staging}/append/{b.name}"):
-                if f.name.startswith("part-"):  # unique names: every write has its own
-                    storage.move(spark, f"{staging}/append/{b.name}/{f.name}", f"{path}/{b.name}/{f.name}")
+    """Move staged buckets into the table, several at a time: `rewrite` replaces a bucket, `append` adds
+    files to it (a bucket that isn't there is moved whole). Every step can be repeated: what has been moved
+    is gone from the staging folder."""
+    def rewrite(name: str) -> None:
+        storage.delete(spark, f"{path}/{name}")
+        storage.move(spark, f"{staging}/{STEP}={REWRITE}/{name}", f"{path}/{name}")
+
+    def append(name: str) -> None:
+        source = f"{staging}/{STEP}={APPEND}/{name}"
+        if name not in there:
+            storage.move(spark, source, f"{path}/{name}")
+            return
+        for f in storage.entries(spark, source):
+            if f.name.startswith("part-"):  # unique names: every write has its own
+                storage.delete(spark, f"{path}/{name}/{f.name}")  # what a lost driver left half moved
+                storage.move(spark, f"{source}/{f.name}", f"{path}/{name}/{f.name}")
+
+    _at_once(spark, [partial(rewrite, n) for n in _staged(spark, staging, REWRITE)])
+    there = {e.name for e in storage.entries(spark, path)}
+    _at_once(spark, [partial(append, n) for n in _staged(spark, staging, APPEND)])
 
 
 def _swap(spark, staging: str, path: str) -> None:
@@ -189,6 +219,18 @@ def _swap(spark, staging: str, path: str) -> None:
     storage.delete(spark, staging)
 
 
+def _full_buckets(spark, path: str, buckets: Sequence[int], max_files: int) -> set[int]:
+    """The buckets that hold `max_files` files or more."""
+    full: set[int] = set()
+
+    def look(b: int) -> None:
+        if sum(e.name.startswith("part-") for e in storage.entries(spark, f"{path}/{BUCKET}={b}")) >= max_files:
+            full.add(b)
+
+    _at_once(spark, [partial(look, b) for b in buckets])
+    return full
+
+
 def matched_by_bucket(existing: DataFrame, batch_keys: DataFrame, keys: Sequence[str],
                       broadcast: bool = True) -> DataFrame:
     """Per bucket of `existing`, the number of its keys present in `batch_keys` (buckets with a hit
@@ -212,15 +254,16 @@ def upsert_partitioned(
     buckets: int = BUCKETS,
     max_bytes: int = BROADCAST_BYTES,
     on_counts: Callable[[int, int], None] | None = None,
+    max_files: int = MAX_FILES,
 ) -> tuple[int, int]:
     """C1 (+ C3) for large raw tables: a batch reads and writes only the buckets of its keys.
 
     The table at `path` is Parquet partitioned by a hash bucket of its natural key, so a key never
     moves, whatever its times; `buckets` is fixed when the table is made (a cluster takes
     thousands, so that one is a task's worth). The batch's buckets are listed (`buckets` rows at
-    most); of these the key columns are read and meet the batch keys. Buckets with a matched key
-    are read, upserted and replaced; into the others the new rows are appended as new files. What
-    is written is written once: staged, then moved.
+    most, counted and measured by one job); of these the key columns are read and meet the batch keys.
+    Buckets with a matched key, or of `max_files` files, are read, upserted and replaced; into the others
+    the new rows are appended as new files. What is written is written once and by one job: staged, then moved.
 
     Rows with duplicate keys in `incoming` are folded by `order` (last wins) when given.
     `on_counts` is called with the counts before the table changes. Re-running a batch after a
@@ -236,9 +279,9 @@ def upsert_partitioned(
     inc = incoming.withColumn(BUCKET, bucket_of(keys, buckets))
     folded = inc.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     per = {r[BUCKET]: r for r in folded.groupBy(BUCKET).agg(
-        F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("nkeys")).collect()}
+        F.sum("__n").alias("rows"), F.count(F.lit(1)).alias("nkeys"), F.sum(row_bytes(folded.select(*keys))).alias("size")).collect()}
     rows, nkeys = sum(r["rows"] for r in per.values()), sum(r["nkeys"] for r in per.values())
-    small = size_of(folded.select(*keys))[1] <= max_bytes
+    small = sum(r["size"] for r in per.values()) <= max_bytes
     strategy = "broadcast" if small else "shuffle"
     cols = [c for c in incoming.columns if c not in (order or ()) or not c.startswith("__")]
     inc = (dedup_last(incoming, keys, order) if order else incoming).select(*cols)
@@ -253,15 +296,15 @@ def upsert_partitioned(
     inserted = nkeys - sum(hit.values())
     if on_counts is not None:
         on_counts(int(inserted), int(rows - inserted))
-    none = inc.where(F.lit(False))
-    fresh = inc.where(~bucket_of(keys, buckets).isin(sorted(hit))) if hit else inc
-    fresh = upsert(none, fresh, keys, now, keep, touch, strategy=strategy)
-    fresh = fresh.withColumn(BUCKET, bucket_of(keys, buckets))
-    fresh.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{staging}/append")
-    if hit:
-        old = existing.where(F.col(BUCKET).isin(sorted(hit))).select(*cols)
-        merged = upsert(old, inc.where(bucket_of(keys, buckets).isin(sorted(hit))), keys, now, keep, touch, strategy=strategy)
-        merged = merged.withColumn(BUCKET, bucket_of(keys, buckets))
-        merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{staging}/rewrite")
+    again = sorted(set(hit) | _full_buckets(spark, path, touched, max_files))
+    replaced = bucket_of(keys, buckets).isin(again)
+    fresh = inc.where(~replaced) if again else inc
+    staged = upsert(inc.where(F.lit(False)), fresh, keys, now, keep, touch, strategy=strategy).withColumn(STEP, F.lit(APPEND))
+    if again:
+        old = existing.where(F.col(BUCKET).isin(again)).select(*cols)
+        merged = upsert(old, inc.where(replaced), keys, now, keep, touch, strategy=strategy)
+        staged = staged.unionByName(merged.withColumn(STEP, F.lit(REWRITE)))
+    (staged.withColumn(BUCKET, bucket_of(keys, buckets)).repartition(BUCKET)
+     .write.mode("overwrite").partitionBy(STEP, BUCKET).parquet(staging))
     _swap(spark, staging, path)
     return int(inserted), int(rows - inserted)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Upper bound (bytes, as counted by `size_of`) of a data-dependent side that may be broadcast.
@@ -67,13 +67,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def size_of(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of `df`: one aggregate, summed in the tasks. Bytes are those of the text
-    columns, 8 for each other one, and 16 a row."""
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row of `df`: those of the text columns, 8 for each other one, and 16 a row."""
     wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
     fixed = 16 + 8 * (len(df.columns) - len(wide))
-    each = sum(wide, F.lit(fixed)).cast("long")
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("b")).first()
+    return sum(wide, F.lit(fixed)).cast("long")
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of `df`: one aggregate, summed in the tasks."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["b"])
 
 

@@ -134,6 +134,40 @@ def test_partitioned_upsert_folds_duplicates_and_replays(spark, tmp_path):
     assert {r["v"] for r in spark.read.parquet(path).collect()} == {"second", "y"}
 
 
+def test_buckets_of_many_files_are_merged(spark, tmp_path):
+    """Batches of new keys append files, until a bucket holds `max_files`: then it is one file again."""
+    path = str(tmp_path / "t")
+    most = 0
+    for i in range(7):
+        batch = frame(spark, [("g", f"{i}-{j}", "v", j, None, None) for j in range(6)])
+        assert U.upsert_partitioned(batch, path, str(tmp_path / f"s{i}"), K, NOW, buckets=2, max_files=3) == (6, 0)
+        files = [len(x) for x in bucket_files(path).values()]
+        most = max(most, *files)
+        assert all(1 <= n <= 3 for n in files)
+    assert most == 3
+    out = spark.read.parquet(path).collect()
+    assert len(out) == 42 and len({r["source_id"] for r in out}) == 42
+    assert all(r["ingested_at"] == dt.datetime(2024, 6, 1) for r in out)
+
+
+def test_half_moved_append_is_finished(spark, tmp_path):
+    """A store that copies on rename can leave a file in both places when the driver is lost."""
+    import os
+    import shutil
+
+    path, _ = seeded(spark, tmp_path, buckets=1)
+    stage = str(tmp_path / "s1")
+    new = frame(spark, [("g", "n1", "z", 3, None, None)])
+    new.withColumn(U.STEP, F.lit(U.APPEND)).withColumn(U.BUCKET, F.lit(0)).write.partitionBy(U.STEP, U.BUCKET).parquet(stage)
+    source = f"{stage}/{U.STEP}={U.APPEND}/{U.BUCKET}=0"
+    part = next(f for f in os.listdir(source) if f.startswith("part-"))
+    shutil.copy(f"{source}/{part}", f"{path}/{U.BUCKET}=0/{part}")
+    U.storage.write_text(spark, f"{path}/{U.SWAP_MARK}", stage)
+    assert U.upsert_partitioned(new, path, str(tmp_path / "s2"), K, NOW, buckets=1) == (0, 1)
+    out = spark.read.parquet(path)
+    assert out.count() == 41 and out.where("source_id = 'n1'").count() == 1
+
+
 @pytest.mark.parametrize("moved", [0, 1])
 def test_interrupted_swap_is_finished_by_the_next_call(spark, tmp_path, monkeypatch, moved):
     """The driver is lost before any, or after one of the staged buckets was moved."""
@@ -151,6 +185,7 @@ def test_interrupted_swap_is_finished_by_the_next_call(spark, tmp_path, monkeypa
 
     with monkeypatch.context() as m:
         m.setattr(U.storage, "move", cut)
+        m.setattr(U, "CALLS", 1)  # one after another, so that the cut comes after so many
         with pytest.raises(RuntimeError):
             U.upsert_partitioned(inc, path, stage, K, NOW, buckets=16)
     assert U._pending_swap(spark, path) == stage
