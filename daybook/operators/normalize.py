@@ -72,8 +72,11 @@ def _object() -> tuple[Column, str]:
 
 
 def _finish(df: DataFrame, cols: list[Column], rules: list[tuple[Column, str]], col: str) -> DataFrame:
+    """The raw columns and `_error`. The error comes from a generator of one row, for a filter on it then
+    stays above the parse; pushed below, it would parse the record again for every rule."""
     keep = [c for c in df.columns if (c == SEQUENCE or not c.startswith("__")) and c != col]
-    return df.select(*keep, *cols, F.col(col).alias("raw_payload"), _first_error(rules).alias("_error"))
+    checked = df.select("*", F.explode(F.array(_first_error(rules))).alias("_error"))
+    return checked.select(*keep, *cols, F.col(col).alias("raw_payload"), "_error")
 
 
 def _ts_ok(text: Column, parsed: Column) -> Column:

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from daybook.operators import normalize as N
 from daybook.sources import landing as L
 
@@ -126,3 +128,14 @@ def test_flatten_pages_shapes(spark):
     assert L.flatten_pages(arrays, "payload").count() == 2
     env = L.flatten_pages(pages, "payload", "items")
     assert [r["record"] for r in env.collect()] == ['{"a":3}']
+
+
+def test_a_filter_on_the_error_does_not_parse_again(spark):
+    """The filter of the well-formed rows stays above the one parse of a record."""
+    d = spark.range(3).select(F.concat(F.lit('{"id":"'), F.col("id").cast("string"), F.lit('"}')).alias("record"))
+    good, bad = N.split_malformed(N.normalize_calendar(d, "primary"))
+    for part in (good, bad):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+        assert all("from_json" not in line and "JsonExpression" not in line for line in plan.split("\n") if "Filter" in line)
+    assert good.count() + bad.count() == 3
