@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_BYTES, size_of
+from ..session import BROADCAST_BYTES, size_of, staged
 from ..sources import landing as L
 from ..sources.schemas import KEYS, RAW, SOURCE_UPDATED_AT
 from . import upsert as U
@@ -74,23 +74,26 @@ def read_batch(pages: DataFrame, feed: Feed, now: str, payload_col: str = "paylo
 
 def read_batches(pages: DataFrame, feeds: Sequence[Feed], now: str, payload_col: str = "payload") -> list[Batch]:
     """Feeds over the same pages, a batch each. Pages are split and cut into records once, and a record goes
-    to the first feed that takes it. An unreadable page is rejected once, in the first feed's batch."""
-    if len(feeds) == 1:
-        return [read_batch(pages, feeds[0], now, payload_col)]
+    to the first feed that takes it. An unreadable page is rejected once, in the first feed's batch. What is
+    parsed is staged: a run asks for it so often that planning over its lineage would take longest."""
     readable, broken = L.split_pages(pages, payload_col, feeds[0].list_key)
+    broken = staged(broken, "broken")
+    records = L.flatten_pages(readable, payload_col, feeds[0].list_key)
+    if len(feeds) == 1:
+        return [_parsed(records, broken, feeds[0], now, payload_col, stage=True)]
     route = F.coalesce(*[F.when(f.takes(), k) for k, f in enumerate(feeds)])
-    records = L.flatten_pages(readable, payload_col, feeds[0].list_key).withColumn("_route", route).persist(StorageLevel.MEMORY_AND_DISK)
+    records = staged(records.withColumn("_route", route), "records")
     out = []
     for k, f in enumerate(feeds):
-        batch = _parsed(records.where(F.col("_route") == k).drop("_route"), broken if k == 0 else broken.where(F.lit(False)), f, now, payload_col)
+        batch = _parsed(records.where(F.col("_route") == k).drop("_route"), broken if k == 0 else broken.where(F.lit(False)), f, now, payload_col,
+                        stage=True)
         out.append(batch)
-    first = out[0].release
-    out[0].release = lambda: (first(), records.unpersist())
     return out
 
 
-def _parsed(records: DataFrame, broken: DataFrame, feed: Feed, now: str, payload_col: str) -> Batch:
-    normal = feed.normalize(records).persist(StorageLevel.MEMORY_AND_DISK)
+def _parsed(records: DataFrame, broken: DataFrame, feed: Feed, now: str, payload_col: str, stage: bool = False) -> Batch:
+    normal = feed.normalize(records)
+    normal = staged(normal, feed.table) if stage else normal.persist(StorageLevel.MEMORY_AND_DISK)
     good, bad = split_malformed(normal)
     rows, keyless = U.split_null_keys(to_raw(good, feed.table, now), feed.keys)
 
@@ -107,7 +110,7 @@ def _parsed(records: DataFrame, broken: DataFrame, feed: Feed, now: str, payload
     failed = F.col("_error").isNotNull() | F.greatest(*[k.isNull() for k in keys], F.lit(False))
     n = (normal.agg(F.count(F.lit(1)).alias("fetched"), F.count_if(failed).alias("failed"))
          .unionAll(broken.agg(F.lit(0).cast("long"), F.count(F.lit(1)))).agg(F.sum("fetched"), F.sum("failed")).first())
-    return Batch(rows, broken, bad, rejected, int(n[0]), int(n[1]), lambda: normal.unpersist())
+    return Batch(rows, broken, bad, rejected, int(n[0]), int(n[1]), lambda: None if stage else normal.unpersist())
 
 
 def store_rejected(batch: Batch, root: str, batch_id: object) -> None:

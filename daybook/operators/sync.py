@@ -20,6 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import staged
 from . import incremental as D
 from . import load
 from . import runs as E
@@ -93,12 +94,14 @@ def sync_entities(connector: str, pages: DataFrame, feeds: list[load.Feed], ts:
     spark = pages.sparkSession
     read = load.read_batches(pages, feeds, now)
     failed = reduce(DataFrame.unionByName, [failed_entities(b, "repo_source_id") for b in read]).distinct()
+    failed = staged(failed, "failed")
     keys = ["source", "source_id"]
     a = U.upsert_counts(repos_before, repos, keys).first()
     out, batches, inserted, updated, rejected = {}, [], a["inserted"], a["updated"], None
     for f, batch in zip(feeds, read, strict=True):
         rows = D.drop_failed(batch.rows, failed, "repository_source_id", "entity")
         rows = D.select_since(rows, state, connector, "repository_source_id", ts, default_since, full)
+        rows = staged(rows, f.table)
         out[f.table], i, u = load.apply_rows(tables[f.table], rows, f, now)
         inserted, updated = inserted + i, updated + u
         batches.append(rows.select("repository_source_id", ts))

@@ -12,7 +12,7 @@ from .operators import normalize as N
 from .operators import sync as SY
 from .operators.load import Feed
 from .queries import register
-from .session import scratch_path
+from .session import scratch_path, staged
 from .sources import bindings as B
 from .sources import landing as L
 from .sources import service_json as J
@@ -31,13 +31,6 @@ def _before(s: str):
     return _ts(s) - F.expr(f"INTERVAL {DAYS} DAYS")
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """What a run leaves, written: the next run starts from it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _logged(audit: DataFrame, log: str, now: str) -> DataFrame:
     """The audit row of the run that began at `now`, from the audit table that it is added to."""
     audit.write.mode("append").parquet(log)
@@ -45,12 +38,13 @@ def _logged(audit: DataFrame, log: str, now: str) -> DataFrame:
 
 
 def _pages(records: DataFrame, list_key: str | None, *by: str) -> DataFrame:
-    """Pages of at most 100 records (ids are unique), of one entity each if `by` names it."""
+    """Pages of at most 100 records (ids are unique), of one entity each if `by` names it. They are landed:
+    each job of a run reads them, and must not build them again."""
     g = records.groupBy(*by, F.floor(F.col("ref") / 100).alias("page")).agg(F.collect_list("record").alias("r"))
     body = F.concat(F.lit("["), F.array_join("r", ","), F.lit("]"))
     if list_key is not None:
         body = F.concat(F.lit(f'{{"{list_key}":'), body, F.lit("}"))
-    return g.select(*by, body.alias("payload"), F.struct(*by, "page").alias(L.ARRIVAL))
+    return staged(g.select(*by, body.alias("payload"), F.struct(*by, "page").alias(L.ARRIVAL)), "pages")
 
 
 def _report(connector: str, *runs: SY.Run) -> DataFrame:
@@ -71,14 +65,14 @@ def _two_runs(spark, connector: str, feed: Feed, pages1: DataFrame, pages2: Data
     none, log = spark.createDataFrame([], SYNC_STATE), scratch_path(spark, "audit")
     with SY.recorded(spark, connector, FIRST, log):
         one = SY.sync_single(connector, pages1, feed, _empty(spark, feed), none, FIRST, since=first, **kw)
-        one.state = _kept(one.state, "state")
-        table = _kept(one.tables[feed.table], feed.table)
+        one.state = staged(one.state, "state")
+        table = staged(one.tables[feed.table], feed.table)
         one.audit = _logged(one.audit, log, FIRST)
         one.release()
     with SY.recorded(spark, connector, SECOND, log):
         last = D.get_cursors(one.state, connector, "primary").select("last_cursor").scalar()
         two = SY.sync_single(connector, pages2, feed, table, one.state, SECOND, since=since(last), **kw)
-        two.state = _kept(two.state, "state")
+        two.state = staged(two.state, "state")
         two.audit = _logged(two.audit, log, SECOND)
         two.release()
     return _report(connector, one, two)
@@ -172,13 +166,13 @@ def _git_runs(spark, sf, connector: str, feeds: list[Feed], ts: str, pages1, pag
     with SY.recorded(spark, "github", first, log):
         one = SY.sync_entities(connector, pages1, feeds, ts, {f.table: _empty(spark, f) for f in feeds},
                                spark.createDataFrame([], SYNC_STATE), repos, none, first, _before(first))
-        one.state = _kept(one.state, "state")
-        tables = {k: _kept(t, k) for k, t in one.tables.items()}
+        one.state = staged(one.state, "state")
+        tables = {k: staged(t, k) for k, t in one.tables.items()}
         one.audit = _logged(one.audit, log, first)
         one.release()
     with SY.recorded(spark, "github", second, log):
         two = SY.sync_entities(connector, pages2, feeds, ts, tables, one.state, repos, repos, second, _before(second))
-        two.state = _kept(two.state, "state")
+        two.state = staged(two.state, "state")
         two.audit = _logged(two.audit, log, second)
         two.release()
     return _report(connector, one, two)
@@ -214,7 +208,7 @@ def _git_sql(ctes: str) -> str:
 def sync_github(spark, sf):
     """Commits since each repository's cursor. In the first run the pages of every ninth customer are
     cut short, in the second a commit of every seventh has no date: these repositories are skipped."""
-    rec = J.commit_records(spark, sf)
+    rec = staged(J.commit_records(spark, sf), "records")
     cust = F.split("repo_source_id", "/")[0].cast("int")
     early = rec.where(parse_iso_ts(F.get_json_object("record", "$.commit.author.date")) < _ts(GIT_FIRST))
     by = ("repo_full_name", "repo_source_id")
@@ -237,7 +231,7 @@ def sync_github(spark, sf):
 def sync_github_issues(spark, sf):
     """Issues and pull requests of one feed since each repository's newest update; in the first run
     every fifth repository answers with an error page."""
-    rec = J.issue_feed_records(spark, sf)
+    rec = staged(J.issue_feed_records(spark, sf), "records")
     early = rec.where(parse_iso_ts(F.get_json_object("record", "$.created_at")) < _ts(FIRST))
     down = F.col("repo_source_id").cast("int") % 5 == 0
     pages1 = _pages(early, None, "repo_source_id").withColumn(

@@ -67,6 +67,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written under the checkpoint root and read back: several jobs start from it, and none plans or
+    runs what came before again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """Bytes of a row of `df`: those of the text columns, 8 for each other one, and 16 a row."""
     wide = [F.coalesce(F.octet_length(c), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
