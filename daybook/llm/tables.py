@@ -14,6 +14,7 @@ from ..session import scratch_path
 
 #: Text bytes an operator works on at once inside a task; bounds its numpy arrays.
 CHUNK_BYTES = 1 << 21
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +36,19 @@ def fresh(docs: DataFrame, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written as Parquet in the shared folder and read back: computed once, lineage cut."""
+    """`df` written as Parquet in the shared folder and read back: computed once, lineage cut. The shuffle
+    files of the write go when it ends, not when the driver next collects garbage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
