@@ -66,6 +66,7 @@ def select_since(
     default_since: datetime | str,
     full: bool = False,
     kind: str = "iso",
+    banded: bool = True,
 ) -> DataFrame:
     """Rows at or after the entity's cursor, else at or after `default_since`.
 
@@ -75,12 +76,19 @@ def select_since(
     others'. A band of few entities also names them to the scan. Entities without a cursor (or with one that
     can't be read, and rows without an entity) are read from `default_since` on. Rows of different bands are
     disjoint, so the bands are a union. `full` drops the bound (per-entity sources re-read everything).
+
+    `banded=False` is for rows that a run has parsed itself, which a band's bound spares no reading: they are
+    read once, from the oldest bound on, and meet all cursors in one join.
     """
     if full:
         return df
     cur = get_cursors(state, connector).select(
         F.col("entity_key").alias("__entity"), cursor_time("last_cursor", kind).alias("__since")).where("__since IS NOT NULL")
     entity = df[entity_col].cast("string")
+    if not banded:
+        oldest = F.least(cur.agg(F.min("__since")).scalar(), _ts(default_since))
+        met = df.where(F.col(ts_col) >= oldest).join(cur, entity == F.col("__entity"), "left")
+        return met.where(F.col(ts_col) >= F.coalesce(F.col("__since"), _ts(default_since))).select(*df.columns)
     rest = df.where(F.col(ts_col) >= _ts(default_since))
     parts = [rest.join(cur.select("__entity"), entity == F.col("__entity"), "left_anti")]
     newest = cur.agg(F.max("__since").alias("s")).scalar()

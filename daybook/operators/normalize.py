@@ -12,7 +12,9 @@ absent; an explicit null stays null. Top-level presence is read with `json_objec
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,13 +33,17 @@ def _nk(path: str) -> str:
     return "__k" + path.replace("$", "").replace(".", "_")
 
 
-def _prep(df: DataFrame, schema: T.StructType, col: str, nested: Sequence[str] = ()) -> DataFrame:
+def _prep(df: DataFrame, schema: T.StructType, col: str, nested: Sequence[str] | Mapping[str, Sequence[str]] = ()) -> DataFrame:
     """One typed parse of the record, its top-level key set, and the key set of each nested
-    object in `nested` (each parsed once, then shared by every presence test on it)."""
+    object in `nested` (each parsed once, then shared by every presence test on it). Where `nested` names
+    an object's fields, its key set is null if the typed parse has them all: see `present`."""
     d = df.withColumn(_J, F.from_json(F.col(col), schema)).withColumn(
         _K, F.json_object_keys(F.col(col)))
     for path in nested:
-        d = d.withColumn(_nk(path), F.json_object_keys(F.get_json_object(F.col(col), path)))
+        keys = F.json_object_keys(F.get_json_object(F.col(col), path))
+        if isinstance(nested, Mapping):
+            keys = F.when(reduce(or_, [j(f).isNull() for f in nested[path]]), keys)
+        d = d.withColumn(_nk(path), keys)
     return d
 
 
@@ -51,6 +57,13 @@ def has_in(col: str, path: str, key: str) -> Column:
     return F.coalesce(F.array_contains(F.col(_nk(path)), key), F.lit(False))
 
 
+def present(col: str, field: str) -> Column:
+    """A nested field (declared in `_prep(nested=...)` by its object) is there, null-valued or not: the key
+    set is only needed where the typed parse has null."""
+    parent, _, key = field.rpartition(".")
+    return j(field).isNotNull() | has_in(col, f"$.{parent}", key)
+
+
 def j(field: str) -> Column:
     c = F.col(_J)
     for part in field.split("."):
@@ -111,7 +124,7 @@ def normalize_repos(df: DataFrame, col: str = REC, source: str = "github") -> Da
 def normalize_commits(df: DataFrame, repo_full_name: str, repo_source_id: str,
                       col: str = REC, source: str = "github") -> DataFrame:
     """Commits of one repository feed; the repository comes from context columns."""
-    d = _prep(df, S.COMMIT_JSON, col, ["$.commit", "$.commit.author"])
+    d = _prep(df, S.COMMIT_JSON, col, {"$.commit": ["commit.author", "commit.message"], "$.commit.author": ["commit.author.name"]})
     date = parse_iso_ts(j("commit.author.date"))
     email = j("commit.author.email")
     cols = [
@@ -128,9 +141,9 @@ def normalize_commits(df: DataFrame, repo_full_name: str, repo_source_id: str,
         j("commit.message").alias("message"),
     ]
     rules = [_object(), *_required(S.REQUIRED["commit"]),
-             (has_in(col, "$.commit", "author"), "missing commit.author"),
-             (has_in(col, "$.commit", "message"), "missing commit.message"),
-             (has_in(col, "$.commit.author", "name"), "missing author.name"),
+             (present(col, "commit.author"), "missing commit.author"),
+             (present(col, "commit.message"), "missing commit.message"),
+             (present(col, "commit.author.name"), "missing author.name"),
              (_ts_ok(j("commit.author.date"), date), "bad author.date")]
     return _finish(d, cols, rules, col)
 

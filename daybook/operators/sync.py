@@ -100,7 +100,7 @@ def sync_entities(connector: str, pages: DataFrame, feeds: list[load.Feed], ts:
     out, batches, inserted, updated, rejected = {}, [], a["inserted"], a["updated"], None
     for f, batch in zip(feeds, read, strict=True):
         rows = D.drop_failed(batch.rows, failed, "repository_source_id", "entity")
-        rows = D.select_since(rows, state, connector, "repository_source_id", ts, default_since, full)
+        rows = D.select_since(rows, state, connector, "repository_source_id", ts, default_since, full, banded=False)
         rows = staged(rows, f.table)
         out[f.table], i, u = load.apply_rows(tables[f.table], rows, f, now)
         inserted, updated = inserted + i, updated + u
